@@ -66,9 +66,10 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    bounds = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b"))
-    return bounds.select(F.explode(month_range(F.col("a"), F.col("b"))).alias("date"))
+def month_spine(spark: SparkSession, start: Column | str, end: Column | str) -> DataFrame:
+    """Every month from start to end; bounds are dates or date columns (such as scalar subqueries)."""
+    bound = lambda v: F.lit(v).cast("date")
+    return spark.range(1).select(F.explode(month_range(bound(start), bound(end))).alias("date"))
 
 
 def future_months(last: DataFrame, horizon: int, date: str = "date") -> DataFrame:
@@ -99,8 +100,7 @@ def allocate_top_down(
     themselves (``explode``), so no cross join is planned.
     """
     size_total = shares.agg(F.sum("size").alias("value")).scalar()
-    spine = shares.sparkSession.range(1).select(F.explode(month_range(start, end)).alias("date"))
-    filled = fill_on_spine(spine, national)
+    filled = fill_on_spine(month_spine(shares.sparkSession, start, end), national)
     grid = shares.select(
         "trust_code", "region", (F.col("size") / size_total / len(functions)).alias("share"),
         F.explode(F.array(*[F.lit(f) for f in functions])).alias("treatment_function"),

@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from panelcast.schemas import TABLES
+from panelcast.schemas import TABLES, schema_of
 
 POINTER = "_latest"
-LINEAGE = StructType.fromDDL(
-    "source string, path string, digest string, bytes bigint, landed_at string")
-PROVENANCE = StructType.fromDDL("run_id string, source string, kind string, detail string, ts timestamp")
+PROVENANCE = schema_of("run_id string", "source string", "kind string", "detail string", "ts timestamp")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
