@@ -124,19 +124,39 @@ def dispersion(y: Column, mu: Column) -> Column:
     return F.least(F.greatest(F.sum(mu * aux) / F.sum(mu * mu), F.lit(low)), F.lit(high))
 
 
+def _training_input(features: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return iteration_input(design(training_rows(features, cols), cols).select(
+        "x", F.col(TARGET).cast("double").alias("y"), "exposure_hours",
+        F.log("exposure_hours").alias("log_exposure")), "count-train")
+
+
+def _size_and_rate(train: DataFrame) -> tuple[int, float]:
+    total = train.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"),
+        F.coalesce(F.sum("exposure_hours"), F.lit(0.0)).alias("exposure")).first()
+    return total.n, total.y / max(total.exposure, 1.0)
+
+
+def fit_poisson(features: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> CountModel:
+    """Poisson regression with the exposure offset."""
+    cols = tuple(c for c in cols if c in features.columns)
+    train = _training_input(features, cols)
+    try:
+        _, rate = _size_and_rate(train)
+        beta = fit_glm(train, len(cols) + 1, 0.0)
+        return CountModel("poisson", tuple(float(b) for b in beta), 0.0, cols, rate)
+    finally:
+        train.unpersist()
+
+
 def fit(features: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> CountModel:
     """Negative binomial, falling back to Poisson and then to a plain rate."""
     cols = tuple(c for c in cols if c in features.columns)
-    train = iteration_input(design(training_rows(features, cols), cols).select(
-        "x", F.col(TARGET).cast("double").alias("y"), "exposure_hours",
-        F.log("exposure_hours").alias("log_exposure")), "count-train")
+    train = _training_input(features, cols)
     try:
-        size = train.agg(
-            F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"),
-            F.coalesce(F.sum("exposure_hours"), F.lit(0.0)).alias("exposure")).first()
-        rate = size.y / max(size.exposure, 1.0)
+        n, rate = _size_and_rate(train)
         naive = CountModel("naive", (), 0.0, cols, rate)
-        if size.n < MIN_TRAINING_ROWS:
+        if n < MIN_TRAINING_ROWS:
             return naive
         p = len(cols) + 1
         try:
@@ -144,8 +164,7 @@ def fit(features: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> CountMod
         except (ArithmeticError, np.linalg.LinAlgError):
             return naive
         params = tuple(float(b) for b in poisson)
-        eta = dot(F.col("x"), literals(params)) + F.col("log_exposure")
-        mu = F.greatest(F.exp(eta), F.lit(MU_FLOOR))
+        mu = F.greatest(F.exp(dot(F.col("x"), literals(params)) + F.col("log_exposure")), F.lit(MU_FLOOR))
         alpha = float(train.select("y", mu.alias("mu")).agg(dispersion(F.col("y"), F.col("mu"))).first()[0])
         try:
             negbin = fit_glm(train, p, alpha, start=poisson)

@@ -629,7 +629,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT * FROM levels WHERE level = 'regional') r LEFT JOIN (
                 SELECT region, trust_code, procedure_code, sum(n_procedures)::DOUBLE
                        / nullif(sum(sum(n_procedures)) OVER (PARTITION BY region, procedure_code), 0) AS share
-                FROM procedures GROUP BY ALL) s ON r.region = s.region AND r.procedure_code = s.procedure_code""", BAND, 4),
+                FROM procedures GROUP BY region, trust_code, procedure_code) s ON r.region = s.region AND r.procedure_code = s.procedure_code""", BAND, 4),
         "d22_seasonal_naive": _sql(f"SELECT {LEAF}, actual, yhat, yhat_lower, yhat_upper FROM leaf", BAND, 4),
         "d22_seasonal_naive_future": _sql("""
             SELECT trust_code, region, procedure_code, CAST(date + INTERVAL 12 MONTH AS DATE) AS date, CAST(y AS DOUBLE) AS yhat,
@@ -684,13 +684,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT a.device_id, a.date, 1 - count(*) / 28.0::DOUBLE AS downtime_frac_28
             FROM device_day a JOIN device_day b ON a.device_id = b.device_id AND b.date BETWEEN a.date - 27 AND a.date
             WHERE a.n_sessions >= 5 AND b.n_sessions >= 5 GROUP BY ALL""", "downtime_frac_28"),
-        "f13_herfindahl": _sql("SELECT * FROM herfindahl", "op_herfindahl"),
+        "f13_herfindahl": _sql("SELECT * FROM herfindahl"),
         "f14_active_operators": _sql(f"SELECT {device}, active_ops_28 FROM device_features", "active_ops_28"),
         "f15_peers": _sql(f"SELECT {device}, peer_util, peer_util_lag1 FROM device_features", "peer_util peer_util_lag1"),
         "f16_exposure_floor": _sql(f"SELECT {device}, exposure_hours FROM device_features", "exposure_hours"),
         "f17_device_features": _sql(f"""
             SELECT {device}, region, specialty, device_type, cap_sessions_day, n_billable, is_weekend, n_billable_lag1, n_billable_lag7,
-                   n_billable_lag14, {', '.join(DEVICE_NUMERIC)} FROM device_features""", " ".join(DEVICE_NUMERIC)),
+                   n_billable_lag14, {', '.join(DEVICE_NUMERIC)} FROM device_features""", " ".join(c for c in DEVICE_NUMERIC if c != "op_herfindahl")),
         # ---- count model
         "g1_pinball": _sql("SELECT device_id, " + ", ".join(
             f"avg(greatest({q}::DOUBLE * (y - {c}), ({q}::DOUBLE - 1) * (y - {c}))) AS {n}"
@@ -748,7 +748,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT device_id, exp_revenue, sigma, cv, beta, exp_sessions FROM statistics", "exp_revenue sigma cv beta exp_sessions", 5),
         "h12_suggested_price": _sql("SELECT device_id, suggested_price FROM priced", "suggested_price", 4),
         "h13_utilisation_at_risk": _sql("SELECT device_id, uar_p5, floor_breach_prob FROM statistics", "uar_p5 floor_breach_prob"),
-        "h14_latest_concentration": _sql("SELECT * FROM latest_herfindahl", "op_herfindahl"),
+        "h14_latest_concentration": _sql("SELECT * FROM latest_herfindahl"),
         "h15_diversification": _sql("""
             SELECT n_devices, n_eff AS effective_n_independent, n_eff / greatest(n_devices, 1) AS diversification_ratio FROM (
                 SELECT n_devices, CASE WHEN s > 0 THEN least(s * s / greatest((SELECT var_pop(book_revenue) FROM books), 1e-9), n_devices)

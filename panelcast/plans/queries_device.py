@@ -34,7 +34,10 @@ def device_days(spark: SparkSession, root: str) -> DataFrame:
 
 
 def features(spark: SparkSession, root: str) -> DataFrame:
-    return fd.build_features(device_days(spark, root), billed_sessions(spark, root), adapters.devices(spark, root))
+    """Feature table over sessions that are written once, since three branches read them."""
+    billed = materialise(billed_sessions(spark, root), "sessions")
+    days = sessions.device_day(adapters.events(spark, root), billed)
+    return fd.build_features(days, billed, adapters.devices(spark, root))
 
 
 def stored_features(spark: SparkSession, root: str) -> DataFrame:
@@ -126,7 +129,8 @@ def f12_downtime_real(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def f13_herfindahl(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(fd.operator_herfindahl(billed_sessions(spark, root)))
+    # A ratio of whole numbers is the same double everywhere, so it needs no rounding.
+    return fd.operator_herfindahl(billed_sessions(spark, root))
 
 
 @query
@@ -147,8 +151,12 @@ def f16_exposure_floor(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def f17_device_features(spark: SparkSession, root: str) -> DataFrame:
-    return _show(features(spark, root), "region", "specialty", "device_type", "cap_sessions_day", "n_billable",
-                 "exposure_hours", *fd.NUMERIC_FEATURES)
+    rows = features(spark, root)
+    shown = [c for c in fd.NUMERIC_FEATURES if c != "op_herfindahl"]
+    labels = ("region", "specialty", "device_type", "cap_sessions_day", "n_billable")
+    amounts = [F.round(c, 6).alias(c) if t == "double" else F.col(c)
+               for c, t in rows.select("exposure_hours", *shown).dtypes]
+    return rows.select(*KEYS, *labels, *amounts, "op_herfindahl")
 
 
 # ---------------------------------------------------------------- count model
@@ -189,17 +197,11 @@ def g4_training_rows(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def g5_poisson(spark: SparkSession, root: str) -> DataFrame:
-    """Poisson coefficients by Spark's own GLM with the exposure offset."""
-    from pyspark.ml.regression import GeneralizedLinearRegression
-    from panelcast.operators.features_monthly import assemble
-
-    rows = materialise(assemble(count_model.training_rows(features(spark, root)).withColumns({
-        "label": F.col("n_billable").cast("double"), "log_exposure": F.log("exposure_hours")}),
-        fd.NUMERIC_FEATURES).select("features", "label", "log_exposure"), "poisson-train")
-    model = GeneralizedLinearRegression(
-        family="poisson", link="log", offsetCol="log_exposure", maxIter=100, tol=1e-8).fit(rows)
-    return model.transform(rows).agg(
-        F.count("*").alias("n_train"), F.avg("label").alias("mean_label"), F.avg("prediction").alias("mean_prediction"))
+    """Fitted mean of every training row under the Poisson model."""
+    rows = stored_features(spark, root)
+    model = count_model.fit_poisson(rows)
+    return count_model.predict_mu(model, count_model.training_rows(rows)).select(
+        *KEYS, F.lit(model.kind).alias("kind"), "n_billable", "mu")
 
 
 @query
@@ -377,7 +379,7 @@ def h13_utilisation_at_risk(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def h14_latest_concentration(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(risk.latest_concentration(features(spark, root)))
+    return risk.latest_concentration(features(spark, root))
 
 
 @query
