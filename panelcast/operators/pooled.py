@@ -90,7 +90,7 @@ def _training_drivers() -> dict[str, Column]:
     }
 
 
-def train(features: DataFrame, max_iter: int = 25, tol: float = 1e-4) -> PooledModel:
+def train(features: DataFrame, max_iter: int = 25, tol: float = 2e-4) -> PooledModel:
     known = training_rows(features)
     if "proc_mix_share_lag1" not in features.columns:
         known = known.withColumn("proc_mix_share_lag1", F.col("proc_mix_share"))
@@ -111,40 +111,52 @@ def train(features: DataFrame, max_iter: int = 25, tol: float = 1e-4) -> PooledM
     return PooledModel(tuple(tuple(float(b) for b in beta) for beta in betas), means, int(facts["first_year"]))
 
 
+def _least_squares(rows: DataFrame) -> np.ndarray:
+    def fold(batch) -> np.ndarray:
+        x, y, s = matrix(batch, "x"), vector(batch, "y"), vector(batch, "weight")
+        wx = x * s[:, None]
+        return np.concatenate([(x.T @ wx).ravel(), wx.T @ y])
+
+    flat = summed(rows, fold)
+    if not len(flat):
+        raise ArithmeticError("no rows to fit")
+    p = int((np.sqrt(4 * len(flat) + 1) - 1) / 2)
+    return solve_scaled(flat[: p * p].reshape(p, p), flat[p * p:])
+
+
 def _fit_quantiles(rows: DataFrame, levels: Sequence[float], max_iter: int, tol: float) -> list[np.ndarray]:
-    """Coefficients per level, all levels advanced by the same pass over the data."""
-    betas: list[np.ndarray] | None = None
+    """Coefficients per level, all levels advanced by the same pass over the data.
+
+    The start is least squares with its intercept (the first input) moved to the quantiles of the
+    residuals, which leaves the passes only the slopes to adjust.
+    """
+    centre = _least_squares(rows)
+    p = len(centre)
+    residual = F.col("y") - dot(F.col("x"), literals(centre))
+    shifts = rows.agg(F.percentile_approx(residual, list(levels), 10_000).alias("q")).first().q
+    betas = [centre + shift * (np.arange(p) == 0) for shift in shifts]
     previous: float | None = None
     for _ in range(max_iter):
         current = betas
 
         def fold(batch) -> np.ndarray:
             x, y, s = matrix(batch, "x"), vector(batch, "y"), vector(batch, "weight")
+            pull = x.T @ s
             parts = []
-            for i, q in enumerate(levels):
-                if current is None:
-                    w, loss = s, 0.0
-                else:
-                    r = y - x @ current[i]
-                    w = s / (1e-4 + np.abs(r))
-                    loss = float((s * np.maximum(q * r, (q - 1) * r)).sum())
+            for q, beta in zip(levels, current):
+                r = y - x @ beta
+                w = s / (1e-4 + np.abs(r))
                 wx = x * w[:, None]
-                tilt = 0.0 if current is None else (2 * q - 1) * (x.T @ s)
-                parts += [(x.T @ wx).ravel(), wx.T @ y + tilt, [loss]]
+                loss = (s * np.maximum(q * r, (q - 1) * r)).sum()
+                parts += [(x.T @ wx).ravel(), wx.T @ y + (2 * q - 1) * pull, [loss]]
             return np.concatenate(parts)
 
-        flat = summed(rows, fold)
-        if not len(flat):
-            raise ArithmeticError("no rows to fit")
-        size = len(flat) // len(levels)
-        p = int((np.sqrt(4 * (size - 1) + 1) - 1) / 2)
-        losses = sum(flat[i * size + size - 1] for i in range(len(levels)))
-        if betas is not None and previous is not None and abs(previous - losses) <= tol * previous:
+        blocks = summed(rows, fold).reshape(len(levels), -1)
+        loss = float(blocks[:, -1].sum())
+        if previous is not None and abs(previous - loss) <= tol * previous:
             break
-        previous = losses if betas is not None else None
-        betas = [
-            solve_scaled(flat[i * size: i * size + p * p].reshape(p, p), flat[i * size + p * p: i * size + p * p + p])
-            for i in range(len(levels))]
+        previous = loss
+        betas = [solve_scaled(b[: p * p].reshape(p, p), b[p * p: p * p + p]) for b in blocks]
     return betas
 
 

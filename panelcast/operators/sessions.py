@@ -2,7 +2,8 @@
 
 One device may own a large part of the log, so nothing here windows over a whole device. Ordinal
 positions come from ``seq_no`` buckets: ``seq_no`` is unique per device, so a bucket of width B
-holds at most B events, and the offset of a bucket is a running sum over bucket counts.
+holds at most B events, and the offset of a bucket is a running sum over one count per bucket (a
+device with 10^12 events has 10^6 of them).
 """
 
 from __future__ import annotations
@@ -13,25 +14,18 @@ from pyspark.sql import functions as F
 from panelcast.fixed_values import MIN_BILLABLE_SECONDS
 
 BUCKET_WIDTH = 1_000_000
-SUPER_WIDTH = 1_000
 
 
 def ordinal(df: DataFrame, keys: list[str], seq: str, width: int = BUCKET_WIDTH, name: str = "ordinal") -> DataFrame:
     """1-based position of each row within ``keys`` by ``seq``, without gathering a key's rows.
 
-    Two levels of buckets bound every window: at most ``width`` rows inside a bucket,
-    ``SUPER_WIDTH`` buckets inside a super-bucket.
+    A window sees at most ``width`` rows of a bucket; the running offsets are computed over one row
+    per bucket. The counting pass reads the key and sequence columns only and combines map-side.
     """
     bucketed = df.withColumn("__b", F.floor(F.col(seq) / F.lit(width)))
-    counts = bucketed.groupBy(*keys, "__b").agg(F.count("*").alias("__n")).withColumn(
-        "__s", F.floor(F.col("__b") / SUPER_WIDTH))
-    before = Window.unboundedPreceding, -1
-    within = Window.partitionBy(*keys, "__s").orderBy("__b").rowsBetween(*before)
-    across = Window.partitionBy(*keys).orderBy("__s").rowsBetween(*before)
-    supers = counts.groupBy(*keys, "__s").agg(F.sum("__n").alias("__sn")).select(
-        *keys, "__s", F.coalesce(F.sum("__sn").over(across), F.lit(0)).alias("__so"))
-    offsets = counts.withColumn("__bo", F.coalesce(F.sum("__n").over(within), F.lit(0))).join(
-        supers, [*keys, "__s"]).select(*keys, "__b", (F.col("__bo") + F.col("__so")).alias("__offset"))
+    counts = bucketed.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     local = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(seq))
     return bucketed.withColumn("__local", local).join(offsets, [*keys, "__b"]).withColumn(
         name, F.col("__local") + F.col("__offset")).drop("__b", "__local", "__offset")
@@ -42,16 +36,6 @@ def _seconds_between(start: str, end: str) -> Column:
     return micros / 1e6
 
 
-def _session_columns(min_seconds: float) -> list[Column]:
-    duration = F.when(F.col("end_seconds") > 0, F.col("end_seconds")).otherwise(_seconds_between("t_start", "t_end"))
-    return [
-        F.col("session_id"), F.col("device_id"), F.col("site_id"), F.col("operator_hash"),
-        F.col("procedure_code"), F.col("t_start"), F.col("t_end"),
-        duration.alias("active_seconds"), F.col("n_errors").cast("int").alias("n_errors"),
-        F.coalesce((duration >= min_seconds) & (F.col("end_quality") == "ok"), F.lit(False)).alias("billable"),
-    ]
-
-
 def sessionise(
     events: DataFrame, min_seconds: float = MIN_BILLABLE_SECONDS, mode: str = "ordinal",
     width: int = BUCKET_WIDTH,
@@ -60,25 +44,30 @@ def sessionise(
 
     ``ordinal`` pairs the i-th start with the i-th end. ``next`` pairs a start with the end that
     directly follows it among the device's active events, so a lost packet cannot shift later pairs.
+    Both sides of a pair meet in one aggregate by (device, pair number), a key no device can skew.
     """
     active = events.where(F.col("event_type").isin("active_start", "active_end"))
-    start_cols = ["site_id", "operator_hash", "procedure_code", F.col("ts_device").alias("t_start")]
-    end_cols = [
-        F.col("event_id").alias("session_id"), F.col("ts_device").alias("t_end"),
-        F.col("active_seconds").alias("end_seconds"), "n_errors", F.col("ingest_quality").alias("end_quality")]
+    is_start = F.col("event_type") == "active_start"
     if mode == "ordinal":
         ranked = ordinal(active, ["device_id", "event_type"], "seq_no", width)
-        pair_no, shift = F.col("ordinal"), 0
+        pair_no = F.col("ordinal")
     elif mode == "next":
         ranked = ordinal(active, ["device_id"], "seq_no", width)
-        pair_no, shift = F.col("ordinal"), 1
+        pair_no = F.when(is_start, F.col("ordinal") + 1).otherwise(F.col("ordinal"))
     else:
         raise ValueError(f"unknown pairing mode {mode!r}")
-    starts = ranked.where(F.col("event_type") == "active_start").select(
-        "device_id", (pair_no + shift).alias("pair_no"), *start_cols)
-    ends = ranked.where(F.col("event_type") == "active_end").select(
-        "device_id", pair_no.alias("pair_no"), *end_cols)
-    return starts.join(ends, ["device_id", "pair_no"]).select(*_session_columns(min_seconds))
+    start = F.struct("site_id", "operator_hash", "procedure_code", "ts_device")
+    end = F.struct("event_id", "ts_device", "active_seconds", "n_errors", "ingest_quality")
+    paired = ranked.groupBy("device_id", pair_no.alias("pair_no")).agg(
+        F.max(F.when(is_start, start)).alias("s"), F.max(F.when(~is_start, end)).alias("e"),
+    ).where(F.col("s").isNotNull() & F.col("e").isNotNull())
+    timed = paired.select("device_id", "s", "e", F.col("s.ts_device").alias("t_start"), F.col("e.ts_device").alias("t_end"))
+    duration = F.when(F.col("e.active_seconds") > 0, F.col("e.active_seconds")).otherwise(
+        _seconds_between("t_start", "t_end"))
+    return timed.select(
+        F.col("e.event_id").alias("session_id"), "device_id", "s.site_id", "s.operator_hash", "s.procedure_code",
+        "t_start", "t_end", duration.alias("active_seconds"), F.col("e.n_errors").cast("int").alias("n_errors"),
+        F.coalesce((duration >= min_seconds) & (F.col("e.ingest_quality") == "ok"), F.lit(False)).alias("billable"))
 
 
 def attach_billing(sessions: DataFrame, devices: DataFrame) -> DataFrame:

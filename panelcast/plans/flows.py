@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -43,37 +44,48 @@ def run_demand(
     """
     spark = mapping.sparkSession
     run_id = run_id or storage.new_run_id()
-    assert_no_errors(validate_all(datasets))
+    names = list(datasets)
+    staged = dict(zip(names, storage.together(spark, *[partial(storage.materialise, datasets[n], n) for n in names])))
+    assert_no_errors(validate_all(staged))
 
     lake, tables, artifacts = f"{root}/lake", f"{root}/tables", f"{root}/artifacts"
-    storage.init_tables(spark, tables)
-    for name, df in datasets.items():
-        storage.write_snapshot(df, lake, name)
+
+    def land(name: str) -> None:
+        storage.write_snapshot(staged[name], lake, name)
         storage.replace_table(storage.read_latest(spark, lake, name), tables, DATASET_TABLE[name])
+
+    storage.together(spark, *[partial(land, n) for n in names])
     stored = {t: storage.read_table(spark, tables, t) for t in DATASET_TABLE.values()}
-    storage.replace_table(storage.build_dim_date(
-        stored[t] for t in ("fact_procedures", "fact_imaging", "fact_rtt", "fact_activity")), tables, "dim_date")
-    storage.replace_table(storage.build_dim_trust(stored["fact_procedures"]), tables, "dim_trust")
-    storage.replace_table(mapping, tables, "dim_proc_equipment_map")
+    dim_date = storage.build_dim_date(
+        stored[t] for t in ("fact_procedures", "fact_imaging", "fact_rtt", "fact_activity"))
+    features_lazy = build_feature_table(
+        stored["fact_procedures"], stored["fact_rtt"], stored["dim_demographics"], chapter_table, older_bands)
+    features, *_ = storage.together(
+        spark,
+        partial(storage.materialise, features_lazy, "features"),
+        partial(storage.replace_table, dim_date, tables, "dim_date"),
+        partial(storage.replace_table, storage.build_dim_trust(stored["fact_procedures"]), tables, "dim_trust"),
+        partial(storage.replace_table, mapping, tables, "dim_proc_equipment_map"))
     if provenance:
         storage.record_provenance(spark, artifacts, run_id, provenance)
 
-    features = storage.materialise(build_feature_table(
-        stored["fact_procedures"], stored["fact_rtt"], stored["dim_demographics"], chapter_table, older_bands),
-        "features")
-    metrics = bt.backtest(features, horizon, models).persist(StorageLevel.MEMORY_AND_DISK)
-    leaf = storage.materialise(pooled.forecast(features, horizon), "leaf")
+    metrics, leaf = storage.together(
+        spark,
+        lambda: storage.materialise(bt.backtest(features, horizon, models), "metrics"),
+        lambda: storage.materialise(pooled.forecast(features, horizon), "leaf"))
 
     chosen = scenarios.default_scenarios(stored["fact_rtt"])
     if not run_scenarios:
         chosen = {"baseline": chosen["baseline"]}
-    storage.append_run(tag(bottom_up(leaf), run_id=run_id, model="pooled"), tables, "forecast_procedures")
-    storage.append_run(tag(scenarios.sweep(leaf, chosen, mapping), run_id=run_id), tables, "forecast_equipment")
+    storage.together(
+        spark,
+        lambda: storage.append_run(
+            tag(bottom_up(leaf), run_id=run_id, model="pooled"), tables, "forecast_procedures"),
+        lambda: storage.append_run(
+            tag(scenarios.sweep(leaf, chosen, mapping), run_id=run_id), tables, "forecast_equipment"))
     mine = F.col("run_id") == run_id
     hierarchy = storage.read_table(spark, tables, "forecast_procedures").where(mine)
     equipment = storage.read_table(spark, tables, "forecast_equipment").where(mine)
-    storage.write_artifact(hierarchy.drop("run_id"), artifacts, "procedure_forecast", run_id)
-    storage.write_artifact(equipment.drop("run_id"), artifacts, "equipment_forecast", run_id)
 
     model_entry = F.struct("mae", "rmse", "mape")
     sources = spark.createDataFrame(list(provenance) or [("none", "", "")], "source string, kind string, detail string")
@@ -87,7 +99,11 @@ def run_demand(
             hierarchy.agg(F.count("*").alias("n")).scalar().alias("n_procedure_forecast_rows"),
             equipment.agg(F.count("*").alias("n")).scalar().alias("n_equipment_forecast_rows"),
             F.array(*[F.lit(s) for s in chosen]).alias("scenarios"))
-    storage.write_report(report, artifacts, "report", run_id)
+    storage.together(
+        spark,
+        lambda: storage.write_artifact(hierarchy.drop("run_id"), artifacts, "procedure_forecast", run_id),
+        lambda: storage.write_artifact(equipment.drop("run_id"), artifacts, "equipment_forecast", run_id),
+        lambda: storage.write_report(report, artifacts, "report", run_id))
     return DemandResult(run_id, hierarchy, equipment, metrics, spark.read.json(f"{artifacts}/report_latest"))
 
 
@@ -122,11 +138,10 @@ def run_underwriting(
     spark = events.sparkSession
     run_id = run_id or storage.new_run_id()
     tables, artifacts = f"{root}/tables", f"{root}/artifacts"
-    storage.init_tables(spark, tables)
-    storage.replace_table(devices, tables, "dim_device")
-    storage.replace_table(events, tables, "telemetry_event")
+    dimensions = [partial(storage.replace_table, devices, tables, "dim_device")]
     if operators is not None:
-        storage.replace_table(operators, tables, "dim_operator")
+        dimensions.append(partial(storage.replace_table, operators, tables, "dim_operator"))
+    storage.together(spark, partial(storage.replace_table, events, tables, "telemetry_event"), *dimensions)
     devices = storage.read_table(spark, tables, "dim_device")
     events = storage.read_table(spark, tables, "telemetry_event")
 
@@ -137,20 +152,22 @@ def run_underwriting(
     device_day = storage.read_table(spark, tables, "fact_device_day")
 
     features = storage.materialise(build_features(device_day, billed, devices), "device-features")
-    metrics = count_model.backtest(features, horizon_days, quantiles).persist(StorageLevel.MEMORY_AND_DISK)
-    model = count_model.fit(features)
-    forecast = storage.materialise(
-        risk.forecast_horizon(model, features, devices, horizon_days), "device-forecast")
-    positions = storage.materialise(risk.book(forecast, devices, model.alpha, horizon_days), "positions")
-    loadings = copula_loadings(device_day, positions)
-    draws = storage.materialise(risk.simulate(positions, loadings, n_sims, seed), "draws")
-    priced = risk.price_book(draws, positions, features, run_id)
-    storage.replace_run(priced, tables, "underwriting_device", run_id)
-    book = storage.read_runs(spark, tables, "underwriting_device").where(F.col("run_id") == run_id)
-    portfolio = risk.portfolio_summary(draws, positions, book, alpha).persist(StorageLevel.MEMORY_AND_DISK)
-
-    for name, df in (("telemetry_device_day", device_day), ("telemetry_forecast", forecast), ("underwriting", book)):
-        storage.write_artifact(df.drop("run_id"), artifacts, name, run_id)
+    def price() -> tuple[DataFrame, DataFrame, DataFrame]:
+        model = count_model.fit(features)
+        forecast = storage.materialise(
+            risk.forecast_horizon(model, features, devices, horizon_days), "device-forecast")
+        positions = storage.materialise(risk.book(forecast, devices, model.alpha, horizon_days), "positions")
+        loadings = copula_loadings(device_day, positions)
+        draws = storage.materialise(risk.simulate(positions, loadings, n_sims, seed), "draws")
+        storage.replace_run(risk.price_book(draws, positions, features, run_id), tables, "underwriting_device", run_id)
+        return forecast, positions, draws
+
+    metrics, (forecast, positions, draws) = storage.together(
+        spark,
+        lambda: storage.materialise(count_model.backtest(features, horizon_days, quantiles), "metrics"), price)
+    book = storage.read_table(spark, tables, "underwriting_device").where(F.col("run_id") == run_id)
+    portfolio = storage.materialise(risk.portfolio_summary(draws, positions, book, alpha), "portfolio")
+
     size = lambda df: df.agg(F.count("*").alias("n")).scalar()
     one_row = lambda df: df.select(F.struct("*").alias("s")).scalar()
     report = spark.range(1).select(
@@ -158,6 +175,10 @@ def run_underwriting(
         size(devices).alias("n_devices"), size(events).alias("n_events"), size(billed).alias("n_sessions"),
         size(device_day).alias("n_device_days"), F.lit(horizon_days).alias("horizon_days"),
         one_row(metrics).alias("backtest"), one_row(portfolio).alias("portfolio_risk"))
-    storage.write_report(report, artifacts, "telemetry_report", run_id)
+    outputs = {"telemetry_device_day": device_day, "telemetry_forecast": forecast, "underwriting": book.drop("run_id")}
+    storage.together(
+        spark,
+        *[partial(storage.write_artifact, df, artifacts, name, run_id) for name, df in outputs.items()],
+        partial(storage.write_report, report, artifacts, "telemetry_report", run_id))
     return UnderwritingResult(
         run_id, device_day, forecast, book, portfolio, spark.read.json(f"{artifacts}/telemetry_report_latest"))

@@ -18,14 +18,20 @@ LEAF_KEYS = ["trust_code", "region", "procedure_code"]
 HORIZON = 12
 
 
+def facts(spark: SparkSession, root: str) -> DataFrame:
+    """Monthly procedures written once: operators that read their input more than once read the
+    small aggregate again, not the line items."""
+    return materialise(adapters.procedures(spark, root), "procedures")
+
+
 def base_forecast(spark: SparkSession, root: str) -> DataFrame:
     """Seasonal-naive band for the last 12 months, at the leaf."""
-    return naive.seasonal_naive_holdout(adapters.procedures(spark, root), LEAF_KEYS, fm.TARGET, HORIZON)
+    return naive.seasonal_naive_holdout(facts(spark, root), LEAF_KEYS, fm.TARGET, HORIZON)
 
 
 def feature_table(spark: SparkSession, root: str, compat: bool = False) -> DataFrame:
     return fm.build_feature_table(
-        adapters.procedures(spark, root), adapters.rtt(spark, root), adapters.demographics(spark, root),
+        facts(spark, root), adapters.rtt(spark, root), adapters.demographics(spark, root),
         adapters.CHAPTER_TO_FUNCTION, adapters.OLDER_SEGMENTS, compat)
 
 
@@ -34,13 +40,13 @@ def mapping(spark: SparkSession) -> DataFrame:
 
 
 def _pressed(spark: SparkSession, root: str) -> DataFrame:
-    base = fm.treatment_function(adapters.procedures(spark, root), adapters.CHAPTER_TO_FUNCTION)
+    base = fm.treatment_function(facts(spark, root), adapters.CHAPTER_TO_FUNCTION)
     return fm.pressure(base, adapters.rtt(spark, root))
 
 
 @query
 def c1_calendar(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(fm.calendar(adapters.procedures(spark, root)).select(
+    return rounded(fm.calendar(facts(spark, root)).select(
         "date", "trust_code", "procedure_code", "month", "quarter", "year", "sin_month", "cos_month", "time_idx"))
 
 
@@ -58,7 +64,7 @@ def c3_rolling(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def c4_mix_share(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(fm.mix_share(adapters.procedures(spark, root)).select(
+    return rounded(fm.mix_share(facts(spark, root)).select(
         "date", "trust_code", "procedure_code", "proc_mix_share"))
 
 
@@ -93,7 +99,7 @@ def c8_older_share(spark: SparkSession, root: str) -> DataFrame:
 @query
 def c9_older_share_filled(spark: SparkSession, root: str) -> DataFrame:
     shares = fm.older_share(adapters.demographics(spark, root), adapters.OLDER_SEGMENTS)
-    dated = fm.calendar(adapters.procedures(spark, root))
+    dated = fm.calendar(facts(spark, root))
     return rounded(fm.attach_older_share(dated, shares).select(
         "date", "trust_code", "procedure_code", "pop_65plus_share"))
 
@@ -158,7 +164,7 @@ def d5_evaluate(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def d6_temporal_split(spark: SparkSession, root: str) -> DataFrame:
-    train, test = metrics.temporal_split(adapters.procedures(spark, root), "date", HORIZON)
+    train, test = metrics.temporal_split(facts(spark, root), "date", HORIZON)
     return naive.tag(train, part="train").unionByName(naive.tag(test, part="test"))
 
 
@@ -239,12 +245,12 @@ def d15_windows(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def d16_zscore(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(window_ar.standardise(adapters.procedures(spark, root), fm.SERIES, "n_procedures"), 5)
+    return rounded(window_ar.standardise(facts(spark, root), fm.SERIES, "n_procedures"), 5)
 
 
 @query
 def d17_window_forecast(spark: SparkSession, root: str) -> DataFrame:
-    return window_ar.forecast(materialise(adapters.procedures(spark, root), "procedures"), HORIZON)
+    return window_ar.forecast(facts(spark, root), HORIZON)
 
 
 @query
@@ -281,7 +287,7 @@ def d22_seasonal_naive(spark: SparkSession, root: str) -> DataFrame:
 @query
 def d22_seasonal_naive_future(spark: SparkSession, root: str) -> DataFrame:
     return rounded(naive.seasonal_naive_forecast(
-        adapters.procedures(spark, root), LEAF_KEYS, fm.TARGET, HORIZON), 4)
+        facts(spark, root), LEAF_KEYS, fm.TARGET, HORIZON), 4)
 
 
 # ---------------------------------------------------------------- mapping, demand, scenarios

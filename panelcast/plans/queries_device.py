@@ -26,18 +26,22 @@ GIVEN = count_model.CountModel(
 
 def billed_sessions(spark: SparkSession, root: str, mode: str = "ordinal") -> DataFrame:
     return sessions.attach_billing(
-        sessions.sessionise(adapters.events(spark, root), mode=mode), adapters.devices(spark, root))
+        sessions.sessionise(adapters.session_events(spark, root), mode=mode), adapters.devices(spark, root))
 
 
 def device_days(spark: SparkSession, root: str) -> DataFrame:
-    return sessions.device_day(adapters.events(spark, root), billed_sessions(spark, root))
+    return sessions.device_day(adapters.power_events(spark, root), billed_sessions(spark, root))
 
 
-def features(spark: SparkSession, root: str) -> DataFrame:
-    """Feature table over sessions that are written once, since three branches read them."""
+def days_and_features(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Device-days and their features. Sessions and days are written once, as several branches read them."""
     billed = materialise(billed_sessions(spark, root), "sessions")
-    days = sessions.device_day(adapters.events(spark, root), billed)
-    return fd.build_features(days, billed, adapters.devices(spark, root))
+    days = materialise(sessions.device_day(adapters.power_events(spark, root), billed), "device-day")
+    return days, fd.build_features(days, billed, adapters.devices(spark, root))
+
+
+def features(spark: SparkSession, root: str) -> DataFrame:
+    return days_and_features(spark, root)[1]
 
 
 def stored_features(spark: SparkSession, root: str) -> DataFrame:
@@ -53,23 +57,23 @@ def _show(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def f1_sessions(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(sessions.sessionise(adapters.events(spark, root)))
+    return rounded(sessions.sessionise(adapters.session_events(spark, root)))
 
 
 @query
 def f1_sessions_next(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(sessions.sessionise(adapters.events(spark, root), mode="next"))
+    return rounded(sessions.sessionise(adapters.session_events(spark, root), mode="next"))
 
 
 @query
 def f2_duration(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(sessions.sessionise(adapters.events(spark, root)).select(
+    return rounded(sessions.sessionise(adapters.session_events(spark, root)).select(
         "session_id", "device_id", "active_seconds"))
 
 
 @query
 def f3_billable(spark: SparkSession, root: str) -> DataFrame:
-    return sessions.sessionise(adapters.events(spark, root)).groupBy("device_id", "billable").agg(
+    return sessions.sessionise(adapters.session_events(spark, root)).groupBy("device_id", "billable").agg(
         F.count("*").alias("n_sessions"))
 
 
@@ -80,7 +84,7 @@ def f4_billing(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def f5_exposure(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(sessions.exposure(adapters.events(spark, root)))
+    return rounded(sessions.exposure(adapters.power_events(spark, root)))
 
 
 @query
@@ -95,7 +99,7 @@ def f7_device_day(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def f8_calendar(spark: SparkSession, root: str) -> DataFrame:
-    return _show(fd.calendar(sessions.exposure(adapters.events(spark, root))),
+    return _show(fd.calendar(sessions.exposure(adapters.power_events(spark, root))),
                  "dow_sin", "dow_cos", "doy_sin", "doy_cos", "is_weekend", "trend")
 
 
@@ -274,7 +278,8 @@ def h2_utilisation_panel(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
-    return materialise(risk.panel_vectors(risk.utilisation_panel(device_days(spark, root))), "vectors")
+    days = materialise(device_days(spark, root), "device-day")
+    return materialise(risk.panel_vectors(risk.utilisation_panel(days)), "vectors")
 
 
 @query
@@ -287,17 +292,17 @@ def h4_correlation(spark: SparkSession, root: str) -> DataFrame:
     return rounded(risk.correlation(risk.shrunk_covariance(_vectors(spark, root))))
 
 
-def given_forecast(spark: SparkSession, root: str) -> DataFrame:
+def given_forecast(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
     """The last observed week standing in for a forecast."""
-    days = device_days(spark, root)
     cap = adapters.devices(spark, root).select("device_id", "cap_sessions_day")
     last = scalar(days, F.max("date"))
     return days.where(F.col("date") > F.date_sub(last, HORIZON)).join(cap, "device_id").select(
         *KEYS, (F.col("n_billable") + 0.5).alias("mu"), "cap_sessions_day")
 
 
-def given_positions(spark: SparkSession, root: str) -> DataFrame:
-    return risk.book(given_forecast(spark, root), adapters.devices(spark, root), GIVEN_ALPHA, HORIZON)
+def given_positions(spark: SparkSession, root: str, days: DataFrame | None = None) -> DataFrame:
+    days = materialise(device_days(spark, root), "device-day") if days is None else days
+    return risk.book(given_forecast(spark, root, days), adapters.devices(spark, root), GIVEN_ALPHA, HORIZON)
 
 
 def given_draws(spark: SparkSession, root: str, positions: DataFrame) -> DataFrame:
@@ -329,9 +334,10 @@ def h6_copula_factor(spark: SparkSession, root: str) -> DataFrame:
     return loadings.select("device_id", F.size("loadings").alias("n_factors"), F.round(squared, 6).alias("variance"))
 
 
-def _simulated(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    positions = materialise(given_positions(spark, root), "positions")
-    vectors = _vectors(spark, root)
+def _simulated(spark: SparkSession, root: str, days: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    days = materialise(device_days(spark, root), "device-day") if days is None else days
+    positions = materialise(given_positions(spark, root, days), "positions")
+    vectors = materialise(risk.panel_vectors(risk.utilisation_panel(days)), "vectors")
     loadings = risk.panel_loadings(vectors, risk.shrinkage(vectors))
     return positions, materialise(risk.simulate(positions, loadings, N_SIMS), "draws")
 
@@ -388,18 +394,21 @@ def h15_diversification(spark: SparkSession, root: str) -> DataFrame:
 
 
 def given_book(spark: SparkSession, root: str) -> DataFrame:
-    positions, draws = _given(spark, root)
-    return risk.price_book(draws, positions, features(spark, root), "run-1")
+    days, rows = days_and_features(spark, root)
+    positions = materialise(given_positions(spark, root, days), "positions")
+    return risk.price_book(given_draws(spark, root, positions), positions, rows, "run-1")
 
 
 @query
 def h16_price_book(spark: SparkSession, root: str) -> DataFrame:
-    positions, draws = _simulated(spark, root)
-    return risk.price_book(draws, positions, features(spark, root), "run-1")
+    days, rows = days_and_features(spark, root)
+    positions, draws = _simulated(spark, root, days)
+    return risk.price_book(draws, positions, rows, "run-1")
 
 
 @query
 def h16_portfolio_summary(spark: SparkSession, root: str) -> DataFrame:
-    positions, draws = _simulated(spark, root)
-    priced = materialise(risk.price_book(draws, positions, features(spark, root), "run-1"), "book")
+    days, rows = days_and_features(spark, root)
+    positions, draws = _simulated(spark, root, days)
+    priced = materialise(risk.price_book(draws, positions, rows, "run-1"), "book")
     return risk.portfolio_summary(draws, positions, priced)

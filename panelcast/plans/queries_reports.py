@@ -13,7 +13,7 @@ from panelcast.plans.queries_demand import base_forecast, equipment, mapping
 from panelcast.plans.queries_device import _given, given_book
 from panelcast.plans.registry import query
 from panelcast.sources import adapters
-from panelcast.sources.storage import materialise, scratch_path
+from panelcast.sources.storage import scratch_path
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 SUMMARY_METRICS = (
@@ -161,7 +161,7 @@ def flow_national_demand(spark: SparkSession, root: str) -> DataFrame:
 @query
 def flow_monthly_demand(spark: SparkSession, root: str) -> DataFrame:
     """The whole monthly job, as its stored equipment forecast."""
-    data = {n: materialise(d, n) for n, d in adapters.datasets(spark, root).items()}
+    data = adapters.datasets(spark, root)
     return flows.run_demand(
         data, mapping(spark), scratch_path(spark, "flow"), 12, adapters.CHAPTER_TO_FUNCTION,
         adapters.OLDER_SEGMENTS, [(n, "live", "parquet") for n in data]).equipment.drop("run_id")

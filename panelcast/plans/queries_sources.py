@@ -43,7 +43,7 @@ def a4_national_series(spark: SparkSession, root: str) -> DataFrame:
 def a5_top_down_allocation(spark: SparkSession, root: str) -> DataFrame:
     sheet = adapters.national_sheet(spark, root)
     series = conform.national_series(sheet)
-    places = adapters._places(spark, root)
+    places = adapters.places(spark, root)
     customer = adapters.table(spark, root, "customer").select("c_nationkey")
     shares = customer.join(places, customer.c_nationkey == places.n_nationkey).groupBy("trust_code", "region").agg(
         F.count("*").alias("size"))
@@ -228,7 +228,7 @@ def a23_replace_run(spark: SparkSession, root: str) -> DataFrame:
     storage.replace_run(levels, base, "forecast_procedures", "run-1")
     storage.replace_run(levels, base, "forecast_procedures", "run-2")
     storage.replace_run(levels.where(F.col("level") == "national"), base, "forecast_procedures", "run-1")
-    return rounded(storage.read_runs(spark, base, "forecast_procedures").groupBy("run_id", "level").agg(
+    return rounded(storage.read_table(spark, base, "forecast_procedures").groupBy("run_id", "level").agg(
         F.count("*").alias("n_rows"), F.sum("yhat").alias("yhat")), 3)
 
 

@@ -87,6 +87,9 @@ TABLES = {
         "floor_breach_prob double", "op_herfindahl double", "expected_margin_gbp double"),
 }
 
+# Tables that grow by runs; stored partitioned by run_id, so a run is one partition.
+RUN_TABLES = ("forecast_procedures", "forecast_equipment", "underwriting_device")
+
 # Curated dataset -> stored table.
 DATASET_TABLE = {
     "procedures": "fact_procedures",

@@ -39,7 +39,7 @@ def _month(column: str) -> Column:
     return F.trunc(F.to_date(column), "month")
 
 
-def _places(spark: SparkSession, root: str) -> DataFrame:
+def places(spark: SparkSession, root: str) -> DataFrame:
     nation = table(spark, root, "nation")
     region = table(spark, root, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -48,9 +48,9 @@ def _places(spark: SparkSession, root: str) -> DataFrame:
 
 def _lines(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     """Line items with trust and region of the supplier and the part's labels."""
-    places = _places(spark, root)
+    located = places(spark, root)
     supplier = table(spark, root, "supplier").join(
-        places, F.col("s_nationkey") == places.n_nationkey).select("s_suppkey", "trust_code", "region")
+        located, F.col("s_nationkey") == located.n_nationkey).select("s_suppkey", "trust_code", "region")
     part = table(spark, root, "part").select("p_partkey", "p_brand", "p_type")
     lineitem = table(spark, root, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", *columns)
     return (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
@@ -59,9 +59,9 @@ def _lines(spark: SparkSession, root: str, *columns: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, root: str) -> DataFrame:
-    places = _places(spark, root)
+    located = places(spark, root)
     customer = table(spark, root, "customer").join(
-        places, F.col("c_nationkey") == places.n_nationkey).select(
+        located, F.col("c_nationkey") == located.n_nationkey).select(
             "c_custkey", "c_mktsegment", "trust_code", "region")
     orders = table(spark, root, "orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     return orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -196,8 +196,8 @@ def devices(spark: SparkSession, root: str) -> DataFrame:
                 (F.ceil(starts_per_day * 1.25) + no % 3).cast("int").alias("cap_sessions_day")))
 
 
-def events(spark: SparkSession, root: str) -> DataFrame:
-    """Device event log with two derived power rows per device-day.
+def session_events(spark: SparkSession, root: str) -> DataFrame:
+    """Starts, ends and errors of the devices.
 
     ``seq_no`` is twice the source event id: unique, increasing in time, no ranking pass needed.
     """
@@ -205,7 +205,7 @@ def events(spark: SparkSession, root: str) -> DataFrame:
     kind = F.when(F.col("event_type").isin("view", "click"), "active_start").when(
         F.col("event_type").isin("purchase", "signup"), "active_end").otherwise("error")
     is_end = F.col("event_type").isin("purchase", "signup")
-    base = raw.select(
+    return raw.select(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
         _device_id(F.col("device_no")).alias("device_id"),
         F.concat(F.lit("site"), (F.col("device_no") % 6).cast("string")).alias("site_id"),
@@ -217,9 +217,13 @@ def events(spark: SparkSession, root: str) -> DataFrame:
         (F.col("k") % 3).cast("int").alias("n_errors"),
         F.concat(F.lit("Brand#"), (1 + F.col("k") % 25).cast("string")).alias("procedure_code"),
         F.when(F.col("k") % 33 == 0, "suspect").otherwise("ok").alias("ingest_quality"))
-    span = raw.groupBy("device_no", F.to_date("ts").alias("day")).agg(
+
+
+def power_events(spark: SparkSession, root: str) -> DataFrame:
+    """Two derived rows per device-day: on at its first event, off at its last."""
+    span = _raw_events(spark, root).groupBy("device_no", F.to_date("ts").alias("day")).agg(
         F.min(F.struct("ts", "event_id")).alias("first"), F.max(F.struct("ts", "event_id")).alias("last"))
-    power = span.select(
+    return span.select(
         "device_no",
         F.explode(F.array(
             F.struct(F.lit("power_on").alias("kind"), F.col("first").alias("at"), F.lit(-1).alias("step")),
@@ -236,7 +240,11 @@ def events(spark: SparkSession, root: str) -> DataFrame:
             F.lit(0).alias("n_errors"),
             F.lit(None).cast("string").alias("procedure_code"),
             F.lit("ok").alias("ingest_quality"))
-    return base.unionByName(power)
+
+
+def events(spark: SparkSession, root: str) -> DataFrame:
+    """The whole device event log."""
+    return session_events(spark, root).unionByName(power_events(spark, root))
 
 
 def operators(spark: SparkSession, root: str) -> DataFrame:

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
+from typing import TypeVar
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from panelcast.schemas import TABLES, schema_of
+from panelcast.schemas import RUN_TABLES, TABLES, schema_of
 
+T = TypeVar("T")
 POINTER = "_latest"
 PROVENANCE = schema_of("run_id string", "source string", "kind string", "detail string", "ts timestamp")
 
@@ -112,14 +115,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def init_tables(spark: SparkSession, root: str, tables: Mapping[str, StructType] = TABLES) -> None:
-    """Create the missing tables, empty, with their declared types."""
+    """Create the missing tables, empty, with their declared types. Run tables begin with their first run."""
     for name, schema in tables.items():
-        if not _exists(spark, table_path(root, name)):
+        if name not in RUN_TABLES and not _exists(spark, table_path(root, name)):
             spark.createDataFrame([], schema).write.mode("ignore").parquet(table_path(root, name))
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(TABLES[table]).parquet(table_path(root, table))
+    """A stored table; one that was never written is empty. A run_id filter prunes to its partition."""
+    schema = TABLES[table]
+    try:
+        return spark.read.schema(schema).parquet(table_path(root, table)).select(*schema.fieldNames())
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark actions side by side, so that small ones fill the cluster together."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
 def to_table_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -136,20 +151,15 @@ def replace_table(df: DataFrame, root: str, table: str) -> None:
 
 
 def append_run(df: DataFrame, root: str, table: str) -> None:
-    """Add a run's rows."""
-    to_table_schema(df, TABLES[table]).write.mode("append").parquet(table_path(root, table))
+    """Add a run's rows to a run table."""
+    to_table_schema(df, TABLES[table]).write.mode("append").partitionBy("run_id").parquet(table_path(root, table))
 
 
 def replace_run(df: DataFrame, root: str, table: str, run_id: str) -> None:
     """Idempotent load of one run: only that run's partition is replaced."""
     rows = to_table_schema(df, TABLES[table]).withColumn("run_id", F.lit(run_id))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id").parquet(table_path(root, f"{table}_runs")))
-
-
-def read_runs(spark: SparkSession, root: str, table: str) -> DataFrame:
-    stored = spark.read.schema(TABLES[table]).parquet(table_path(root, f"{table}_runs"))
-    return stored.select(*TABLES[table].fieldNames())
+     .partitionBy("run_id").parquet(table_path(root, table)))
 
 
 def fiscal_year(day: str):
@@ -183,8 +193,7 @@ def query(frames: Mapping[str, DataFrame], sql: str) -> DataFrame:
 def query_tables(spark: SparkSession, root: str, sql: str, tables: Sequence[str] = tuple(TABLES)) -> DataFrame:
     """Ad-hoc SQL over the stored tables, which are registered as temporary views."""
     for name in tables:
-        if _exists(spark, table_path(root, name)):
-            read_table(spark, root, name).createOrReplaceTempView(name)
+        read_table(spark, root, name).createOrReplaceTempView(name)
     return spark.sql(sql)
 
 
@@ -224,7 +233,8 @@ def write_artifact(df: DataFrame, root: str, name: str, run_id: str) -> None:
 
 
 def write_report(report: DataFrame, root: str, name: str, run_id: str) -> None:
-    """One-row report as JSON, per run and latest."""
-    one = report.coalesce(1)
-    one.write.mode("overwrite").json(f"{root}/{name}/run_id={run_id}")
-    one.write.mode("overwrite").json(f"{root}/{name}_latest")
+    """One-row report as JSON, per run and latest; the second is read from the first."""
+    path = f"{root}/{name}/run_id={run_id}"
+    report.coalesce(1).write.mode("overwrite").json(path)
+    report.sparkSession.read.schema(report.schema).json(path).coalesce(1).write.mode("overwrite").json(
+        f"{root}/{name}_latest")

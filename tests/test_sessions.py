@@ -49,8 +49,7 @@ def test_ordinal_pairing_against_brute_force(spark, width):
         assert (r.device_id, r.operator_hash, r.t_start, pytest.approx(r.active_seconds), r.billable) == want[r.session_id]
 
 
-def test_ordinal_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(sessions, "SUPER_WIDTH", 4)
+def test_ordinal_over_many_buckets(spark):
     df = spark.range(500).select(F.lit("k").alias("k"), (F.col("id") * 7).alias("seq"), (F.col("id") + 1).alias("want"))
     out = sessions.ordinal(df.repartition(7), ["k"], "seq", width=50)
     assert out.where("ordinal <> want").count() == 0 and out.count() == 500

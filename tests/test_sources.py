@@ -101,7 +101,7 @@ def test_replace_run_is_idempotent(spark, tmp_path):
     for _ in range(2):
         storage.replace_run(book, base, "underwriting_device", "r1")
     storage.replace_run(book.limit(1), base, "underwriting_device", "r2")
-    out = storage.read_runs(spark, base, "underwriting_device")
+    out = storage.read_table(spark, base, "underwriting_device")
     assert out.columns == TABLES["underwriting_device"].fieldNames()
     assert {r.run_id: r["count"] for r in out.groupBy("run_id").count().collect()} == {"r1": 2, "r2": 1}
 
