@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.metrics import evaluate, temporal_split
-from panelcast.operators import pooled, seasonal, window_ar
+from panelcast.operators import pooled, pooled_trees, seasonal, window_ar
 from panelcast.operators.features_monthly import SERIES, TARGET
 
 ALL_MODELS = ("pooled", "seasonal", "window")
+# "trees" may be added to the list; boosting takes many more passes over the data.
 
 
 def score(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], model: str, grain: str) -> DataFrame:
@@ -29,6 +30,9 @@ def backtest(features: DataFrame, horizon: int, models: Sequence[str] = ALL_MODE
     if "pooled" in models:
         fc = pooled.recursive_forecast(train, pooled.train(train), horizon)
         rows.append(score(fc, test, SERIES, "pooled", "trust"))
+    if "trees" in models:
+        fc = pooled_trees.recursive_forecast(train, pooled_trees.train(train, horizon), horizon)
+        rows.append(score(fc, test, SERIES, "trees", "trust"))
     if "seasonal" in models:
         code = ["procedure_code"]
         national = lambda df: df.groupBy(*code, "date").agg(F.sum(TARGET).alias(TARGET))

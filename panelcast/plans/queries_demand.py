@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from panelcast.functions import metrics
 from panelcast.functions.panel import rounded, series_window
 from panelcast.operators import (
-    backtest, demand, features_monthly as fm, hierarchy, naive, pooled, scenarios, seasonal, window_ar,
+    backtest, demand, features_monthly as fm, hierarchy, naive, pooled, pooled_trees, scenarios,
+    seasonal, window_ar,
 )
 from panelcast.plans.registry import query
 from panelcast.sources import adapters
@@ -184,6 +185,13 @@ def d8_pooled_quantiles(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "quantile string, slot int, coefficient double").withColumn("n_test", n_test)
 
 
+@query
+def d8_pooled_trees(spark: SparkSession, root: str) -> DataFrame:
+    """Boosted-tree forecast of the holdout months with conformal bands."""
+    train, _ = metrics.temporal_split(materialise(feature_table(spark, root), "features"), "date", HORIZON)
+    return pooled_trees.recursive_forecast(train, pooled_trees.train(train, HORIZON, rounds=10), HORIZON)
+
+
 @query
 def d9_ar_state(spark: SparkSession, root: str) -> DataFrame:
     base = adapters.procedures(spark, root)

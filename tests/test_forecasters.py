@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.functions.folds import bind, deviation_of, mean_of, solve_scaled, tail
-from panelcast.operators import backtest, naive, pooled, seasonal, window_ar
+from panelcast.operators import backtest, naive, pooled, pooled_trees, seasonal, window_ar
 from panelcast.operators.features_monthly import SERIES, build_feature_table
 from panelcast.sources.storage import materialise
 from tests.test_features import TABLE, inputs
@@ -64,6 +64,18 @@ def test_ar_features_of_short_and_long_histories(spark):
     assert long.n_procedures_rollmean3 == 13.0 and long.n_procedures_rollstd3 == pytest.approx(1.0)
 
 
+def test_boosted_trees(panel, table):
+    """Close to the season-and-trend truth, ordered bands, a sensible share of actuals inside."""
+    train = table.where("date < '2023-07-01'")
+    out = pooled_trees.recursive_forecast(train, pooled_trees.train(train, 6, rounds=12, depth=4), 6, cut_every=2)
+    assert out.count() == 24 * 6
+    assert out.where("yhat_lower < 0 or yhat_lower > yhat or yhat > yhat_upper").count() == 0
+    joined = out.join(panel.select(*SERIES, "date", "n_procedures"), [*SERIES, "date"])
+    row = joined.agg(F.avg(F.expr("abs(yhat - n_procedures) / n_procedures")).alias("ape"),
+                     F.avg(F.expr("if(n_procedures between yhat_lower and yhat_upper, 1.0, 0.0)")).alias("inside")).first()
+    assert row.ape < 0.25 and row.inside > 0.4
+
+
 def test_monotone_band(spark):
     row = spark.range(1).select(pooled.monotone(F.lit(9.0), F.lit(-4.0), F.lit(3.0)).alias("b")).first()
     assert row.b == [0.0, 3.0, 9.0]
