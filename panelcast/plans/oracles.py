@@ -790,7 +790,7 @@ def oracle_sql() -> dict[str, str]:
             "demand", 3),
         "i15_region_equipment_mean": _sql(
             _pivot("(SELECT * FROM equipment WHERE scenario = 'baseline' AND level = 'regional')", "region", "equipment_type",
-                   EQUIPMENT_TYPES, "avg(demand)"), " ".join(EQUIPMENT_TYPES), 3),
+                   EQUIPMENT_TYPES, "avg(demand)"), " ".join(EQUIPMENT_TYPES)),
         "i16_trust_ranking": _sql("""
             SELECT trust_code, region, sum(demand) AS demand FROM equipment WHERE scenario = 'baseline' AND level = 'trust' GROUP BY ALL""",
             "demand", 3),

@@ -111,7 +111,7 @@ def i14_regional_demand(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def i15_region_equipment_mean(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(reports.region_equipment_mean(equipment(spark, root), adapters.EQUIPMENT_TYPES), 3)
+    return rounded(reports.region_equipment_mean(equipment(spark, root), adapters.EQUIPMENT_TYPES))
 
 
 @query
