@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,12 +22,8 @@ PROVENANCE = schema_of("run_id string", "source string", "kind string", "detail
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder; a temporary one only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is needed")
-        root = tempfile.mkdtemp(prefix="panelcast-")
+    """A fresh folder under the cluster's shared checkpoint folder; where none is set, under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/stages"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
