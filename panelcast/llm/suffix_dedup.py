@@ -225,3 +225,13 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     schema = StructType([joined.schema["row"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
                          StructField("kept", BinaryType())])
     return joined.mapInArrow(_cut, schema)
+
+
+def whole_characters(kept: Column) -> Column:
+    """Bytes as text; a character that lost some of its bytes goes."""
+
+    @F.arrow_udf("string")
+    def decode(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else v.decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
+
+    return decode(kept)
