@@ -71,7 +71,6 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     return whole, spans
 
 
-@F.arrow_udf(FORMATTED)
 def _render(turns: pa.Array) -> pa.Array:
     made = [render([(t["role"], t["text"]) for t in x]) for x in turns.to_pylist()]
     kind = pa.struct([("formatted", pa.string()), ("loss_spans", pa.list_(pa.struct([("start", pa.int32()),
@@ -79,7 +78,6 @@ def _render(turns: pa.Array) -> pa.Array:
     return pa.array([{"formatted": s, "loss_spans": [{"start": a, "end": b} for a, b in m]} for s, m in made], kind)
 
 
-@F.arrow_udf(TURNS)
 def _parse(formatted: pa.Array) -> pa.Array:
     kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
     return pa.array([None if (p := parse(s or "")) is None else [{"role": r, "text": t} for r, t in p]
@@ -93,12 +91,12 @@ def format_chats(conversations: DataFrame, *, id_col: str = "conv_id", turn_col:
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     turns = F.transform(F.sort_array(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     return (conversations.groupBy(F.col(id_col).alias("conv_id")).agg(turns.alias("turns"))
-            .select("conv_id", _render("turns").alias("r")).select("conv_id", "r.formatted", "r.loss_spans"))
+            .select("conv_id", F.arrow_udf(_render, FORMATTED)("turns").alias("r")).select("conv_id", "r.formatted", "r.loss_spans"))
 
 
 def parsed(formatted: Column) -> Column:
     """Turns read back from rendered text."""
-    return _parse(formatted)
+    return F.arrow_udf(_parse, TURNS)(formatted)
 
 
 def unescaped(content: Column) -> Column:

@@ -10,8 +10,8 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 VECTORS = """
 WITH RECURSIVE good AS (
     SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
       ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
@@ -37,6 +37,44 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
        formatted_chars
 FROM whole"""
 
+# Bytes are pairs of hexadecimal digits.
+REPEATS = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+part_ AS (SELECT doc_id, n, p, substr(h, 2 * p + 1, 2398) AS h
+          FROM (SELECT doc_id, h, n, unnest(range(0, n - 199, 1000)) AS p FROM b WHERE n >= 200)),
+win AS (SELECT doc_id, p + j AS i, md5(substr(h, 2 * j + 1, 400)) AS m
+        FROM (SELECT doc_id, h, p, unnest(range(0, least(1000, n - 199 - p))) AS j FROM part_)),
+dup AS (SELECT m FROM win GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 200, true) AS fresh
+        FROM win SEMI JOIN dup USING (m)),
+run AS (SELECT doc_id, min(i) AS lo, max(i) + 200 AS hi
+        FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit) GROUP BY doc_id, r),
+part AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS after FROM run),
+cut AS (SELECT doc_id, count(*) AS n_spans, sum(hi - lo)::BIGINT AS n_removed, max(hi) AS last,
+               string_agg(substr(h, 2 * after + 1, 2 * (lo - after)), '' ORDER BY lo) AS head
+        FROM part JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)"""
+
+JACCARD = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+          ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+      FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+          FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * common >= 90 * (p.n + q.n - common)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE a = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT, "op3_embedding_join": VECTORS, "op6_chat_format": CHATS}
+    return {"op1_exact_dedup": EXACT, "op3_embedding_join": VECTORS, "op6_chat_format": CHATS,
+            "op9_suffix_dedup": REPEATS, "op10_ngram_join": JACCARD}
