@@ -48,7 +48,7 @@ def letters() -> np.ndarray:
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (three 21-bit fields) and counts of the n-grams of a text; empty if it has no letter."""
+    """Codes (three 21-bit fields), ascending, and counts of the n-grams of a text; empty if it has no letter."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     table = letters()
     parts = []
@@ -58,20 +58,8 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
             c = np.concatenate(([np.uint32(SPACE)], c))
         if at + PIECE >= len(codes):
             c = np.concatenate((c, [np.uint32(SPACE)]))
-        c = c.astype(np.uint64)
-        last, mid, first = c[2:], c[1:-1], c[:-2]
-        if not len(last):
-            continue
-        word = last != SPACE
-        one = last[word]
-        two = ((mid << np.uint64(21)) | last)[word | (mid != SPACE)]
-        three = (first << np.uint64(42)) | (mid << np.uint64(21)) | last
-        three = three[(mid != SPACE) & (word | (first != SPACE))]
-        if at == 0:  # the first letter closes no triple
-            one = np.concatenate((one, mid[:1][mid[:1] != SPACE]))
-            head = ((first[:1] << np.uint64(21)) | mid[:1])[mid[:1] != SPACE]
-            two = np.concatenate((two, head))
-        parts.append(np.unique(np.concatenate((one, two, three)), return_counts=True))
+        if len(c) > 2:
+            parts.append(_count(c.astype(np.uint32), at == 0))
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(parts) == 1:
@@ -80,9 +68,29 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
+def _count(c: np.ndarray, begins: bool) -> tuple[np.ndarray, np.ndarray]:
+    # Alphabets with small numbers fit into half the width while they are counted.
+    kind, bits = (np.uint32, 10) if c.max() < 1 << 10 else (np.uint64, 21)
+    c = c.astype(kind, copy=False)
+    one, two = kind(bits), kind(2 * bits)
+    last, mid, first = c[2:], c[1:-1], c[:-2]
+    letter = c != SPACE
+    ends, inner = letter[2:], letter[1:-1]
+    pair = (mid << one) | last
+    found = [last[ends], pair[ends | inner], ((first << two) | pair)[inner & (ends | letter[:-2])]]
+    if begins and inner[0]:  # the first letter closes no triple
+        found += [mid[:1], (first[:1] << one) | mid[:1]]
+    codes, counts = np.unique(np.concatenate(found), return_counts=True)
+    if bits < 21:
+        wide, low = codes.astype(np.uint64), np.uint64((1 << bits) - 1)
+        codes = (((wide >> np.uint64(2 * bits)) << np.uint64(42)) | (((wide >> np.uint64(bits)) & low) << np.uint64(21))
+                 | (wide & low))
+    return codes, counts
+
+
 def ranked(codes: np.ndarray, counts: np.ndarray, top: int = RANKS) -> np.ndarray:
-    """The most frequent n-grams, most frequent first, ties by code."""
-    return codes[np.lexsort((codes, -counts))[:top]]
+    """The most frequent n-grams, most frequent first, ties by code (`codes` ascend)."""
+    return codes[np.argsort(-counts, kind="stable")[:top]]
 
 
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS) -> dict[str, list[int]]:
