@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from panelcast.sources.storage import materialise
 
 #: A side of a join is broadcast only if it was written, counted, and has at most so many bytes of plain values.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD = 48
 
 
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """`df`, a written table, marked for broadcast if its counted rows stay within `limit`; else left to a shuffle."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    """`df`, a written table, marked for broadcast if its counted rows stay within `limit`; else left to a shuffle.
+
+    A row in a hash table takes about `ROW_OVERHEAD` bytes beside its values.
+    """
+    return F.broadcast(df) if df.count() * (row_bytes + ROW_OVERHEAD) <= limit else df
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:

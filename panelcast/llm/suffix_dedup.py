@@ -5,16 +5,16 @@ Strings do not cross texts and are judged on the input.
 
 The windows (suffixes cut to `length` bytes) are not sorted one by one: as in induced sorting, a sparse subset is grouped
 first and the others take their verdict from it. The subset are the places that hold the smallest hash of any `GRAM`
-bytes in some window (about one byte in 75). Equal windows hold it at the same offset, so windows can only be equal if
-their places begin with the same bytes. Three steps, each on less data:
+bytes in some window (about one byte in 75). Equal windows hold it at the same offset, so a place stands for the run of
+windows that hold it, and equal windows lie in runs of equal places. Runs are settled by recursion:
 
-1. Places whose first bytes occur once decide all their windows: not repeated.
-2. Among the rest, places whose whole neighbourhood (all windows they stand for) is the same decide theirs: repeated.
-3. One copy of each neighbourhood that is left beside a different one is unfolded into its windows, which are compared
-   one by one (the common extensions of two places are whatever windows agree).
+1. What all windows of a run have in common (their core; at first the gram) occurs once: none of them repeats.
+2. What all of them cover together occurs twice, at the same offset from the place: all of them repeat.
+3. Else one copy of the run is cut into shorter runs, at fixed offsets from the place, and these are settled likewise,
+   down to single windows. Only runs in which a repeat begins or ends get that far.
 
-Texts that are equal are one text; its copies go as a whole if it has `length` bytes. Comparisons are by 128-bit hash,
-the first by 64 bits, which can only cause needless work. Null and short texts keep everything; a null id keeps its row
+Texts that are equal are one text; its copies go as a whole if it has `length` bytes. Verdicts are by 128-bit hash, the
+core's by 64 bits, which can only cause needless work. Null and short texts keep everything; a null id keeps its row
 and takes part. Rows that repeat are copies of each other. An empty table gives an empty result.
 """
 
@@ -37,7 +37,10 @@ GRAM = 50
 #: Texts that a task remembers having sent.
 SEEN = 500_000
 
-PLACE = "text_key long, low long, high long, at long, gram long, area_a long, area_b long"
+#: Windows of the runs after the first cut; the second cut leaves single windows.
+SHORT = 10
+
+RUN = "text_key long, low long, high long, at long, single boolean, core long, area_a long, area_b long, spot long"
 
 
 def minima(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -85,6 +88,19 @@ def _first_copies(batches):
         yield b if all(fresh) else b.filter(pa.array(fresh))
 
 
+def _batch(keys, low, high, at, base, single, core, area, part, length):
+    """Runs as rows. Positions are in `part`; the text's own start is `base`."""
+    shape = (at - low).astype(np.uint64) * GOLDEN + (high - low).astype(np.uint64)
+    end = high + length
+    spot = mix(keys.view(np.uint64) + mix((low - base).astype(np.uint64) + GOLDEN))
+    first, second = area
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys), pa.array(low - base), pa.array(high - base), pa.array(at - base), pa.array(single),
+         pa.array(core.view(np.int64)), pa.array(mix(first.hash(low, end) + shape).view(np.int64)),
+         pa.array(mix(second.hash(low, end) ^ shape).view(np.int64)), pa.array(spot.view(np.int64))],
+        ["text_key", "low", "high", "at", "single", "core", "area_a", "area_b", "spot"])
+
+
 def _places(length: int, gram: int):
     def run(batches):
         for b in _first_copies(batches):
@@ -94,42 +110,39 @@ def _places(length: int, gram: int):
                 own = offsets[i: j + 1] - offsets[i]
                 part = data[offsets[i]: offsets[j]]
                 text, place, low, high = minima(part, own, length, gram)
-                first, second = Substrings(part, 0), Substrings(part, 1)
-                shape = (place - low).astype(np.uint64) * GOLDEN + (high - low).astype(np.uint64)
-                end = high + length
-                base = own[text]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[i:j][text]), pa.array(low - base), pa.array(high - base), pa.array(place - base),
-                     pa.array(second.hash(place, place + gram).view(np.int64)),
-                     pa.array(mix(first.hash(low, end) + shape).view(np.int64)),
-                     pa.array(mix(second.hash(low, end) ^ shape).view(np.int64))],
-                    ["text_key", "low", "high", "at", "gram", "area_a", "area_b"])
+                area = Substrings(part, 0), Substrings(part, 1)
+                yield _batch(keys[i:j][text], low, high, place, own[text], np.ones(len(text), bool),
+                             area[1].hash(place, place + gram), area, part, length)
     return run
 
 
-def _unfold(length: int):
+def _cut_runs(length: int, step: int):
+    """Runs of each text cut into runs of `step` windows, at multiples of `step` from the place."""
     def run(batches):
         for b in _first_copies(batches):
             keys = b.column(0).to_numpy()
             data, offsets = text_bytes(b.column(1))
-            areas = b.column(2)
-            at, area = areas.offsets.to_numpy(), areas.flatten()
-            lows, highs, singles = (area.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high", "single"))
+            first_run, items = b.column(2).offsets.to_numpy(), b.column(2).flatten()
+            columns = [items.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high", "at", "single")]
             for i, j in chunks(offsets):
                 part, own = data[offsets[i]: offsets[j]], offsets[i:j] - offsets[i]
-                text = np.repeat(np.arange(j - i), np.diff(at[i: j + 1]))
-                low, high, single = (x[at[i]: at[j]] for x in (lows, highs, singles))
-                n = high - low + 1
+                area = Substrings(part, 0), Substrings(part, 1)
+                text = np.repeat(np.arange(j - i), np.diff(first_run[i: j + 1]))
+                low, high, at, single = (c[first_run[i]: first_run[j]] for c in columns)
+                near, far = (at - high) // step, (at - low) // step
+                n = far - near + 1
                 row = np.repeat(np.arange(len(n)), n)
-                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[row]
-                where = start + own[text[row]]
-                a = Substrings(part, 0).hash(where, where + length).view(np.int64)
-                c = Substrings(part, 1).hash(where, where + length).view(np.int64)
-                for k in range(0, len(a), 200_000):
-                    s = slice(k, k + 200_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a[s]), pa.array(c[s]), pa.array(keys[i:j][text[row[s]]]), pa.array(start[s]),
-                         pa.array(single[row[s]])], ["a", "b", "text_key", "low", "single"])
+                block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[row]
+                base, at = own[text[row]], at[row]
+                last, first = at - block * step, at - block * step - step + 1
+                # The bytes that the block's windows share, whether or not all of them belong to the run.
+                core = area[1].hash(base + last, base + first + length)
+                low, high = np.maximum(low[row], first), np.minimum(high[row], last)
+                core = mix(core + block.astype(np.uint64) * GOLDEN)
+                for k in range(0, len(low), 100_000):
+                    s = slice(k, k + 100_000)
+                    yield _batch(keys[i:j][text[row[s]]], base[s] + low[s], base[s] + high[s], base[s] + at[s], base[s],
+                                 single[row[s]], core[s], area, part, length)
     return run
 
 
@@ -149,39 +162,41 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, t
     copies = materialise(texts.where(F.octet_length("text") >= length).groupBy("text_key")
                          .agg(F.count("*").alias("copies"), F.max(F.octet_length("text")).cast("long").alias("size"))
                          .where("copies > 1"), "suffix-copies")
-    places = texts.mapInArrow(_places(length, gram), PLACE)
-    # 1. Grams that occur once decide their windows. Copies of a text are equal in all they send and count once.
-    grams = (places.groupBy("gram").agg(F.min("text_key").alias("k1"), F.max("text_key").alias("k2"),
-                                        F.min("at").alias("p1"), F.max("at").alias("p2"),
-                                        F.min("area_a").alias("a1"), F.max("area_a").alias("a2"))
-             .where("k1 <> k2 OR p1 <> p2").select("gram", (F.col("a1") == F.col("a2")).alias("same")))
-    grams = sized(materialise(grams, "suffix-grams"), 20)
-    left = materialise(places.join(grams, "gram").drop("at"), "suffix-places")
-    # 2. Equal neighbourhoods.
-    place = F.struct("text_key", "low", "high")
-    areas = (left.groupBy("gram", "area_a", "area_b")
-             .agg(F.min(place).alias("rep"), F.max(place).alias("other"), F.first("same").alias("same"))
-             .select("gram", "area_a", "area_b", "rep", (F.col("rep") != F.col("other")).alias("several"), "same"))
-    areas = materialise(areas, "suffix-areas")
-    several = sized(materialise(areas.where("several").select("gram", "area_a", "area_b"), "suffix-several"), 32)
-    spans = left.join(several, ["gram", "area_a", "area_b"]).select("text_key", "low", "high").distinct()
-    # 3. One copy of each neighbourhood that stands beside a different one.
-    unfold = (areas.where("NOT same").select("rep.*", (~F.col("several")).alias("single")).groupBy("text_key")
-              .agg(F.collect_list(F.struct("low", "high", "single")).alias("areas")))
-    unfold = materialise(unfold, "suffix-unfold")
-    sources = texts.join(_sized_lists(unfold, "areas", 24), "text_key").select("text_key", "text", "areas")
-    windows = sources.mapInArrow(_unfold(length), "a long, b long, text_key long, low long, single boolean")
-    # Windows of one neighbourhood and copies of one text count once.
-    twice = (windows.groupBy("a", "b").agg(F.min(F.struct("text_key", "low")).alias("x"),
-                                           F.max(F.struct("text_key", "low")).alias("y"),
-                                           F.max("single").alias("single"))
-             .where("x <> y"))
-    twice = materialise(twice.where("single").select("a", "b"), "suffix-windows")
-    again = (windows.where("single").join(sized(twice, 24), ["a", "b"])
-             .select("text_key", "low", F.col("low").alias("high")).distinct())
+    spans, runs = _settled(texts.mapInArrow(_places(length, gram), RUN), "places")
+    parts = [spans]
+    for step, name in ((SHORT, "short"), (1, "single")):
+        sources = texts.join(_sized_lists(runs, "runs", 40), "text_key").select("text_key", "text", "runs")
+        spans, runs = _settled(sources.mapInArrow(_cut_runs(length, step), RUN), name)
+        parts.append(spans)
+    all_spans = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("high", F.col("high") + length)
     known = copies.select("text_key", F.lit(0).cast("long").alias("low"), F.col("size").alias("high"))
-    all_spans = (spans.unionByName(again).withColumn("high", F.col("high") + length).unionByName(known))
-    return merged(all_spans)
+    return merged(all_spans.unionByName(known))
+
+
+def _settled(runs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Runs that repeat as a whole (text_key, low, high), and per text the runs to be cut further.
+
+    A position counts once, however many copies of its text send it. Groups combine before each shuffle.
+    """
+    shared = (runs.groupBy("core").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).where("x <> y")
+              .select("core"))
+    left = materialise(runs.join(sized(materialise(shared, f"suffix-{name}-cores"), 0), "core"), f"suffix-{name}-runs")
+    areas = (left.groupBy("core", "area_a", "area_b")
+             .agg(F.min("spot").alias("x"), F.max("spot").alias("y"), F.max("single").alias("single"))
+             .select("core", "area_a", "area_b", "x", (F.col("x") != F.col("y")).alias("several"), "single"))
+    areas = materialise(areas, f"suffix-{name}-areas")
+    several = sized(materialise(areas.where("several AND single").select("area_a", "area_b"), f"suffix-{name}-several"), 48)
+    spans = left.where("single").join(several, ["area_a", "area_b"]).select("text_key", "low", "high")
+    # One copy of each different area of a core is cut if one of them has no equal and waits for a verdict.
+    waits = ~F.col("several") & F.col("single")
+    open_ = areas.groupBy("core").agg(F.count("*").alias("n"), F.max(waits).alias("any"))
+    open_ = sized(materialise(open_.where("n > 1 AND any").select("core"), f"suffix-{name}-open"), 0)
+    speaks = areas.join(open_, "core").select(F.col("x").alias("spot"), waits.alias("waits"))
+    speaks = sized(materialise(speaks, f"suffix-{name}-speaks"), 8)
+    cut = (left.join(speaks, "spot").groupBy("text_key", "spot")
+           .agg(*(F.first(c).alias(c) for c in ("low", "high", "at", "waits"))))
+    run = F.struct("low", "high", "at", F.col("waits").alias("single"))
+    return spans, materialise(cut.groupBy("text_key").agg(F.collect_list(run).alias("runs")), f"suffix-{name}-cut")
 
 
 def _sized_lists(written: DataFrame, col: str, item_bytes: int) -> DataFrame:
