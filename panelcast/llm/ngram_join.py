@@ -9,12 +9,13 @@ n-grams, and it is cut into fragments twice:
    set's size band; a set also takes part in the band below if a partner may lie there. Cuts are spare, so that fragments
    of less than two n-grams (which many documents share by chance) need not be shipped: they are, for exactly those
    documents that have too many of them for the argument to hold.
-2. Verification. Sets of candidates are cut into a few fixed fragments; the partial overlaps of a pair are counted
-   fragment by fragment and summed per pair.
+2. Verification. Sets connected by candidates are brought together. The partial overlaps of a pair are counted fragment
+   by fragment and summed per pair, and a pair is given up as soon as the fragments left cannot lift it to the threshold.
 
-Equal sets are one node. For components not every pair is needed: rounds compare each node with one leader of its
-fragments, joined nodes are contracted, and pairs left between different components are compared exhaustively at the
-end. No link between components is lost, and a large group of near copies costs a few pairs per member.
+Equal sets are one node. Pairs never leave the task that counts them: it returns a spanning forest of the links it
+found, and a pair that is connected already is not counted. Many small clusters share a task; a large one is cut into
+blocks, and each pair of blocks is a task of its own, so that a task's memory is bounded. No link between components is
+lost.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. Rows without an id link with
 nothing and are their own component (null). Equal rows repeat. A text with fewer than k words is one shingle. Sets are
@@ -30,17 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelcast.llm.hashing import GOLDEN, chunks, mix, shingle_sets, text_bytes
-from panelcast.llm.shared import components, sized
+from panelcast.llm.shared import components, sized, with_roots
 from panelcast.sources.storage import materialise
 
-#: Fixed fragments of verification.
-FRAGMENTS = 8
+#: Fragments of verification.
+FRAGMENTS = 4
 #: Ratio of a size band's ends.
 BAND = 1.5
 #: Sets that a task remembers having shipped.
 SEEN = 500_000
-#: Leader rounds end when the pairs left are at most so many per candidate node, or a round joins no more nodes.
-LEFT_PER_NODE = 4
+#: Sets of a block, and of all small clusters in a task.
+BLOCK = 1024
 
 
 def bands(top: int) -> list[int]:
@@ -144,95 +145,117 @@ def _postings(k: int, num: int, den: int):
     return run
 
 
-def _segments(k: int):
+def _sets(k: int):
     def run(batches):
         for b in batches:
             for _, _, tokens, where in _per_chunk(b.column(0), k):
-                n = np.diff(where)
-                if not len(tokens):
-                    continue
-                row = np.repeat(np.arange(len(n)), n)
-                fragment = (tokens >> np.uint64(61)).astype(np.int32)
-                first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1]))))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(tokens)), pa.int32()),
-                                                 pa.array(tokens.view(np.int64)))
-                r = row[first]
-                yield pa.RecordBatch.from_arrays([pa.array(set_ids(tokens, where)[r]), pa.array(fragment[first]),
-                                                  pa.array(n[r]), lists], ["node", "fragment", "n", "tokens"])
+                lists = pa.ListArray.from_arrays(pa.array(where, pa.int32()), pa.array(tokens.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(set_ids(tokens, where)), lists], ["node", "tokens"])
     return run
 
 
-def verified(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps counted per fragment, summed per pair."""
-    asked = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    partial = (asked.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
-               .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("t_a", "t_b")).cast("long").alias("part")))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("both"))
-    return total.where(F.lit(den) * F.col("both") >= F.lit(num) * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
-
-
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings of fragments that still hold several components."""
-    if labels is None:
-        tagged = postings.withColumn("comp", F.col("node"))
-    else:
-        tagged = (postings.select("sig", "node").join(labels, "node", "left")
-                  .select("sig", "node", F.coalesce("root", "node").alias("comp")))
-    box = Window.partitionBy("sig")
-    return (tagged.withColumn("low", F.min("comp").over(box)).withColumn("high", F.max("comp").over(box))
-            .where("low <> high"))
+class Block:
+    """Sets brought together in a task: `rows` sets, whose tokens are numbered in the global order."""
+
+    def __init__(self, tokens: pa.ListArray, num: int, den: int):
+        self.num, self.den = num, den
+        at, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
+        flat, at = flat[at[0]: at[-1]], at - at[0]
+        known, self.tokens = np.unique(flat, return_inverse=True)
+        self.size = np.diff(at)
+        # Where each fragment of each set begins; the last column is the end.
+        edges = np.linspace(0, len(known), FRAGMENTS + 1).astype(np.int64)
+        row = np.repeat(np.arange(len(self.size)), self.size)
+        cell = row * FRAGMENTS + np.searchsorted(edges[1:-1], self.tokens, side="right")
+        counts = np.bincount(cell, minlength=len(self.size) * FRAGMENTS).reshape(-1, FRAGMENTS)
+        self.edge = at[:-1, None] + np.concatenate((np.zeros((len(self.size), 1), np.int64), counts.cumsum(axis=1)), axis=1)
+        self.mark = np.zeros(len(known), np.int64)
+
+    def linked(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of `others` that link to `x`."""
+        n = self.size[x] + self.size[others]
+        least = -(-self.num * n // (self.num + self.den))  # the overlap that suffices
+        mine = self.tokens[self.edge[x, 0]: self.edge[x, -1]]
+        self.mark[mine] = 1
+        both = np.zeros(len(others), np.int64)
+        for f in range(FRAGMENTS):
+            left = np.minimum(self.edge[x, -1] - self.edge[x, f], self.edge[others, -1] - self.edge[others, f])
+            hope = both + left >= least
+            others, both, least = others[hope], both[hope], least[hope]
+            if not len(others):
+                break
+            start, count = self.edge[others, f], self.edge[others, f + 1] - self.edge[others, f]
+            ends = np.cumsum(count)
+            flat = np.repeat(start - (ends - count), count) + np.arange(ends[-1])
+            total = np.concatenate(([0], np.cumsum(self.mark[self.tokens[flat]])))
+            both = both + total[ends] - total[ends - count]
+        self.mark[mine] = 0
+        return others[both >= least]
+
+
+def forest(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Links (a, b) that connect the sets of one task; sets of two blocks are compared across only."""
+    nodes, own = table.column("node").to_numpy(), table.column("own").to_numpy()
+    across = bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
+    block = Block(table.column("tokens").combine_chunks(), num, den)
+    sigs = table.column("sigs").combine_chunks()
+    row = np.repeat(np.arange(len(nodes)), np.diff(sigs.offsets.to_numpy()))
+    sig = sigs.flatten().to_numpy()
+    order = np.lexsort((row, sig))
+    row, sig = row[order], sig[order]
+    group = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    end = np.repeat(np.append(group[1:], len(sig)), np.diff(np.append(group, len(sig))))
+    by_row = np.argsort(row, kind="stable")
+    first = np.searchsorted(row[by_row], np.arange(len(nodes) + 1))
+    label = np.arange(len(nodes))
+    a, b = [], []
+    for x in range(len(nodes)):
+        spots = by_row[first[x]: first[x + 1]]
+        parts = [row[s + 1: end[s]] for s in spots if s + 1 < end[s]]
+        if not parts:
+            continue
+        others = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+        others = others[(label[others] != label[x]) & (not across or own[others] != own[x])]
+        if not len(others):
+            continue
+        for y in block.linked(x, others):
+            if label[x] != label[y]:
+                label[label == label[y]] = label[x]
+                a.append(nodes[x])
+                b.append(nodes[y])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_col: str) -> DataFrame | None:
     """(node, root): components of sets under links, for sets that link at all."""
     docs = docs.where("doc_id IS NOT NULL")
     rows = docs.select(text_col).mapInArrow(_postings(k, num, den), "sig long, node long")
-    left = materialise(_labelled(rows, None).select("sig", "node", "comp", "low", "high").distinct(), "ngram-postings")
-    nodes = materialise(left.select("node").distinct(), "ngram-nodes")
-    n_nodes = nodes.count()
-    if not n_nodes:
+    box = Window.partitionBy("sig")
+    shared = (rows.withColumn("low", F.min("node").over(box)).withColumn("high", F.max("node").over(box))
+              .where("low <> high").select("sig", "node", "low"))
+    shared = materialise(shared, "ngram-postings")
+    members = (shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")))  # at most a set's own fragments
+    clusters = with_roots(components(shared.select(F.col("node").alias("a"), F.col("low").alias("b")), "ngram-clusters"))
+    clusters = materialise(clusters, "ngram-clusters")
+    if clusters.isEmpty():
         return None
     # One document speaks for each candidate set; its text is read again for the set itself.
-    speak = materialise(narrow.where("doc_id IS NOT NULL").join(nodes, narrow.set_id == nodes.node)
+    speak = materialise(narrow.where("doc_id IS NOT NULL").join(clusters, narrow.set_id == clusters.node)
                         .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ngram-speakers")
-    texts = docs.join(sized(speak, 16), "doc_id", "left_semi").select(text_col)
-    segments = (texts.mapInArrow(_segments(k), "node long, fragment int, n long, tokens array<bigint>"))
-    segments = materialise(segments, "ngram-segments").dropDuplicates(["node", "fragment"])
-    edges, labels, turn = None, None, 0
-    while True:
-        crossing = left.groupBy("sig", "comp").agg(F.count("*").alias("c")).groupBy("sig").agg(
-            ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
-        n_left = crossing.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-        if not n_left:
-            return labels
-        last = n_left <= LEFT_PER_NODE * n_nodes or (turn and n_left > 0.9 * before)
-        before = n_left
-        if last:
-            a, b = left.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca")), \
-                left.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-            pairs = a.join(b, "sig").where("ca < cb").select("a", "b").distinct()
-        else:
-            # Each node meets one node of another component: of its fragments' two ends, the one that is not its own.
-            order = F.xxhash64("node", F.lit(turn))
-            ends = left.groupBy("sig").agg(F.min_by("node", F.struct("comp", order)).alias("first"),
-                                           F.max_by("node", F.struct("comp", order)).alias("last"))
-            met = left.join(ends, "sig").select("node", F.when(F.col("comp") == F.col("low"), F.col("last"))
-                                                .otherwise(F.col("first")).alias("other"))
-            pairs = (met.groupBy("node").agg(F.min_by("other", F.xxhash64("other", F.lit(turn))).alias("other"))
-                     .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-        found = materialise(verified(pairs, segments, num, den), "ngram-links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = materialise(_with_roots(components(edges, "ngram-components")), "ngram-labels")
-        if last:
-            return labels
-        left = materialise(_labelled(left, labels), "ngram-left")
-        turn += 1
-
-
-def _with_roots(star: DataFrame) -> DataFrame:
-    return star.unionByName(star.select(F.col("root").alias("node"), "root").distinct())
+    sets = docs.join(sized(speak, 0), "doc_id", "left_semi").select(text_col).mapInArrow(
+        _sets(k), "node long, tokens array<bigint>").dropDuplicates(["node"])
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
+    bins = -(-clusters.count() // BLOCK)
+    placed = clusters.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    placed = placed.withColumn("large", F.col("blocks") > 1).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "bin", F.when(F.col("large"), F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bins)))).withColumn(
+        "partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("node", "large", "bin", "own", F.least("own", "partner").alias("i"),
+                           F.greatest("own", "partner").alias("j"))
+    found = (placed.join(members, "node").join(sets, "node").groupBy("large", "bin", "i", "j")
+             .applyInArrow(lambda t: forest(t, num, den), "a long, b long"))
+    return with_roots(components(materialise(found, "ngram-links"), "ngram-components"))
 
 
 def jaccard_components(docs: DataFrame, *, k: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id",
