@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes worked on at once; a longer text is taken alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
