@@ -1,4 +1,8 @@
-"""Small numpy kernels for count distributions, used inside Spark tasks."""
+"""Count distributions as vectorised numpy kernels, used inside Spark tasks.
+
+Quantiles come from the closed form of the distribution function (incomplete beta or gamma), so one method serves every
+mean and dispersion, and no mass is cut off.
+"""
 
 from __future__ import annotations
 
@@ -6,87 +10,179 @@ import math
 
 import numpy as np
 
-# Above this many support points a quantile is found by bisection on the incomplete beta function.
-MAX_SUPPORT = 200_000
+TINY = 1e-300
+#: Rounding must not push an exact value of the distribution function to the next count.
+EDGE = 1e-12
+#: Counts looked up singly before the grid of a quantile search widens, and the ratio of its steps from there.
+SINGLE, STEP = 64, 1.1
+
+# Rational approximation of the normal distribution function to double precision.
+_NUMERATOR = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871,
+              221.213596169931, 220.206867912376)
+_DENOMINATOR = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
+                637.333633378831, 793.826512519948, 440.413735824752)
+# Coefficients of the asymptotic series of log gamma.
+_STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360)
 
 
 def normal_cdf(z: np.ndarray) -> np.ndarray:
-    return np.fromiter((0.5 * math.erfc(-x / math.sqrt(2.0)) for x in z), float, len(z))
-
-
-def count_cdf(mean: float, r: float) -> tuple[int, np.ndarray]:
-    """(first support point, CDF from it on) of a count law with this mean; ``r = inf`` is Poisson.
-
-    Log-probabilities follow from the ratio of neighbours and are normalised over the support, so
-    large means and a tiny dispersion neither underflow nor need gamma functions.
-    """
-    variance = mean if math.isinf(r) else mean + mean * mean / r
-    sd = math.sqrt(variance)
-    low = max(0, math.floor(mean - 12 * sd - 20))
-    high = math.ceil(mean + 40 * sd + 60)
-    k = np.arange(low, high, dtype=float)
-    if math.isinf(r):
-        step = math.log(mean) - np.log(k + 1)
-    else:
-        step = np.log((k + r) / (k + 1)) + math.log(mean / (r + mean))
-    log_pmf = np.concatenate([[0.0], np.cumsum(step)])
-    pmf = np.exp(log_pmf - log_pmf.max())
-    cdf = np.cumsum(pmf)
-    return low, cdf / cdf[-1]
-
-
-def _log_beta(a: float, b: float) -> float:
-    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - incomplete_beta(b, a, 1.0 - x)
-    front = math.exp(a * math.log(x) + b * math.log1p(-x) - _log_beta(a, b)) / a
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    total = d
-    for m in range(1, 100_000):
-        for numerator in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 + numerator * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + numerator / c
-            c = c if abs(c) > tiny else tiny
-            total *= c * d
-        if abs(c * d - 1.0) < 1e-13:
-            break
-    return front * total
-
-
-def _bisect_quantile(q: float, mean: float, r: float) -> float:
-    p = r / (r + mean)
-    sd = math.sqrt(mean + mean * mean / r)
-    low, high = -1, math.ceil(mean + sd)
-    while incomplete_beta(r, high + 1.0, p) < q:
-        low, high = high, high * 2
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (low, mid) if incomplete_beta(r, mid + 1.0, p) >= q else (mid, high)
-    return float(high)
-
-
-def count_quantiles(u: np.ndarray, mean: float, r: float) -> np.ndarray:
-    """Smallest k with CDF(k) >= u, for every u."""
+    x = np.abs(np.asarray(z, float))
+    density = np.exp(-0.5 * np.minimum(x, 39.0) ** 2)
+    near = density * np.polyval(_NUMERATOR, x) / np.polyval(_DENOMINATOR, x)
+    far = np.maximum(x, 1.0)
+    tail = density / (far + 1 / (far + 2 / (far + 3 / (far + 4 / (far + 0.65))))) / math.sqrt(2 * math.pi)
+    lower = np.where(x < 7.07, near, tail)
+    return np.where(np.asarray(z) > 0, 1 - lower, lower)
+
+
+def _series(x: np.ndarray) -> np.ndarray:
+    """log gamma(x) less its leading term (x - 1/2) log x - x + log(2 pi) / 2, for x >= 10."""
+    out, square = np.zeros_like(x), x * x
+    power = x.copy()
+    for c in _STIRLING:
+        out += c / power
+        power *= square
+    return out
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    x = np.asarray(x, float)
+    shift = np.zeros_like(x)
+    big = x.copy()
+    for _ in range(10):
+        small = big < 10
+        shift = np.where(small, shift + np.log(np.where(small, big, 1.0)), shift)
+        big = np.where(small, big + 1, big)
+    return (big - 0.5) * np.log(big) - big + 0.5 * math.log(2 * math.pi) + _series(big) - shift
+
+
+def log_beta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """log B(a, b); the large terms of log gamma cancel before they are formed."""
+    small, big = np.minimum(a, b), np.maximum(a, b)
+    exact = log_gamma(big) - log_gamma(small + big)
+    big_ = np.maximum(big, 10.0)
+    ratio = small / big_
+    far = -(big_ - 0.5) * np.log1p(ratio) - small * np.log(small + big_) + small + _series(big_) - _series(small + big_)
+    return log_gamma(small) + np.where(big >= 10, far, exact)
+
+
+def _fraction(first: np.ndarray, terms, start: float = 1.0) -> np.ndarray:
+    """Continued fraction by the modified Lentz method, each element until it has converged."""
+    c, d = np.full_like(first, start), 1 / np.where(np.abs(first) > TINY, first, TINY)
+    total, at, m = d.copy(), np.arange(len(first)), 0
+    while len(at):
+        m += 1
+        if m > 10_000_000:
+            raise ArithmeticError("a distribution function did not converge")
+        for numerator, constant in terms(m, at):
+            d_ = constant + numerator * d[at]
+            d_ = 1 / np.where(np.abs(d_) > TINY, d_, TINY)
+            c_ = constant + numerator / c[at]
+            c_ = np.where(np.abs(c_) > TINY, c_, TINY)
+            c[at], d[at] = c_, d_
+            total[at] *= c_ * d_
+        at = at[np.abs(c_ * d_ - 1) >= 1e-14]
+    return total
+
+
+def incomplete_beta(a, b, x, y=None) -> np.ndarray:
+    """Regularised incomplete beta function, element by element; ``y`` is 1 - x where that is known exactly."""
+    a, b, x = (np.atleast_1d(np.asarray(v, float)) for v in (a, b, x))
+    a, b, x, y = np.broadcast_arrays(a, b, x, 1 - x if y is None else np.asarray(y, float))
+    turn = x > (a + 1) / (a + b + 2)
+    p, q = np.where(turn, b, a), np.where(turn, a, b)
+    s, t = np.where(turn, y, x), np.where(turn, x, y)
+    inside = (s > 0) & (t > 0)
+    s_, t_ = np.where(inside, s, 0.5), np.where(inside, t, 0.5)
+    log_t = np.where(s_ < 0.5, np.log1p(-s_), np.log(t_))
+    log_s = np.where(t_ < 0.5, np.log1p(-t_), np.log(s_))
+    front = np.exp(p * log_s + q * log_t - log_beta(p, q)) / p
+
+    def terms(m, at):
+        pa, qa, sa = p[at], q[at], s_[at]
+        even = m * (qa - m) * sa / ((pa + 2 * m - 1) * (pa + 2 * m))
+        odd = -(pa + m) * (pa + qa + m) * sa / ((pa + 2 * m) * (pa + 2 * m + 1))
+        return ((even, 1.0), (odd, 1.0))
+
+    value = front * _fraction(1 - (p + q) * s_ / (p + 1), terms)
+    value = np.where(inside, value, np.where(s > 0, 1.0, 0.0))
+    return np.where(turn, 1 - value, value)
+
+
+def upper_gamma(a, x) -> np.ndarray:
+    """Regularised upper incomplete gamma function, element by element."""
+    a, x = np.broadcast_arrays(*(np.atleast_1d(np.asarray(v, float)) for v in (a, x)))
+    # x^a e^-x / gamma(a), with the large terms of log gamma taken out for large a.
+    a_ = np.maximum(a, 10.0)
+    off = (x - a_) / a_
+    big = -a_ * (off - np.log1p(np.maximum(off, -1 + 1e-16))) + 0.5 * np.log(a_ / (2 * math.pi)) - _series(a_)
+    front = np.exp(np.where(a >= 10, big, a * np.log(x) - x - log_gamma(a)))
+    out = np.empty_like(front)
+    high = x >= a + 1
+    if high.any():
+        ah, xh = a[high], x[high]
+        even = lambda m, at: ((m * (ah[at] - m), xh[at] + 2 * m + 1 - ah[at]),)
+        out[high] = front[high] * _fraction(xh + 1 - ah, even, 1 / TINY)
+    if not high.all():
+        al, xl = a[~high], x[~high]
+        term, total = 1 / al, 1 / al
+        at, k = np.arange(len(al)), 0
+        while len(at):
+            k += 1
+            term[at] *= xl[at] / (al[at] + k)
+            total[at] += term[at]
+            at = at[term[at] > total[at] * 1e-16]
+        out[~high] = 1 - front[~high] * total
+    return out
+
+
+def count_cdf(k, mean, r) -> np.ndarray:
+    """P(count <= k) of a negative binomial with this mean and dispersion ``r``; ``r = inf`` is Poisson."""
+    k, mean, r = np.broadcast_arrays(*(np.atleast_1d(np.asarray(v, float)) for v in (k, mean, r)))
+    out = np.zeros(k.shape)
+    for poisson in (True, False):
+        here = (k >= 0) & (np.isinf(r) == poisson)
+        if not here.any():
+            continue
+        if poisson:
+            out[here] = upper_gamma(k[here] + 1, mean[here])
+        else:
+            total = r[here] + mean[here]
+            out[here] = incomplete_beta(r[here], k[here] + 1, r[here] / total, mean[here] / total)
+    return out
+
+
+def count_quantiles(u, mean, r) -> np.ndarray:
+    """Smallest k with P(count <= k) >= u, element by element."""
+    u, mean, r = np.broadcast_arrays(*(np.atleast_1d(np.asarray(v, float)) for v in (u, mean, r)))
+    low, high = np.full(u.shape, -1.0), np.floor(mean)
+    at = np.arange(len(u))
+    while len(at):
+        short = count_cdf(high[at], mean[at], r[at]) < u[at] - EDGE
+        at = at[short]
+        low[at], high[at] = high[at], 2 * high[at] + 1
+    return _bisect(u, mean, r, low, high)
+
+
+def _bisect(u, mean, r, low, high) -> np.ndarray:
+    low, high = low.copy(), high.copy()
+    at = np.flatnonzero(high - low > 1)
+    while len(at):
+        mid = np.floor((low[at] + high[at]) / 2)
+        enough = count_cdf(mid, mean[at], r[at]) >= u[at] - EDGE
+        high[at[enough]] = mid[enough]
+        low[at[~enough]] = mid[~enough]
+        at = at[high[at] - low[at] > 1]
+    return high
+
+
+def law_quantiles(u: np.ndarray, mean: float, r: float) -> np.ndarray:
+    """``count_quantiles`` for many ``u`` of one law: a grid of counts first, then bisection between its points."""
     u = np.asarray(u, float)
-    sd = math.sqrt(mean if math.isinf(r) else mean + mean * mean / r)
-    if 52 * sd + 80 > MAX_SUPPORT and not math.isinf(r):
-        distinct, back = np.unique(u, return_inverse=True)
-        return np.array([_bisect_quantile(float(x), mean, r) for x in distinct])[back]
-    low, cdf = count_cdf(mean, r)
-    # Rounding in the running sum must not push an exact CDF value to the next count.
-    at = np.searchsorted(cdf, u - 1e-12, side="left")
-    return (low + np.minimum(at, len(cdf) - 1)).astype(float)
+    top = count_quantiles(np.array([u.max()]), mean, r)[0]
+    steps = max(0, math.ceil(math.log(max(top, 1) / SINGLE) / math.log(STEP))) + 1
+    grid = np.unique(np.minimum(np.concatenate((np.arange(SINGLE), np.floor(SINGLE * STEP ** np.arange(steps)), [top])), top))
+    at = np.searchsorted(count_cdf(grid, mean, r), u - EDGE, side="left")
+    at = np.minimum(at, len(grid) - 1)
+    before = np.concatenate(([-1.0], grid))
+    return _bisect(u, np.full(u.shape, mean), np.full(u.shape, r), before[at], grid[at])

@@ -87,15 +87,18 @@ def weighted_normal_equations(rows: DataFrame, beta: np.ndarray | None, alpha: f
 def fit_glm(
     rows: DataFrame, p: int, alpha: float, start: np.ndarray | None = None, max_iter: int = 100, tol: float = 1e-8
 ) -> np.ndarray:
-    """Poisson (``alpha`` 0) or negative-binomial coefficients for rows (x, y, log_exposure)."""
+    """Poisson (``alpha`` 0) or negative-binomial coefficients for rows (x, y, log_exposure).
+
+    Raises ``ArithmeticError`` if the likelihood has not settled after ``max_iter`` passes.
+    """
     beta, previous = start, None
     for _ in range(max_iter):
         gram, moment, score = weighted_normal_equations(rows, beta, alpha, p)
         if previous is not None and abs(score - previous) <= tol * (abs(previous) + tol):
-            break
+            return beta
         previous = None if beta is None else score
         beta = solve_scaled(gram, moment)
-    return beta
+    raise ArithmeticError(f"no convergence after {max_iter} passes")
 
 
 def linear_predictor(params: Sequence[float], cols: Sequence[str]) -> Column:
@@ -184,7 +187,9 @@ def predict_quantiles(
 
     @F.pandas_udf("array<double>")
     def quantile_array(means: pd.Series) -> pd.Series:
-        return pd.Series([count_quantiles(levels, float(m), r) for m in means])
+        m = means.to_numpy(float)
+        found = count_quantiles(np.tile(levels, len(m)), np.repeat(m, len(levels)), r)
+        return pd.Series(list(found.reshape(len(m), len(levels))))
 
     names = list(names or [f"q{q:g}" for q in quantiles])
     out = df.withColumn("__q", quantile_array(F.col(mu)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,11 @@ VALUES = ("yhat", "yhat_lower", "yhat_upper")
 COLUMNS = ("level", "trust_code", "region", "procedure_code", "date", *VALUES)
 
 
-def bottom_up(leaf: DataFrame, interval: str = "comonotonic") -> DataFrame:
+def bottom_up(leaf: DataFrame, interval: str = "comonotonic", extra_keys: Sequence[str] = ()) -> DataFrame:
     """Leaf, regional and national sums in one pass over the leaf, keys above a level NULL.
 
     Bounds are summed by default; ``independent`` adds half-widths in quadrature instead. Rows with
-    a NULL region count nationally but form no region.
+    a NULL region count nationally but form no region. ``extra_keys`` stay at every level.
     """
     if interval == "comonotonic":
         low, high = F.sum("yhat_lower"), F.sum("yhat_upper")
@@ -27,12 +29,13 @@ def bottom_up(leaf: DataFrame, interval: str = "comonotonic") -> DataFrame:
     zero = F.lit(0.0)
     level = F.when(F.grouping("trust_code") == 0, "trust").when(
         F.grouping("region") == 0, "regional").otherwise("national")
-    summed = leaf.groupingSets([keys, keys[1:], keys[2:]], *keys).agg(
+    extra = list(extra_keys)
+    summed = leaf.groupingSets([extra + keys, extra + keys[1:], extra + keys[2:]], *extra, *keys).agg(
         level.alias("level"),
         F.coalesce(F.sum("yhat"), zero).alias("yhat"),
         F.coalesce(low, zero).alias("yhat_lower"),
         F.coalesce(high, zero).alias("yhat_upper"))
-    return summed.where((F.col("level") != "regional") | F.col("region").isNotNull()).select(*COLUMNS)
+    return summed.where((F.col("level") != "regional") | F.col("region").isNotNull()).select(*extra, *COLUMNS)
 
 
 def historic_shares(history: DataFrame, target: str = "n_procedures") -> DataFrame:

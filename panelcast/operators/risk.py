@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,15 +15,19 @@ from panelcast.fixed_values import (
     BETA_LOADING, CV_LOADING, DAILY_LAGS, DAILY_WINDOWS, DAYS_PER_MONTH, DEFAULT_CAP,
     WEEKDAY_EXPOSURE_HOURS, WEEKEND_EXPOSURE_HOURS,
 )
-from panelcast.functions.distributions import count_quantiles, normal_cdf
-from panelcast.functions.folds import bind, deviation_of, matrix, mean_of, summed, tail
+from panelcast.functions.distributions import law_quantiles, normal_cdf
+from panelcast.functions.folds import bind, deviation_of, matrix, mean_of, summed, tail, vector
 from panelcast.functions.panel import scalar
 from panelcast.operators.count_model import MU_FLOOR, CountModel, predictive_variance
 from panelcast.operators.features_device import TARGET, calendar_columns
 
 SLOW_FEATURES = ("op_herfindahl", "active_ops_28", "err_rate_28", "downtime_frac_28", "peer_util_lag1")
-DENSE_LIMIT = 256
 BLOCK = 512
+#: Largest share of a device's variance that it has in common with others.
+MAX_COMMON = 0.999
+#: Devices whose draws are worked on at once.
+STRIPE = 64
+DRAWS = "device_id string, sessions array<double>, revenue array<double>"
 
 
 # ---------------------------------------------------------------- horizon forecast
@@ -196,49 +201,24 @@ def correlation(cov: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- copula loadings
 
 def panel_loadings(vectors: DataFrame, stats: tuple[int, int, float, float]) -> DataFrame:
-    """Loadings (device_id, loadings, idio) whose Gaussian law has exactly the shrunk correlation.
+    """Loadings (device_id, loadings, idio) whose Gaussian law has the shrunk correlation, at every book size.
 
     The shrunk covariance is (1-s) X'X/n + s m I, so a device's normal is a combination of one
-    common draw per panel date and one draw of its own: no factorisation, linear in devices.
+    common draw per panel date and one draw of its own: no factorisation, linear in devices. The common part of a
+    device is at most ``MAX_COMMON`` of its variance, so that no two devices correlate beyond +-``MAX_COMMON``; this
+    touches only devices above that share, and the law stays a correlation law without any lift.
     """
     n, p, s, m = stats
     if n < 10 or p < 2:
         return vectors.select("device_id", F.array().cast("array<double>").alias("loadings"), F.lit(1.0).alias("idio"))
-    common, own = math.sqrt((1 - s) / n), math.sqrt(s * m)
+    common = (1 - s) / n
     power = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    sd = F.sqrt(F.greatest((1 - s) / n * power + s * m, F.lit(1e-9)))
-    return vectors.withColumn("sd", sd).select(
-        "device_id", F.transform("v", lambda x: x * common / F.col("sd")).alias("loadings"),
-        (F.lit(own) / F.col("sd")).alias("idio"))
-
-
-def cholesky_with_lift(matrix: np.ndarray, floor: float = 1e-6) -> np.ndarray:
-    """Lower factor of the symmetrised matrix, its smallest eigenvalue lifted to the floor."""
-    sym = (matrix + matrix.T) / 2
-    lowest = np.linalg.eigvalsh(sym).min()
-    if lowest < floor:
-        sym = sym + (floor - lowest) * np.eye(len(sym))
-    return np.linalg.cholesky(sym)
-
-
-def dense_loadings(corr: DataFrame, device_ids: Sequence[str]) -> DataFrame:
-    """Loadings from the Cholesky factor of the aligned matrix; unknown devices stay independent.
-
-    Only for books of at most ``DENSE_LIMIT`` devices; larger ones use ``panel_loadings``.
-    """
-    ids = sorted(device_ids)
-    if len(ids) > DENSE_LIMIT:
-        raise ValueError(f"dense factor is limited to {DENSE_LIMIT} devices, got {len(ids)}")
-    at = {d: i for i, d in enumerate(ids)}
-    aligned = np.eye(len(ids))
-    spark = corr.sparkSession
-    wanted = corr.where(F.col("dev_a").isin(ids) & F.col("dev_b").isin(ids)).collect()
-    for row in wanted:
-        aligned[at[row.dev_a], at[row.dev_b]] = row.corr
-    lower = cholesky_with_lift(aligned)
-    return spark.createDataFrame(
-        [(d, [float(x) for x in lower[i]], 0.0) for d, i in at.items()],
-        "device_id string, loadings array<double>, idio double")
+    variance = F.greatest(common * power + s * m, F.lit(1e-9))
+    share = common * power / variance
+    scaled = vectors.withColumns({"share": F.least(share, F.lit(MAX_COMMON)), "scale": F.sqrt(
+        common / variance * F.when(share > MAX_COMMON, MAX_COMMON / share).otherwise(1.0))})
+    return scaled.select("device_id", F.transform("v", lambda x: x * F.col("scale")).alias("loadings"),
+                         F.sqrt(1 - F.col("share")).alias("idio"))
 
 
 # ---------------------------------------------------------------- simulation
@@ -276,13 +256,13 @@ def _normals(seed: int, stream: int, size: int) -> np.ndarray:
 
 
 def simulate(positions: DataFrame, loadings: DataFrame, n_sims: int = 4000, seed: int = 8) -> DataFrame:
-    """Long draws (sim, device_id, sessions, revenue): copula normals -> count quantile -> cap, floor.
+    """Draws, one row of arrays per device: copula normals -> count quantile -> cap, floor.
 
     Tasks own devices. Common draws are regenerated from their keys in each task, so nothing is
     broadcast and a retried task repeats the same numbers.
     """
     tasks = positions.sparkSession.sparkContext.defaultParallelism
-    # Each row grows into n_sims rows, so rows are spread by count instead of by their small size.
+    # A row costs n_sims quantiles, so rows are spread by count instead of by their small size.
     joined = nb_parameters(positions).join(loadings, "device_id", "left").repartition(tasks, "device_id").select(
         "device_id", F.xxhash64("device_id").alias("stream"), "nb_r", "nb_p", "cap_sessions",
         "price_per_session_gbp", "floor_gbp",
@@ -290,43 +270,55 @@ def simulate(positions: DataFrame, loadings: DataFrame, n_sims: int = 4000, seed
         F.coalesce("idio", F.lit(1.0)).alias("idio"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common: np.ndarray | None = None
-        sims = np.arange(n_sims)
+        common = np.zeros((0, n_sims))
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                weights = np.asarray(row.loadings, float)
-                if len(weights) and (common is None or len(common) < len(weights)):
-                    common = np.stack([_normals(seed, i, n_sims) for i in range(len(weights))])
-                z = row.idio * _normals(seed + 1, row.stream, n_sims)
-                if len(weights):
-                    z = z + weights @ common[: len(weights)]
-                u = normal_cdf(z)
-                mean = row.nb_r * (1 - row.nb_p) / row.nb_p
-                sessions = np.minimum(count_quantiles(u, mean, row.nb_r), row.cap_sessions)
-                yield pd.DataFrame({
-                    "sim": sims, "device_id": row.device_id, "sessions": sessions,
-                    "revenue": np.maximum(sessions * row.price_per_session_gbp, row.floor_gbp)})
-
-    return joined.mapInPandas(draw, "sim int, device_id string, sessions double, revenue double")
+            for at in range(0, len(pdf), STRIPE):
+                part = pdf.iloc[at: at + STRIPE]
+                factors = max(map(len, part["loadings"]), default=0)
+                if len(common) < factors:
+                    common = np.stack([_normals(seed, i, n_sims) for i in range(factors)])
+                weights = np.zeros((len(part), len(common)))
+                for i, w in enumerate(part["loadings"]):
+                    weights[i, : len(w)] = w
+                own = np.stack([_normals(seed + 1, int(k), n_sims) for k in part["stream"]])
+                u = normal_cdf(part["idio"].to_numpy()[:, None] * own + weights @ common)
+                r, p = part["nb_r"].to_numpy(), part["nb_p"].to_numpy()
+                sessions = np.stack([law_quantiles(x, m, k) for x, m, k in zip(u, r * (1 - p) / p, r)])
+                sessions = np.minimum(sessions, part["cap_sessions"].to_numpy()[:, None])
+                revenue = np.maximum(sessions * part["price_per_session_gbp"].to_numpy()[:, None],
+                                     part["floor_gbp"].to_numpy()[:, None])
+                yield pd.DataFrame({"device_id": part["device_id"].to_numpy(), "sessions": list(sessions),
+                                    "revenue": list(revenue)})
+
+    return joined.mapInPandas(draw, DRAWS)
 
 
 def cap_and_floor(draws: DataFrame, positions: DataFrame) -> DataFrame:
-    """Contract terms applied to raw session draws (sim, device_id, sessions)."""
+    """Contract terms applied to raw session draws (device_id, sessions array)."""
     terms = positions.select("device_id", "cap_sessions", "price_per_session_gbp", "floor_gbp")
-    capped = F.least("sessions", "cap_sessions")
-    return draws.join(terms, "device_id").select(
-        "sim", "device_id", capped.alias("sessions"),
-        F.greatest(capped * F.col("price_per_session_gbp"), F.col("floor_gbp")).alias("revenue"))
+    capped = F.transform("sessions", lambda x: F.least(x, F.col("cap_sessions")))
+    return draws.join(terms, "device_id").withColumn("sessions", capped).select(
+        "device_id", "sessions", F.transform("sessions", lambda x: F.greatest(
+            x * F.col("price_per_session_gbp"), F.col("floor_gbp"))).alias("revenue"))
 
 
-def portfolio_totals(draws: DataFrame) -> DataFrame:
-    return draws.groupBy("sim").agg(F.sum("revenue").alias("book_revenue"))
+def book_revenue(draws: DataFrame) -> np.ndarray:
+    """Revenue of the whole book in each simulation: one vector of their number, whatever the book's size."""
+    return summed(draws.select("revenue"), lambda batch: matrix(batch, "revenue").sum(axis=0))
 
 
-def tail_risk(draws: DataFrame, positions: DataFrame, alpha: float = 0.05) -> DataFrame:
+def portfolio_totals(draws: DataFrame, totals: np.ndarray | None = None) -> DataFrame:
+    totals = book_revenue(draws) if totals is None else totals
+    return draws.sparkSession.createDataFrame(
+        [(i, float(v)) for i, v in enumerate(totals)], "sim int, book_revenue double")
+
+
+def tail_risk(
+    draws: DataFrame, positions: DataFrame, alpha: float = 0.05, totals: np.ndarray | None = None
+) -> DataFrame:
     """One row: revenue mean and deviation, margin, VaR, CVaR and probability of loss."""
     fixed = scalar(positions, F.sum("fixed_gbp"))
-    losses = portfolio_totals(draws).select("book_revenue", (fixed - F.col("book_revenue")).alias("loss"))
+    losses = portfolio_totals(draws, totals).select("book_revenue", (fixed - F.col("book_revenue")).alias("loss"))
     var = scalar(losses, F.percentile("loss", F.lit(1 - alpha)))
     flagged = losses.withColumn("var_loss", var)
     return flagged.agg(
@@ -342,22 +334,39 @@ def tail_risk(draws: DataFrame, positions: DataFrame, alpha: float = 0.05) -> Da
 
 # ---------------------------------------------------------------- pricing
 
-def device_statistics(draws: DataFrame, positions: DataFrame) -> DataFrame:
-    """Per device: mean, deviation and CV of revenue, beta to the rest of the book, downside sessions."""
-    totals = portfolio_totals(draws)
-    rest = F.col("book_revenue") - F.col("revenue")
-    joined = draws.join(totals, "sim").withColumn("rest", rest).join(
-        positions.select("device_id", "floor_gbp"), "device_id")
-    sd, mean, var_rest = F.stddev_pop("revenue"), F.avg("revenue"), F.var_pop("rest")
-    return joined.groupBy("device_id").agg(
-        mean.alias("exp_revenue"),
-        sd.alias("sigma"),
-        F.when(mean > 0, sd / mean).otherwise(0.0).alias("cv"),
-        # Sample covariance over population variance, a ratio the published prices depend on.
-        F.when(var_rest > 0, F.covar_samp("revenue", "rest") / var_rest).otherwise(0.0).alias("beta"),
-        F.avg("sessions").alias("exp_sessions"),
-        F.percentile("sessions", F.lit(0.05)).alias("uar_p5"),
-        F.avg(F.when(F.col("revenue") <= F.col("floor_gbp") + 1e-6, 1.0).otherwise(0.0)).alias("floor_breach_prob"))
+def device_statistics(draws: DataFrame, positions: DataFrame, totals: np.ndarray | None = None) -> DataFrame:
+    """Per device: mean, deviation and CV of revenue, beta to the rest of the book, downside sessions.
+
+    ``totals`` is ``book_revenue(draws)``; a device meets it inside its own row.
+    """
+    totals = book_revenue(draws) if totals is None else totals
+    terms = positions.select("device_id", "floor_gbp")
+
+    def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), STRIPE):
+                batch = whole.slice(at, STRIPE)
+                revenue, sessions = matrix(batch, "revenue"), matrix(batch, "sessions")
+                floor = vector(batch, "floor_gbp")
+                n = revenue.shape[1]
+                mean, sigma, rest = revenue.mean(axis=1), revenue.std(axis=1), totals - revenue
+                away = rest - rest.mean(axis=1, keepdims=True)
+                spread = (away ** 2).mean(axis=1)
+                # Sample covariance over population variance, a ratio the published prices depend on.
+                together = ((revenue - mean[:, None]) * away).sum(axis=1) / max(n - 1, 1)
+                columns = {
+                    "exp_revenue": mean, "sigma": sigma,
+                    "cv": np.where(mean > 0, sigma / np.where(mean > 0, mean, 1.0), 0.0),
+                    "beta": np.where(spread > 0, together / np.where(spread > 0, spread, 1.0), 0.0),
+                    "exp_sessions": sessions.mean(axis=1), "uar_p5": np.quantile(sessions, 0.05, axis=1),
+                    "floor_breach_prob": (revenue <= floor[:, None] + 1e-6).mean(axis=1)}
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(batch.schema.get_field_index("device_id")), *map(pa.array, columns.values())],
+                    ["device_id", *columns])
+
+    names = "exp_revenue sigma cv beta exp_sessions uar_p5 floor_breach_prob".split()
+    return draws.join(terms, "device_id").select("device_id", "sessions", "revenue", "floor_gbp").mapInArrow(
+        figures, "device_id string, " + ", ".join(f"{c} double" for c in names))
 
 
 def suggested_price(statistics: DataFrame, positions: DataFrame) -> DataFrame:
@@ -379,9 +388,9 @@ def latest_concentration(features: DataFrame) -> DataFrame:
 
 
 def price_book(
-    draws: DataFrame, positions: DataFrame, features: DataFrame, run_id: str
+    draws: DataFrame, positions: DataFrame, features: DataFrame, run_id: str, totals: np.ndarray | None = None
 ) -> DataFrame:
-    priced = suggested_price(device_statistics(draws, positions), positions).drop("fixed_gbp")
+    priced = suggested_price(device_statistics(draws, positions, totals), positions).drop("fixed_gbp")
     money = positions.select("device_id", "site_id", "region", "specialty", "price_per_session_gbp", "fixed_gbp")
     r = lambda c, n: F.round(c, n)
     return (priced.join(money, "device_id")
@@ -399,10 +408,11 @@ def price_book(
                 r(F.col("exp_revenue") - F.col("fixed_gbp"), 2).alias("expected_margin_gbp")))
 
 
-def diversification(draws: DataFrame) -> DataFrame:
+def diversification(draws: DataFrame, totals: np.ndarray | None = None) -> DataFrame:
     """Effective number of independent devices and its ratio to the book size."""
-    book_var = scalar(portfolio_totals(draws), F.var_pop("book_revenue"))
-    sigma = draws.groupBy("device_id").agg(F.stddev_pop("revenue").alias("sigma"))
+    totals = book_revenue(draws) if totals is None else totals
+    book_var = F.lit(float(np.var(totals)) if len(totals) else None)
+    sigma = draws.select("device_id", deviation_of(F.col("revenue"), 0).alias("sigma"))
     summed = sigma.agg(F.sum("sigma").alias("s"), F.count("*").alias("n_devices")).withColumn("book_var", book_var)
     n = F.col("n_devices").cast("double")
     effective = F.when(
@@ -414,9 +424,10 @@ def diversification(draws: DataFrame) -> DataFrame:
 
 def portfolio_summary(draws: DataFrame, positions: DataFrame, priced: DataFrame, alpha: float = 0.05) -> DataFrame:
     """The tail, diversification and book figures as one row."""
-    spread = diversification(draws)
+    totals = book_revenue(draws)
+    spread = diversification(draws, totals)
     field = lambda c: spread.select(c).scalar()
-    return tail_risk(draws, positions, alpha).withColumns({
+    return tail_risk(draws, positions, alpha, totals).withColumns({
         "n_devices": field("n_devices"),
         "effective_n_independent": F.round(field("effective_n_independent"), 2),
         "diversification_ratio": F.round(field("diversification_ratio"), 3),

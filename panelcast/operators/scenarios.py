@@ -69,10 +69,12 @@ def default_scenarios(waiting: DataFrame) -> dict[str, Scenario]:
 
 
 def sweep(forecast: DataFrame, scenarios: Mapping[str, Scenario], mapping: DataFrame) -> DataFrame:
-    """Equipment demand of every scenario at every level, stacked with a ``scenario`` column."""
-
-    def one(name: str, transform: Scenario) -> DataFrame:
-        levels = bottom_up(transform(forecast))
-        return equipment_demand(levels, mapping).withColumn("scenario", F.lit(name))
-
-    return reduce(DataFrame.unionByName, [one(n, t) for n, t in scenarios.items()])
+    """Equipment demand of every scenario at every level, stacked with a ``scenario`` column.
+
+    Scenarios are stacked at the leaf, so that one roll-up and one mapping serve all of them. Every scenario reads
+    ``forecast``: pass a stored table.
+    """
+    leaf = ("trust_code", "region", "procedure_code", "date", *VALUES)
+    stacked = reduce(DataFrame.unionByName, [
+        transform(forecast).select(*leaf, F.lit(name).alias("scenario")) for name, transform in scenarios.items()])
+    return equipment_demand(bottom_up(stacked, extra_keys=["scenario"]), mapping, extra_keys=["scenario"])

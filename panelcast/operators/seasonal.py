@@ -7,6 +7,7 @@ a small numpy fit. Series that are too short or fail come back with a reason ins
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 MIN_ROWS = 24
 SEASON = 12
-Z = {0.2: 1.2815515655446004, 0.1: 1.6448536269514722, 0.05: 1.959963984540054}
 
 
 def month_grid(dates: pd.Series, values: pd.Series) -> tuple[pd.DatetimeIndex, np.ndarray]:
@@ -93,7 +93,7 @@ def forecast(
 ) -> DataFrame:
     """Forecast rows of every series, plus an ``error`` column that is set on skipped series."""
     keys = list(keys)
-    z = Z[alpha]
+    z = NormalDist().inv_cdf(1 - alpha / 2)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         head = {k: pdf[k].iloc[0] for k in keys}

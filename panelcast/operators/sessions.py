@@ -16,17 +16,20 @@ from panelcast.fixed_values import MIN_BILLABLE_SECONDS
 BUCKET_WIDTH = 1_000_000
 
 
-def ordinal(df: DataFrame, keys: list[str], seq: str, width: int = BUCKET_WIDTH, name: str = "ordinal") -> DataFrame:
+def ordinal(df: DataFrame, keys: list[str], seq: str, width: int = BUCKET_WIDTH, name: str = "ordinal",
+            tie: str | None = None) -> DataFrame:
     """1-based position of each row within ``keys`` by ``seq``, without gathering a key's rows.
 
     A window sees at most ``width`` rows of a bucket; the running offsets are computed over one row
     per bucket. The counting pass reads the key and sequence columns only and combines map-side.
+    Rows without a number come last; they and rows of equal number are ordered by ``tie``.
     """
-    bucketed = df.withColumn("__b", F.floor(F.col(seq) / F.lit(width)))
+    numbered = F.floor(F.col(seq) / F.lit(width))
+    bucketed = df.withColumn("__b", F.coalesce(numbered, F.lit(2 ** 62)))
     counts = bucketed.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    local = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(seq))
+    local = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(F.asc_nulls_last(seq), *([tie] if tie else [])))
     return bucketed.withColumn("__local", local).join(offsets, [*keys, "__b"]).withColumn(
         name, F.col("__local") + F.col("__offset")).drop("__b", "__local", "__offset")
 
@@ -44,30 +47,30 @@ def sessionise(
 
     ``ordinal`` pairs the i-th start with the i-th end. ``next`` pairs a start with the end that
     directly follows it among the device's active events, so a lost packet cannot shift later pairs.
-    Both sides of a pair meet in one aggregate by (device, pair number), a key no device can skew.
+    Both sides of a pair meet in one join by (device, pair number), a key no device can skew.
     """
     active = events.where(F.col("event_type").isin("active_start", "active_end"))
     is_start = F.col("event_type") == "active_start"
     if mode == "ordinal":
-        ranked = ordinal(active, ["device_id", "event_type"], "seq_no", width)
+        ranked = ordinal(active, ["device_id", "event_type"], "seq_no", width, tie="event_id")
         pair_no = F.col("ordinal")
     elif mode == "next":
-        ranked = ordinal(active, ["device_id"], "seq_no", width)
+        ranked = ordinal(active, ["device_id"], "seq_no", width, tie="event_id")
         pair_no = F.when(is_start, F.col("ordinal") + 1).otherwise(F.col("ordinal"))
     else:
         raise ValueError(f"unknown pairing mode {mode!r}")
-    start = F.struct("site_id", "operator_hash", "procedure_code", "ts_device")
-    end = F.struct("event_id", "ts_device", "active_seconds", "n_errors", "ingest_quality")
-    paired = ranked.groupBy("device_id", pair_no.alias("pair_no")).agg(
-        F.max(F.when(is_start, start)).alias("s"), F.max(F.when(~is_start, end)).alias("e"),
-    ).where(F.col("s").isNotNull() & F.col("e").isNotNull())
-    timed = paired.select("device_id", "s", "e", F.col("s.ts_device").alias("t_start"), F.col("e.ts_device").alias("t_end"))
-    duration = F.when(F.col("e.active_seconds") > 0, F.col("e.active_seconds")).otherwise(
+    starts = ranked.where(is_start).select("device_id", pair_no.alias("pair_no"), "site_id", "operator_hash",
+                                           "procedure_code", F.col("ts_device").alias("t_start"))
+    ends = ranked.where(~is_start).select("device_id", pair_no.alias("pair_no"), F.col("event_id").alias("session_id"),
+                                          F.col("ts_device").alias("t_end"), F.col("active_seconds").alias("measured"),
+                                          "n_errors", "ingest_quality")
+    timed = starts.join(ends, ["device_id", "pair_no"])
+    duration = F.when(F.col("measured") > 0, F.col("measured")).otherwise(
         _seconds_between("t_start", "t_end"))
     return timed.select(
-        F.col("e.event_id").alias("session_id"), "device_id", "s.site_id", "s.operator_hash", "s.procedure_code",
-        "t_start", "t_end", duration.alias("active_seconds"), F.col("e.n_errors").cast("int").alias("n_errors"),
-        F.coalesce((duration >= min_seconds) & (F.col("e.ingest_quality") == "ok"), F.lit(False)).alias("billable"))
+        "session_id", "device_id", "site_id", "operator_hash", "procedure_code",
+        "t_start", "t_end", duration.alias("active_seconds"), F.col("n_errors").cast("int").alias("n_errors"),
+        F.coalesce((duration >= min_seconds) & (F.col("ingest_quality") == "ok"), F.lit(False)).alias("billable"))
 
 
 def attach_billing(sessions: DataFrame, devices: DataFrame) -> DataFrame:

@@ -117,16 +117,9 @@ class UnderwritingResult:
     report: DataFrame
 
 
-def copula_loadings(device_day: DataFrame, device_ids: DataFrame, lookback: int = 120) -> DataFrame:
-    """Dense factor for books of bounded size (which also applies the correlation clip), panel
-    loadings beyond it. Both give the same correlation up to that clip."""
-    vectors = risk.panel_vectors(risk.utilisation_panel(device_day, lookback)).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = risk.shrinkage(vectors)
-    few = device_ids.select("device_id").limit(risk.DENSE_LIMIT + 1).collect()
-    if len(few) <= risk.DENSE_LIMIT and stats[1] <= risk.DENSE_LIMIT:
-        corr = risk.correlation(risk.shrunk_covariance(vectors, stats))
-        return risk.dense_loadings(corr, [r.device_id for r in few])
-    return risk.panel_loadings(vectors, stats)
+def copula_loadings(device_day: DataFrame, lookback: int = 120) -> DataFrame:
+    vectors = storage.materialise(risk.panel_vectors(risk.utilisation_panel(device_day, lookback)), "vectors")
+    return risk.panel_loadings(vectors, risk.shrinkage(vectors))
 
 
 def run_underwriting(
@@ -157,7 +150,7 @@ def run_underwriting(
         forecast = storage.materialise(
             risk.forecast_horizon(model, features, devices, horizon_days), "device-forecast")
         positions = storage.materialise(risk.book(forecast, devices, model.alpha, horizon_days), "positions")
-        loadings = copula_loadings(device_day, positions)
+        loadings = copula_loadings(device_day)
         draws = storage.materialise(risk.simulate(positions, loadings, n_sims, seed), "draws")
         storage.replace_run(risk.price_book(draws, positions, features, run_id), tables, "underwriting_device", run_id)
         return forecast, positions, draws

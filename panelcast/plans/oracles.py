@@ -10,6 +10,9 @@ import re
 
 from panelcast.sources.adapters import EQUIPMENT_COST, EQUIPMENT_TYPES, EQUIPMENT_WEIGHTS, FUNCTIONS
 
+# The documented bound of a device's common variance.
+MAX_COMMON = 0.999
+
 
 def _values(rows) -> str:
     def cell(v):
@@ -286,10 +289,17 @@ FRAGMENTS: dict[str, str] = {
                    SELECT count(*) AS n FROM (SELECT DISTINCT date FROM week) WHERE isodow(date) < 6)) AS DOUBLE) AS cap_sessions
         FROM (SELECT device_id, sum(mu) AS exp_sessions, sum(mu + 0.1::DOUBLE * mu * mu) AS var_sessions, min(cap_sessions_day) AS cap_day
               FROM week GROUP BY device_id) g JOIN devices d ON g.device_id = d.device_id""",
-    "week": """
-        SELECT w.device_id, w.date, w.n_billable + 0.5::DOUBLE AS mu, d.cap_sessions_day
-        FROM device_day w JOIN devices d ON w.device_id = d.device_id
-        WHERE w.date > (SELECT max(date) FROM device_day) - 7""",
+    "week": f"""
+        SELECT w.device_id, last_date + step AS date, mu, CASE WHEN isodow(last_date + step) >= 6 THEN 4.0::DOUBLE ELSE 10.0::DOUBLE END AS exposure_hours,
+               d.cap_sessions_day
+        FROM (WITH RECURSIVE walk AS (
+                SELECT device_id, 0 AS step, date AS last_date, CAST(n_billable AS DOUBLE) AS mu FROM device_features
+                WHERE (device_id, date) IN (SELECT (device_id, max(date)) FROM device_features GROUP BY device_id)
+                UNION ALL
+                SELECT device_id, step + 1, last_date, greatest(exp(-1.0::DOUBLE
+                       + 0.05::DOUBLE * sin({2 * math.pi / 7!r}::DOUBLE * (isodow(last_date + step + 1) - 1)) + 0.04::DOUBLE * mu
+                       + ln(CASE WHEN isodow(last_date + step + 1) >= 6 THEN 4.0::DOUBLE ELSE 10.0::DOUBLE END)), 1e-6)
+                FROM walk WHERE step < 7) SELECT * FROM walk) w JOIN devices d ON w.device_id = d.device_id WHERE step > 0""",
     "draws": """
         SELECT sim, device_id, sessions, greatest(sessions * price_per_session_gbp, floor_gbp) AS revenue FROM (
             SELECT sim, p.*, least(floor(exp_sessions * (((sim * 7919 + number * 104729) * (sim + 31 * number) % 1000003)
@@ -493,9 +503,20 @@ def oracle_sql() -> dict[str, str]:
         "a7_future_index": _sql("""
             SELECT trust_code, procedure_code, CAST(d + to_months(CAST(step AS INT)) AS DATE) AS date, CAST(step AS INT) AS step
             FROM (SELECT trust_code, procedure_code, max(date) AS d FROM procedures GROUP BY ALL) CROSS JOIN range(1, 13) r(step)"""),
+        "a9_provenance": _sql("""
+            SELECT 'activity' AS source, 'live' AS kind, (SELECT count(*) FROM activity) AS n_rows
+            UNION ALL SELECT 'procedures', 'fallback', (SELECT count(*) FROM procedures)
+            UNION ALL SELECT 'imaging', 'fallback', (SELECT count(*) FROM imaging)
+            UNION ALL SELECT 'rtt', 'fallback', (SELECT count(*) FROM rtt)
+            UNION ALL SELECT 'demographics', 'fallback', (SELECT count(*) FROM demographics)
+            UNION ALL SELECT 'supply', 'fallback', (SELECT count(*) FROM supply)"""),
         "a11_load_feeds": _sql("""
-            SELECT date, trust_code, region, activity_type AS label, n_activity AS n FROM activity
-            UNION ALL SELECT date, trust_code, region, modality, n_tests FROM imaging"""),
+            SELECT 'activity' AS dataset, activity_type AS label, n_activity::DOUBLE AS n FROM activity
+            UNION ALL SELECT 'imaging', modality, n_tests FROM imaging
+            UNION ALL SELECT 'procedures', procedure_code, n_procedures FROM procedures
+            UNION ALL SELECT 'rtt', treatment_function, waiting_list_size FROM rtt
+            UNION ALL SELECT 'demographics', age_band, population FROM demographics
+            UNION ALL SELECT 'supply', category, spend_gbp FROM supply""", "n"),
         "a12_quarterly_supply": _sql("""
             SELECT quarter, category, round(units * CASE category WHEN 'F0' THEN 1800.0::DOUBLE WHEN 'F1' THEN 950.0
                    WHEN 'F2' THEN 4200.0 WHEN 'F3' THEN 60.0 END, 2) AS spend_gbp, units
@@ -507,8 +528,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT '2024-02-29', count(*), CAST(sum(n_procedures) AS BIGINT) FROM procedures"""),
         "a14_latest_snapshot": _sql("SELECT '2024-02-29' AS latest, true AS absent_is_null, count(*) AS n_rows FROM procedures"),
         "a15_read_latest": _sql("SELECT * FROM procedures"),
-        "a16_list_snapshots": _sql("SELECT * FROM (VALUES ('2024-01-31'), ('2024-02-29')) v(snapshot_date)"),
-        "a17_replace_table": _sql("SELECT quarter, category, CAST(NULL AS DOUBLE) AS spend_gbp, units FROM supply WHERE units % 2 = 0"),
+        "a16_list_snapshots": _sql("""
+            SELECT '2024-01-31' AS snapshot_date, count(*) AS n_rows FROM procedures WHERE year(date) < 1998
+            UNION ALL SELECT '2024-02-29', count(*) FROM procedures"""),
+        "a17_replace_table": _sql("SELECT quarter, category, CAST(NULL AS DOUBLE) AS spend_gbp, units FROM supply"),
         "a18_table_catalogue": _sql(_table_counts()),
         "a19_dim_date": _sql(f"""
             SELECT DISTINCT d AS date, year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
@@ -683,7 +706,7 @@ def oracle_sql() -> dict[str, str]:
         "f12_downtime_real": _sql("""
             SELECT a.device_id, a.date, 1 - count(*) / 28.0::DOUBLE AS downtime_frac_28
             FROM device_day a JOIN device_day b ON a.device_id = b.device_id AND b.date BETWEEN a.date - 27 AND a.date
-            WHERE a.n_sessions >= 5 AND b.n_sessions >= 5 GROUP BY ALL""", "downtime_frac_28"),
+            GROUP BY ALL""", "downtime_frac_28"),
         "f13_herfindahl": _sql("SELECT * FROM herfindahl"),
         "f14_active_operators": _sql(f"SELECT {device}, active_ops_28 FROM device_features", "active_ops_28"),
         "f15_peers": _sql(f"SELECT {device}, peer_util, peer_util_lag1 FROM device_features", "peer_util peer_util_lag1"),
@@ -712,23 +735,33 @@ def oracle_sql() -> dict[str, str]:
             SELECT device_id, least(greatest(sum(mu * ((pow(y - mu, 2) - y) / mu)) / sum(mu * mu), 1e-4), 10.0) AS alpha
             FROM scored GROUP BY device_id""", "alpha"),
         "g9_predict_mu": _sql(f"SELECT {device}, mu FROM scored", "mu"),
+        "g8_fallback_ladder": _sql(f"""
+            SELECT {device}, 'naive' AS kind, greatest(exposure_hours * (
+                SELECT sum(n_billable) / greatest(sum(exposure_hours), 1.0) FROM device_features
+                WHERE n_billable_rollmean28 IS NOT NULL AND n_billable_lag14 IS NOT NULL
+                  AND date = (SELECT max(date) FROM device_features)), 1e-6) AS mu FROM device_features""", "mu"),
+        "g10_predict_quantiles": _sql(f"""
+            WITH law AS (SELECT k, sum(p) OVER (PARTITION BY mu ORDER BY k) AS cdf, mu FROM (
+                SELECT mu, k, exp(lgamma(k + 10.0::DOUBLE) - lgamma(10.0::DOUBLE) - lgamma(k + 1.0::DOUBLE)
+                       + 10 * ln(10 / (10 + mu)) + CASE WHEN k = 0 THEN 0 ELSE k * ln(mu / (10 + mu)) END) AS p
+                FROM (SELECT DISTINCT mu FROM scored) CROSS JOIN range(0, (SELECT CAST(ceil(max(mu)) AS BIGINT) * 8 + 80 FROM scored)) r(k))),
+            q AS (SELECT mu, count(*) FILTER (WHERE cdf < 0.05 - 1e-12)::DOUBLE AS q05, count(*) FILTER (WHERE cdf < 0.5 - 1e-12)::DOUBLE AS q50,
+                         count(*) FILTER (WHERE cdf < 0.95 - 1e-12)::DOUBLE AS q95 FROM law GROUP BY mu)
+            SELECT {device}, round(mu, 6) AS mu, q05, q50, q95 FROM scored JOIN q USING (mu)"""),
         "g11_predictive_variance": _sql(f"SELECT {device}, variance FROM scored", "variance"),
         # ---- risk
-        "h1_horizon_forecast_given": _sql(f"""
-            WITH RECURSIVE walk AS (
-                SELECT device_id, 0 AS step, date AS last_date, CAST(n_billable AS DOUBLE) AS mu FROM device_features
-                WHERE (device_id, date) IN (SELECT (device_id, max(date)) FROM device_features GROUP BY device_id)
-                UNION ALL
-                SELECT device_id, step + 1, last_date, greatest(exp(-1.0::DOUBLE
-                       + 0.05::DOUBLE * sin({step!r}::DOUBLE * (isodow(last_date + step + 1) - 1)) + 0.04::DOUBLE * mu
-                       + ln(CASE WHEN isodow(last_date + step + 1) >= 6 THEN 4.0::DOUBLE ELSE 10.0::DOUBLE END)), 1e-6)
-                FROM walk WHERE step < 7)
-            SELECT w.device_id, last_date + step AS date, mu, CASE WHEN isodow(last_date + step) >= 6 THEN 4.0::DOUBLE ELSE 10.0::DOUBLE END AS exposure_hours,
-                   d.cap_sessions_day
-            FROM walk w JOIN devices d ON w.device_id = d.device_id WHERE step > 0""", "mu"),
+        "h1_horizon_forecast_given": _sql("SELECT * FROM week", "mu"),
         "h2_utilisation_panel": _sql("""
             SELECT device_id, date, CAST(sum(n_billable) AS DOUBLE) AS x FROM device_day
-            WHERE date >= (SELECT max(date) FROM device_day) - 14 GROUP BY ALL"""),
+            WHERE date >= (SELECT max(date) FROM device_day) - 120 GROUP BY ALL"""),
+        "h6_copula_factor": _sql(f"""
+            SELECT device_id, date, x * sqrt(common / variance * least(1, {MAX_COMMON} / greatest(share, 1e-300))) AS loading,
+                   sqrt(1 - least(share, {MAX_COMMON})) AS idio
+            FROM (SELECT *, common * power / variance AS share FROM (
+                SELECT c.device_id, c.date, c.x, (1 - k.s) / k.n AS common, power,
+                       greatest((1 - k.s) / k.n * power + k.s * k.m, 1e-9) AS variance
+                FROM centred c JOIN (SELECT device_id, sum(x * x) AS power FROM centred GROUP BY device_id) w USING (device_id)
+                CROSS JOIN shrink k))""", "loading idio"),
         "h3_shrunk_covariance": _sql("SELECT * FROM covariance", "cov"),
         "h4_correlation": _sql("""
             SELECT c.dev_a, c.dev_b, CASE WHEN c.dev_a = c.dev_b THEN 1.0 ELSE least(greatest(

@@ -340,7 +340,7 @@ def e7_demand_shock(spark: SparkSession, root: str) -> DataFrame:
 
 
 def equipment(spark: SparkSession, root: str) -> DataFrame:
-    leaf = base_forecast(spark, root).drop("actual")
+    leaf = materialise(base_forecast(spark, root).drop("actual"), "leaf")
     return scenarios.sweep(leaf, scenarios.default_scenarios(adapters.rtt(spark, root)), mapping(spark))
 
 

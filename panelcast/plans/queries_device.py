@@ -15,7 +15,7 @@ from panelcast.sources import adapters
 from panelcast.sources.storage import materialise
 
 HORIZON = 7
-N_SIMS = 1000
+N_SIMS = 4000
 GIVEN_SIMS = 256
 GIVEN_ALPHA = 0.1
 # A fixed model for checks that take the coefficients as given.
@@ -26,7 +26,7 @@ GIVEN = count_model.CountModel(
 
 def billed_sessions(spark: SparkSession, root: str, mode: str = "ordinal") -> DataFrame:
     return sessions.attach_billing(
-        sessions.sessionise(adapters.session_events(spark, root), mode=mode), adapters.devices(spark, root))
+        sessions.sessionise(adapters.session_events(spark, root, active_only=True), mode=mode), adapters.devices(spark, root))
 
 
 def device_days(spark: SparkSession, root: str) -> DataFrame:
@@ -126,9 +126,7 @@ def f12_downtime(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def f12_downtime_real(spark: SparkSession, root: str) -> DataFrame:
-    # Quiet days (fewer than 5 sessions) are taken as down, so that there are gaps to see.
-    busy = device_days(spark, root).where(F.col("n_sessions") >= 5)
-    return _show(fd.downtime(busy, real=True), "downtime_frac_28")
+    return _show(fd.downtime(device_days(spark, root), real=True), "downtime_frac_28")
 
 
 @query
@@ -225,10 +223,11 @@ def g7_negative_binomial(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def g8_fallback_ladder(spark: SparkSession, root: str) -> DataFrame:
-    """With too few rows left for a regression the model is a rate per exposure hour."""
-    rows = stored_features(spark, root).withColumn("cap_sessions_day", F.lit(0))
-    model = count_model.fit(rows)
-    return count_model.predict_mu(model, rows).select(*KEYS, F.lit(model.kind).alias("kind"), "mu")
+    """With too few rows below their cap for a regression the model is a rate per exposure hour."""
+    rows = stored_features(spark, root)
+    last = F.col("date") == scalar(rows, F.max("date"))
+    model = count_model.fit(rows.withColumn("cap_sessions_day", F.when(last, 1_000_000).otherwise(0)))
+    return rounded(count_model.predict_mu(model, rows).select(*KEYS, F.lit(model.kind).alias("kind"), "mu"))
 
 
 @query
@@ -239,7 +238,7 @@ def g9_predict_mu(spark: SparkSession, root: str) -> DataFrame:
 @query
 def g10_predict_quantiles(spark: SparkSession, root: str) -> DataFrame:
     scored = _given_scores(spark, root).select(*KEYS, "mu")
-    return count_model.predict_quantiles(GIVEN, scored, (0.05, 0.5, 0.95), names=["q05", "q50", "q95"])
+    return rounded(count_model.predict_quantiles(GIVEN, scored, (0.05, 0.5, 0.95), names=["q05", "q50", "q95"]))
 
 
 @query
@@ -267,14 +266,12 @@ def h1_horizon_forecast(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def h1_horizon_forecast_given(spark: SparkSession, root: str) -> DataFrame:
-    """The recursion under a fixed model with the previous value and calendar as inputs."""
-    model = count_model.CountModel("negbin", (-1.0, 0.05, 0.04), 0.1, ("dow_sin", "n_billable_lag1"), 0.0)
-    return rounded(risk.forecast_horizon(model, features(spark, root), adapters.devices(spark, root), HORIZON))
+    return rounded(given_forecast(spark, root))
 
 
 @query
 def h2_utilisation_panel(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(risk.utilisation_panel(device_days(spark, root), 14))
+    return rounded(risk.utilisation_panel(device_days(spark, root)))
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
@@ -292,27 +289,25 @@ def h4_correlation(spark: SparkSession, root: str) -> DataFrame:
     return rounded(risk.correlation(risk.shrunk_covariance(_vectors(spark, root))))
 
 
-def given_forecast(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
-    """The last observed week standing in for a forecast."""
-    cap = adapters.devices(spark, root).select("device_id", "cap_sessions_day")
-    last = scalar(days, F.max("date"))
-    return days.where(F.col("date") > F.date_sub(last, HORIZON)).join(cap, "device_id").select(
-        *KEYS, (F.col("n_billable") + 0.5).alias("mu"), "cap_sessions_day")
+def given_forecast(spark: SparkSession, root: str, rows: DataFrame | None = None) -> DataFrame:
+    """The recursion under a fixed model with the previous value and calendar as inputs."""
+    model = count_model.CountModel("negbin", (-1.0, 0.05, 0.04), 0.1, ("dow_sin", "n_billable_lag1"), 0.0)
+    rows = features(spark, root) if rows is None else rows
+    return risk.forecast_horizon(model, rows, adapters.devices(spark, root), HORIZON)
 
 
-def given_positions(spark: SparkSession, root: str, days: DataFrame | None = None) -> DataFrame:
-    days = materialise(device_days(spark, root), "device-day") if days is None else days
-    return risk.book(given_forecast(spark, root, days), adapters.devices(spark, root), GIVEN_ALPHA, HORIZON)
+def given_positions(spark: SparkSession, root: str, rows: DataFrame | None = None) -> DataFrame:
+    return risk.book(materialise(given_forecast(spark, root, rows), "forecast"), adapters.devices(spark, root),
+                     GIVEN_ALPHA, HORIZON)
 
 
 def given_draws(spark: SparkSession, root: str, positions: DataFrame) -> DataFrame:
     """Session draws from integer arithmetic around each device's expected sessions."""
     number = F.regexp_extract("device_id", r"(\d+)", 1).cast("bigint")
-    sims = positions.select(
-        "device_id", "exp_sessions", F.explode(F.sequence(F.lit(1), F.lit(GIVEN_SIMS))).alias("sim"))
-    u = ((F.col("sim") * 7919 + number * 104729) * (F.col("sim") + 31 * number) % 1000003) / 1000003
-    raw = sims.select("sim", "device_id", F.floor(F.col("exp_sessions") * (u + 0.5)).cast("double").alias("sessions"))
-    return risk.cap_and_floor(raw, positions)
+    u = lambda sim: ((sim * 7919 + number * 104729) * (sim + 31 * number) % 1000003) / 1000003
+    raw = F.transform(F.sequence(F.lit(1), F.lit(GIVEN_SIMS)),
+                      lambda sim: F.floor(F.col("exp_sessions") * (u(sim) + 0.5)).cast("double"))
+    return risk.cap_and_floor(positions.select("device_id", raw.alias("sessions")), positions)
 
 
 def _given(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -327,24 +322,27 @@ def h5_book_moments(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def h6_copula_factor(spark: SparkSession, root: str) -> DataFrame:
-    """Loadings of each device as their squared length, which is 1 for a correlation factor."""
+    """Loading of each device on the common draw of each panel date, and the weight of its own draw."""
     days = materialise(device_days(spark, root), "device-day")
-    loadings = flows.copula_loadings(days, days.select("device_id").distinct())
-    squared = F.aggregate("loadings", F.lit(0.0), lambda a, v: a + v * v) + F.pow("idio", F.lit(2))
-    return loadings.select("device_id", F.size("loadings").alias("n_factors"), F.round(squared, 6).alias("variance"))
+    dates = risk.utilisation_panel(days).agg(F.array_sort(F.collect_set("date"))).scalar()
+    return rounded(flows.copula_loadings(days).select("device_id", "idio", F.posexplode("loadings").alias("i", "loading"))
+                   .select("device_id", F.element_at(dates, F.col("i") + 1).alias("date"), "loading", "idio"))
 
 
-def _simulated(spark: SparkSession, root: str, days: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    days = materialise(device_days(spark, root), "device-day") if days is None else days
-    positions = materialise(given_positions(spark, root, days), "positions")
-    vectors = materialise(risk.panel_vectors(risk.utilisation_panel(days)), "vectors")
-    loadings = risk.panel_loadings(vectors, risk.shrinkage(vectors))
-    return positions, materialise(risk.simulate(positions, loadings, N_SIMS), "draws")
+def _simulated(
+    spark: SparkSession, root: str, days: DataFrame | None = None, rows: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    if days is None or rows is None:
+        days, rows = days_and_features(spark, root)
+    positions = materialise(given_positions(spark, root, rows), "positions")
+    return positions, materialise(risk.simulate(positions, flows.copula_loadings(days), N_SIMS), "draws")
 
 
 @query
 def h7_correlated_draws(spark: SparkSession, root: str) -> DataFrame:
-    return _simulated(spark, root)[1]
+    return _simulated(spark, root)[1].select(
+        "device_id", F.posexplode(F.arrays_zip("sessions", "revenue")).alias("sim", "v")).select(
+            "sim", "device_id", "v.sessions", "v.revenue")
 
 
 @query
@@ -354,7 +352,8 @@ def h8_nb_parameters(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def h9_cap_and_floor(spark: SparkSession, root: str) -> DataFrame:
-    return rounded(_given(spark, root)[1], 4)
+    long = _given(spark, root)[1].select("device_id", F.posexplode(F.arrays_zip("sessions", "revenue")).alias("i", "v"))
+    return rounded(long.select((F.col("i") + 1).alias("sim"), "device_id", "v.sessions", "v.revenue"), 4)
 
 
 @query
@@ -395,20 +394,20 @@ def h15_diversification(spark: SparkSession, root: str) -> DataFrame:
 
 def given_book(spark: SparkSession, root: str) -> DataFrame:
     days, rows = days_and_features(spark, root)
-    positions = materialise(given_positions(spark, root, days), "positions")
+    positions = materialise(given_positions(spark, root, rows), "positions")
     return risk.price_book(given_draws(spark, root, positions), positions, rows, "run-1")
 
 
 @query
 def h16_price_book(spark: SparkSession, root: str) -> DataFrame:
     days, rows = days_and_features(spark, root)
-    positions, draws = _simulated(spark, root, days)
+    positions, draws = _simulated(spark, root, days, rows)
     return risk.price_book(draws, positions, rows, "run-1")
 
 
 @query
 def h16_portfolio_summary(spark: SparkSession, root: str) -> DataFrame:
     days, rows = days_and_features(spark, root)
-    positions, draws = _simulated(spark, root, days)
+    positions, draws = _simulated(spark, root, days, rows)
     priced = materialise(risk.price_book(draws, positions, rows, "run-1"), "book")
     return risk.portfolio_summary(draws, positions, priced)

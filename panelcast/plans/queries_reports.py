@@ -172,4 +172,4 @@ def flow_underwriting(spark: SparkSession, root: str) -> DataFrame:
     """The whole underwriting job, as its price book."""
     fleet = adapters.fleet(spark, root)
     return flows.run_underwriting(
-        fleet.devices, fleet.events, scratch_path(spark, "flow"), 7, 2000, operators=fleet.operators).book.drop("run_id")
+        fleet.devices, fleet.events, scratch_path(spark, "flow"), 7, 4000, operators=fleet.operators).book.drop("run_id")

@@ -13,6 +13,11 @@ from panelcast.schemas import DATASET_TABLE, RTT, SUPPLY, TABLES
 from panelcast.sources import adapters, conform, storage
 
 CHAPTER_COST = {"F0": 1800.0, "F1": 950.0, "F2": 4200.0, "F3": 60.0}
+# Per dataset the value and the label that its rows are shown by.
+FEED_COLUMNS = {
+    "procedures": ("n_procedures", "procedure_code"), "imaging": ("n_tests", "modality"),
+    "rtt": ("waiting_list_size", "treatment_function"), "activity": ("n_activity", "activity_type"),
+    "demographics": ("population", "age_band"), "supply": ("spend_gbp", "category")}
 FIRST_SNAPSHOT, SECOND_SNAPSHOT = "2024-01-31", "2024-02-29"
 
 
@@ -76,7 +81,7 @@ def _staged_feeds(spark: SparkSession, root: str) -> dict[str, conform.Feed]:
     base = storage.scratch_path(spark, "feeds")
     data = adapters.datasets(spark, root)
     feeds = {}
-    for name in ("activity", "imaging", "supply"):
+    for name in data:
         data[name].write.parquet(f"{base}/{name}")
         feeds[name] = conform.Feed(f"{base}/absent-{name}", f"{base}/{name}")
     data["activity"].write.option("header", "true").csv(f"{base}/activity-csv")
@@ -86,21 +91,29 @@ def _staged_feeds(spark: SparkSession, root: str) -> dict[str, conform.Feed]:
 
 @query
 def a9_provenance(spark: SparkSession, root: str) -> DataFrame:
-    _, entries = conform.load_all(spark, _staged_feeds(spark, root))
+    """Where each feed came from, and its rows."""
+    frames, entries = conform.load_all(spark, _staged_feeds(spark, root))
     base = storage.scratch_path(spark, "provenance")
     storage.record_provenance(spark, base, "run-1", entries)
+    sizes = None
+    for name, df in frames.items():
+        part = df.agg(F.lit(name).alias("source"), F.count("*").alias("n_rows"))
+        sizes = part if sizes is None else sizes.unionByName(part)
     return storage.provenance(spark, base, "run-1").select(
-        "source", F.substring_index("provenance", " ", 1).alias("kind"))
+        "source", F.substring_index("provenance", " ", 1).alias("kind")).join(sizes, "source")
 
 
 @query
 def a11_load_feeds(spark: SparkSession, root: str) -> DataFrame:
+    """All six datasets, a row for each of theirs."""
     frames, _ = conform.load_all(spark, _staged_feeds(spark, root))
-    activity = frames["activity"].select(
-        "date", "trust_code", "region", F.col("activity_type").alias("label"), F.col("n_activity").alias("n"))
-    imaging = frames["imaging"].select(
-        "date", "trust_code", "region", F.col("modality").alias("label"), F.col("n_tests").alias("n"))
-    return activity.unionByName(imaging)
+    out = None
+    for name, df in frames.items():
+        value, label = FEED_COLUMNS[name]
+        part = df.select(F.lit(name).alias("dataset"), F.col(label).cast("string").alias("label"),
+                         F.round(F.col(value).cast("double"), 6).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query
@@ -145,7 +158,11 @@ def a15_read_latest(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def a16_list_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    return storage.list_snapshots(spark, _two_snapshots(spark, root), "procedures")
+    """The labels with the rows stored under each."""
+    lake = _two_snapshots(spark, root)
+    stored = spark.read.parquet(f"{lake}/procedures").groupBy(
+        F.col("snapshot_date").cast("string").alias("snapshot_date")).agg(F.count("*").alias("n_rows"))
+    return storage.list_snapshots(spark, lake, "procedures").join(stored, "snapshot_date", "left")
 
 
 @query
@@ -153,9 +170,8 @@ def a17_replace_table(spark: SparkSession, root: str) -> DataFrame:
     """A second load replaces the first; its extra column is ignored, its missing one becomes NULL."""
     base = storage.scratch_path(spark, "tables")
     supply = adapters.supply(spark, root)
-    storage.replace_table(supply, base, "fact_supply")
-    storage.replace_table(
-        supply.where(F.col("units") % 2 == 0).drop("spend_gbp").withColumn("note", F.lit("x")), base, "fact_supply")
+    storage.replace_table(supply.where(F.col("units") % 2 == 0), base, "fact_supply")
+    storage.replace_table(supply.drop("spend_gbp").withColumn("note", F.lit("x")), base, "fact_supply")
     return storage.read_table(spark, base, "fact_supply").select(*SUPPLY.fieldNames())
 
 

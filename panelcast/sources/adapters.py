@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.sources.storage import materialise, together
+
 # Fixed values of the adapter: chapter -> treatment function, older segments, code -> equipment.
 CHAPTER_TO_FUNCTION = {
     "F0": "1-URGENT", "F1": "2-HIGH", "F2": "3-MEDIUM", "F3": "4-NOT SPECIFIED", "F4": "5-LOW",
@@ -118,18 +120,52 @@ def supply(spark: SparkSession, root: str) -> DataFrame:
                  F.sum("l_quantity").cast("bigint").alias("units")))
 
 
-READERS = {
-    "procedures": procedures,
-    "imaging": imaging,
-    "rtt": rtt,
-    "activity": activity,
-    "demographics": demographics,
-    "supply": supply,
-}
+def _line_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Line items by month, place, brand, type and status; lines of unknown suppliers keep no place."""
+    located = places(spark, root)
+    supplier = table(spark, root, "supplier").join(
+        located, F.col("s_nationkey") == located.n_nationkey).select("s_suppkey", "trust_code", "region")
+    part = table(spark, root, "part").select("p_partkey", "p_brand", "p_type")
+    lineitem = table(spark, root, "lineitem").select(
+        "l_partkey", "l_suppkey", _month("l_shipdate").alias("date"), "l_quantity", "l_extendedprice", "l_linestatus")
+    return (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "left")
+            .join(part, lineitem.l_partkey == part.p_partkey)
+            .groupBy("date", F.col("s_suppkey").isNotNull().alias("placed"), "trust_code", "region", "p_brand", "p_type",
+                     "l_linestatus")
+            .agg(F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"), F.count("*").alias("n")))
+
+
+def _order_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Orders by customer, month and priority."""
+    return (_orders(spark, root)
+            .groupBy("o_custkey", "trust_code", "region", F.col("c_mktsegment").alias("age_band"),
+                     _month("o_orderdate").alias("date"), F.col("o_orderpriority").alias("treatment_function"))
+            .agg(F.count_if(F.col("o_orderstatus") != "F").alias("waiting"),
+                 F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.count("*").alias("n")))
 
 
 def datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read(spark, root) for name, read in READERS.items()}
+    """The six datasets from one stored summary of the line items and one of the orders, each read once."""
+    lines, orders = together(spark, lambda: materialise(_line_summary(spark, root), "lines"),
+                             lambda: materialise(_order_summary(spark, root), "orders"))
+    placed = lines.where("placed")
+    where = ("date", "trust_code", "region")
+    brand_no = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    chapter = F.concat(F.lit("F"), F.floor((brand_no - 1) / 5).cast("string"))
+    return {
+        "procedures": placed.groupBy(*where, chapter.alias("opcs_chapter"), F.col("p_brand").alias("procedure_code"))
+        .agg(F.sum("quantity").cast("bigint").alias("n_procedures")),
+        "imaging": placed.groupBy(*where, F.concat(F.lit(" "), "p_type", F.lit(" ")).alias("modality"))
+        .agg(F.sum("n").alias("n_tests")),
+        "rtt": orders.groupBy(*where, "treatment_function").agg(
+            F.sum("waiting").alias("waiting_list_size"),
+            (100 * (F.sum("done").cast("double") / F.sum("n"))).alias("pct_within_18wk")),
+        "activity": placed.groupBy(*where, F.col("l_linestatus").alias("activity_type")).agg(F.sum("n").alias("n_activity")),
+        "demographics": orders.groupBy(F.year("date").alias("year"), "region", "age_band").agg(
+            F.countDistinct("o_custkey").alias("population")),
+        "supply": lines.groupBy(quarter_label("date").alias("quarter"), F.col("p_type").alias("category")).agg(
+            F.sum("price").alias("spend_gbp"), F.sum("quantity").cast("bigint").alias("units")),
+    }
 
 
 def national_sheet(spark: SparkSession, root: str) -> DataFrame:
@@ -196,12 +232,14 @@ def devices(spark: SparkSession, root: str) -> DataFrame:
                 (F.ceil(starts_per_day * 1.25) + no % 3).cast("int").alias("cap_sessions_day")))
 
 
-def session_events(spark: SparkSession, root: str) -> DataFrame:
-    """Starts, ends and errors of the devices.
+def session_events(spark: SparkSession, root: str, active_only: bool = False) -> DataFrame:
+    """Starts, ends and errors of the devices; with ``active_only`` no errors, a filter the scan takes.
 
     ``seq_no`` is twice the source event id: unique, increasing in time, no ranking pass needed.
     """
     raw = _raw_events(spark, root)
+    if active_only:
+        raw = raw.where(F.col("event_type").isin("view", "click", "purchase", "signup"))
     kind = F.when(F.col("event_type").isin("view", "click"), "active_start").when(
         F.col("event_type").isin("purchase", "signup"), "active_end").otherwise("error")
     is_end = F.col("event_type").isin("purchase", "signup")

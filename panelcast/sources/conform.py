@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from panelcast.fixed_values import ACTIVITY_ALIASES, MODALITY_ALIASES
+from panelcast.fixed_values import ACTIVITY_ALIASES, MODALITY_ALIASES, UNIT_COST_GBP
 from panelcast.functions.panel import lookup, month_range
 from panelcast.schemas import DATASETS
 from panelcast.sources.adapters import quarter_label
@@ -54,7 +54,7 @@ def national_series(
         F.expr(f"try_cast(`{preferred}` AS double)"), F.expr(f"try_cast(`{fallback}` AS double)"))
     parsed = sheet.select(day.alias("day"), value.alias("value"), F.col(row_no).alias("row_no")).where(
         F.col("day").isNotNull() & F.col("value").isNotNull())
-    # "Last" follows the sorted series: later day first, then later row.
+    # Of several values in a month the one in the last row counts.
     return parsed.groupBy(F.trunc("day", "month").alias("date")).agg(
         F.max_by("value", F.col("row_no")).alias("value"))
 
@@ -112,7 +112,7 @@ def allocate_top_down(
 
 
 def quarterly_supply(
-    facts: DataFrame, unit_cost: Mapping[str, float], category: str = "category", units: str = "units",
+    facts: DataFrame, unit_cost: Mapping[str, float] = UNIT_COST_GBP, category: str = "category", units: str = "units",
     date: str = "date",
 ) -> DataFrame:
     """Quarterly units per category and spend = units x unit cost."""

@@ -43,6 +43,12 @@ def iteration_input(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _only_missing(exc: AnalysisException) -> None:
+    """An absent path means "nothing stored yet"; any other fault is raised again."""
+    if exc.getCondition() != "PATH_NOT_FOUND":
+        raise exc
+
+
 # ---------------------------------------------------------------- snapshots
 
 def write_snapshot(df: DataFrame, lake: str, dataset: str, snapshot: str | None = None) -> str:
@@ -62,7 +68,8 @@ def write_snapshot(df: DataFrame, lake: str, dataset: str, snapshot: str | None
 def latest_snapshot(spark: SparkSession, lake: str, dataset: str) -> str | None:
     try:
         row = spark.read.text(f"{lake}/{dataset}/{POINTER}").first()
-    except AnalysisException:
+    except AnalysisException as exc:
+        _only_missing(exc)
         return None
     return row.value.strip() if row else None
 
@@ -90,7 +97,8 @@ def list_snapshots(spark: SparkSession, lake: str, dataset: str) -> DataFrame:
     """Sorted snapshot labels; empty when the dataset is absent. Answered from partition metadata."""
     try:
         stored = _snapshots(spark, lake, dataset)
-    except AnalysisException:
+    except AnalysisException as exc:
+        _only_missing(exc)
         return spark.createDataFrame([], "snapshot_date string")
     return stored.select("snapshot_date").distinct().orderBy("snapshot_date")
 
@@ -104,7 +112,8 @@ def table_path(root: str, table: str) -> str:
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        _only_missing(exc)
         return False
     return True
 
@@ -121,7 +130,8 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = TABLES[table]
     try:
         return spark.read.schema(schema).parquet(table_path(root, table)).select(*schema.fieldNames())
-    except AnalysisException:
+    except AnalysisException as exc:
+        _only_missing(exc)
         return spark.createDataFrame([], schema)
 
 

@@ -61,6 +61,4 @@ def test_queries_against_sql(spark, root):
     con, sqls = check_oracles.connect(root), entry.oracle_sql()
     for name in ("a5_top_down_allocation", "b8_default_specs", "c12_feature_table", "c12_feature_table_compat",
                  "e8_scenario_sweep", "f1_sessions", "f17_device_features", "h4_correlation", "h10_tail_risk", "i17_top_trusts"):
-        if name == "b8_default_specs":
-            continue
         assert check_oracles.compare(spark, con, entry.queries()[name], sqls[name], root).startswith("ok"), name

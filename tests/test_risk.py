@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,24 +72,30 @@ def implied(loadings):
     return b @ b.T + np.diag([rows[d].idio ** 2 for d in ids])
 
 
-def test_both_loadings_imply_the_same_correlation(vectors):
+def test_loadings_imply_the_shrunk_correlation(vectors):
     df, _ = vectors
     stats = risk.shrinkage(df)
-    corr = risk.correlation(risk.shrunk_covariance(df, stats))
-    want = as_matrix(corr, "corr")
+    want = as_matrix(risk.correlation(risk.shrunk_covariance(df, stats)), "corr")
     assert implied(risk.panel_loadings(df, stats)) == pytest.approx(want, abs=1e-9)
-    assert implied(risk.dense_loadings(corr, [f"dev{i}" for i in range(7)])) == pytest.approx(want, abs=1e-9)
 
 
-def test_dense_factor_rules(vectors):
-    df, _ = vectors
-    corr = risk.correlation(risk.shrunk_covariance(df))
-    rows = {r.device_id: r.loadings for r in risk.dense_loadings(corr, ["dev0", "stranger"]).collect()}
-    assert rows["stranger"] == pytest.approx([0.0, 1.0])
-    with pytest.raises(ValueError):
-        risk.dense_loadings(corr, [str(i) for i in range(risk.DENSE_LIMIT + 1)])
-    lower = risk.cholesky_with_lift(np.ones((3, 3)))
-    assert np.linalg.eigvalsh(lower @ lower.T).min() >= 0.9e-6
+def test_common_share_is_bounded(spark):
+    line = [float(v) for v in range(-20, 20)]
+    df = spark.createDataFrame([(f"dev{i}", [v * (i + 1) * 100 for v in line]) for i in range(3)],
+                               "device_id string, v array<double>")
+    corr = implied(risk.panel_loadings(df, (40, 3, 0.0, 1e-6)))
+    assert np.diag(corr) == pytest.approx(1.0) and corr[0, 1] == pytest.approx(risk.MAX_COMMON)
+    assert np.linalg.eigvalsh(corr).min() > 0
+
+
+def test_loadings_of_a_device_do_not_depend_on_the_size_of_the_book(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"dev{i}", [float(v) for v in rng.normal(size=30)]) for i in range(300)]
+    whole = spark.createDataFrame(rows, "device_id string, v array<double>")
+    stats = risk.shrinkage(whole)
+    some = {r.device_id: (r.loadings, r.idio) for r in risk.panel_loadings(whole.where("device_id < 'dev2'"), stats).collect()}
+    every = {r.device_id: (r.loadings, r.idio) for r in risk.panel_loadings(whole, stats).collect()}
+    assert len(every) == 300 and all(every[d] == v for d, v in some.items())
 
 
 def test_simulation_is_partition_invariant(spark, vectors):
@@ -97,8 +104,9 @@ def test_simulation_is_partition_invariant(spark, vectors):
     positions = book_of(spark)
     one = risk.simulate(positions.repartition(1), loadings, 60)
     many = risk.simulate(positions.repartition(5), loadings.repartition(3), 60)
-    assert one.count() == 300
-    assert one.exceptAll(many).count() == 0
+    rows = {r.device_id: (r.sessions, r.revenue) for r in many.collect()}
+    assert len(rows) == 5 and {r.device_id: (r.sessions, r.revenue) for r in one.collect()} == rows
+    assert all(len(x) == 60 for pair in rows.values() for x in pair)
 
 
 def test_simulated_moments_and_correlation(spark):
@@ -106,7 +114,7 @@ def test_simulated_moments_and_correlation(spark):
     tight = math.sqrt(0.9)
     loadings = spark.createDataFrame(
         [(f"dev{i}", [tight], math.sqrt(0.1)) for i in range(2)], "device_id string, loadings array<double>, idio double")
-    wide = risk.simulate(positions, loadings, 4000).groupBy("sim").pivot("device_id", ["dev0", "dev1"]).sum("sessions").toPandas()
+    wide = pd.DataFrame({r.device_id: r.sessions for r in risk.simulate(positions, loadings, 4000).collect()})
     assert wide["dev0"].mean() == pytest.approx(30.0, rel=0.03)
     assert wide["dev0"].var() == pytest.approx(45.0, rel=0.1)
     assert wide[["dev0", "dev1"]].corr(method="spearman").iloc[0, 1] == pytest.approx(6 / math.pi * math.asin(0.45), abs=0.03)
@@ -114,16 +122,17 @@ def test_simulated_moments_and_correlation(spark):
 
 def test_cap_and_floor(spark):
     positions = book_of(spark, 1).withColumn("cap_sessions", F.lit(20.0))
-    draws = spark.createDataFrame([(0, "dev0", 50.0), (1, "dev0", 2.0)], "sim int, device_id string, sessions double")
-    rows = {r.sim: (r.sessions, r.revenue) for r in risk.cap_and_floor(draws, positions).collect()}
-    assert rows == {0: (20.0, 10000.0), 1: (2.0, 4000.0)}
+    draws = spark.createDataFrame([("dev0", [50.0, 2.0])], "device_id string, sessions array<double>")
+    row = risk.cap_and_floor(draws, positions).first()
+    assert (row.sessions, row.revenue) == ([20.0, 2.0], [10000.0, 4000.0])
 
 
 def test_tail_and_pricing_against_numpy(spark, vectors):
     df, _ = vectors
     positions = book_of(spark)
     draws = risk.simulate(positions, risk.panel_loadings(df, risk.shrinkage(df)), 300).persist()
-    rev = draws.toPandas().pivot(index="sim", columns="device_id", values="revenue").to_numpy()
+    rev = np.array([r.revenue for r in draws.orderBy("device_id").collect()]).T
+    assert risk.book_revenue(draws) == pytest.approx(rev.sum(axis=1))
     book, fixed = rev.sum(axis=1), 9000.0 * 5
     loss = fixed - book
     row = risk.tail_risk(draws, positions).first()
@@ -165,8 +174,6 @@ def python_walk(model, features, horizon, ddof):
 
 @pytest.mark.parametrize("compat", [False, True])
 def test_horizon_forecast_against_plain_recursion(fleet, compat):
-    import pandas as pd
-
     rng = np.random.default_rng(1)
     cols = tuple(c for c in fleet["features"].columns if c in cm.NUMERIC_FEATURES)
     model = cm.CountModel("negbin", (-1.5, *rng.normal(0, 0.02, len(cols))), 0.1, cols, 0.2)
@@ -179,6 +186,6 @@ def test_horizon_forecast_against_plain_recursion(fleet, compat):
 
 
 def test_copula_loadings_are_unit_length(fleet):
-    loadings = copula_loadings(fleet["days"], fleet["days"].select("device_id").distinct())
+    loadings = copula_loadings(fleet["days"])
     for r in loadings.collect():
         assert sum(v * v for v in r.loadings) + r.idio ** 2 == pytest.approx(1.0)
