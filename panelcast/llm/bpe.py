@@ -15,6 +15,7 @@ import re
 import unicodedata
 from functools import cache
 from itertools import accumulate
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-#: Entries of the memory of words and of fragments in each Python worker.
-REMEMBERED = 400_000
-#: Below this code point letter and digit classes are the same in all Unicode versions; above, the library splits.
+#: Entries of the memories of words and of fragments in each Python worker.
+WORDS, FRAGMENTS = 300_000, 30_000
+#: Texts handled at once in a batch.
+SLICE = 256
+#: Below this code point characters are composed already, and letters, digits and lower case are the same in all Unicode
+#: versions; a text with any other character is normalised and split by the library.
 STABLE = 0x250
+#: White space below that point.
+BLANK = "\t-\r \x85\xa0"
 
 
 def byte_alphabet() -> list[str]:
@@ -35,6 +41,22 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
+class Memory(dict):
+    """Values made on first use; emptied by `trim` when there are too many."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.clear()
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file (byte-level BPE with an end-of-word suffix)."""
 
@@ -51,13 +73,13 @@ class Codec:
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         size = max([*model["vocab"].values(), *self.special.values()]) + 1
         self.tokens = np.array([self.tokenizer.id_to_token(i) or "" for i in range(size)], object)
-        letters = "".join(re.escape(chr(c)) for c in range(STABLE) if unicodedata.category(chr(c))[0] == "L")
+        letters = "".join(chr(c) for c in range(STABLE) if unicodedata.category(chr(c))[0] == "L")
         digits = "".join(chr(c) for c in range(STABLE) if unicodedata.category(chr(c))[0] == "N")
-        # After normalisation a space is the only white space.
-        self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^ {letters}{digits}]+").findall
-        self.simple = re.compile(f"[\x00-{chr(STABLE - 1)}]*").fullmatch
-        self.words: dict[str, bytes] = {}
-        self.fragments: dict[tuple[str, bool], list[int]] = {}
+        self.split = re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^{BLANK}{letters}{digits}]+").findall
+        self.unusual = re.compile(f"[^\x00-{chr(STABLE - 1)}]").search
+        self.back = {c: b for b, c in enumerate(self.alphabet)}
+        self.words = Memory(self.word_ids, WORDS)
+        self.fragments = Memory(self._fragment_ids, FRAGMENTS)
 
     def _pairs(self, vocab) -> set[str]:
         """Symbol pairs inside some token. The last symbol of a word carries the suffix and is a symbol of its own."""
@@ -72,52 +94,46 @@ class Codec:
 
     def fragments_of(self, word: str) -> list[str]:
         """`word`, in the byte alphabet, cut at every forced boundary."""
-        last = len(word) - 2
-        cuts = [i + 1 for i in range(len(word) - 1)
-                if word[i: i + 2] + (self.suffix if i == last else "") not in self.joined]
+        joined = self.joined
+        cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in joined]
+        end = len(word) - 1
+        if end > 0 and self.suffix:  # the last symbol has the suffix and pairs of its own
+            if cuts and cuts[-1] == end:
+                cuts.pop()
+            if word[-2:] + self.suffix not in joined:
+                cuts.append(end)
+        if not cuts:
+            return [word]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
+    def _fragment_ids(self, key: tuple[str, bool]) -> bytes:
+        part, ends_word = key
+        return np.array([t.id for t in (self.final if ends_word else self.inner).tokenize(part)], "<u4").tobytes()
+
     def word_ids(self, word: str) -> bytes:
-        symbols = "".join(self.alphabet[b] for b in word.encode())
-        parts, ids = self.fragments_of(symbols), []
-        for i, part in enumerate(parts):
-            key = (part, i == len(parts) - 1)
-            if key not in self.fragments:
-                if len(self.fragments) >= REMEMBERED:
-                    self.fragments.clear()
-                self.fragments[key] = [t.id for t in (self.final if key[1] else self.inner).tokenize(part)]
-            ids += self.fragments[key]
-        return np.array(ids, "<u4").tobytes()
+        if not (word.isascii() and word.isalpha()):  # those stand for themselves
+            word = "".join([self.alphabet[b] for b in word.encode()])
+        *parts, last = self.fragments_of(word)
+        known = self.fragments
+        return b"".join([known[part, False] for part in parts]) + known[last, True]
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
+        self.words.trim()
+        self.fragments.trim()
         out = []
-        for piece in self.specials.split(text):
+        for piece in self.specials.split(text) if "<|" in text else (text,):
             if piece in self.special:
                 out.append(np.array([self.special[piece]], "<u4").tobytes())
-            elif piece:
+            elif self.unusual(piece):
                 plain = self.tokenizer.normalizer.normalize_str(piece)
-                if self.simple(plain):
-                    words = self.split(plain)
-                else:
-                    words = [self._original(w) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
-                known = self.words
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                for word in set(words).difference(known):
-                    known[word] = self.word_ids(word)
-                out.append(b"".join(map(known.__getitem__, words)))
+                words = [bytes(self.back[c] for c in w).decode()
+                         for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)]
+                out += map(self.words.__getitem__, words)
+            else:
+                out += map(self.words.__getitem__, self.split(piece.lower()))
         return b"".join(out)
 
-    def _original(self, shown: str) -> str:
-        return bytes(self._back[c] for c in shown).decode()
-
-    @property
-    def _back(self) -> dict[str, int]:
-        if not hasattr(self, "_reverse"):
-            self._reverse = {c: b for b, c in enumerate(self.alphabet)}
-        return self._reverse
-
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces: what a tokenizer file without a decoder asks for. Special tokens stay."""
         return " ".join(self.tokens[ids].tolist())
@@ -134,10 +150,13 @@ def encode(text: Column, path: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         c = codec(path)
-        found = [c.encode(t) if t else b"" for t in texts.to_pylist()]
-        offsets = np.fromiter(accumulate((len(x) // 4 for x in found), initial=0), np.int32, len(found) + 1)
-        flat = np.frombuffer(b"".join(found), "<i4")
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        sizes, parts = [], []
+        for at in range(0, len(texts), SLICE):
+            found = [c.encode(t) if t else b"" for t in texts.slice(at, SLICE).to_pylist()]
+            sizes += map(len, found)
+            parts.append(np.frombuffer(b"".join(found), "<i4"))
+        offsets = np.fromiter(accumulate((n // 4 for n in sizes), initial=0), np.int32, len(sizes) + 1)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, "<i4")))
 
     return ids(text)
 
@@ -149,7 +168,10 @@ def decode(ids: Column, path: str) -> Column:
     def texts(lists: pa.Array) -> pa.Array:
         c = codec(path)
         offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-        ends = zip(offsets[:-1], offsets[1:])
-        return pa.array([c.decode(values[a:b]) for a, b in ends], pa.string())
+        parts = []
+        for at in range(0, len(lists), SLICE):
+            ends = offsets[at: at + SLICE + 1]
+            parts.append(pa.array([c.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return texts(ids)
