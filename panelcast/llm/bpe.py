@@ -16,6 +16,7 @@ import unicodedata
 from functools import cache
 from itertools import accumulate
 from operator import add
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -107,13 +108,19 @@ class Codec:
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
     def _fragment_ids(self, key: tuple[str, bool]) -> bytes:
-        part, ends_word = key
-        return np.array([t.id for t in (self.final if ends_word else self.inner).tokenize(part)], "<u4").tobytes()
+        return self._pack(self.final if key[1] else self.inner, key[0])
+
+    @staticmethod
+    def _pack(model, part: str) -> bytes:
+        ids = [t.id for t in model.tokenize(part)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def word_ids(self, word: str) -> bytes:
         if not (word.isascii() and word.isalpha()):  # those stand for themselves
             word = "".join([self.alphabet[b] for b in word.encode()])
         *parts, last = self.fragments_of(word)
+        if not parts:  # remembered as a word
+            return self._pack(self.final, last)
         known = self.fragments
         return b"".join([known[part, False] for part in parts]) + known[last, True]
 
