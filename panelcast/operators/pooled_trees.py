@@ -51,7 +51,11 @@ def _scale(level: str = LEVEL) -> Column:
     return F.greatest(F.coalesce(F.col(level), F.lit(0.0)), F.lit(1.0))
 
 
-def _fit(rows: DataFrame, rounds: int, depth: int) -> PipelineModel:
+# Most boosting rounds, their rate, and the least share by which a round must lower the validation error.
+ROUNDS, STEP, TOLERANCE = 400, 0.05, 0.005
+
+
+def _fit(rows: DataFrame, rounds: int, depth: int, held: str | None = None) -> PipelineModel:
     indexers = StringIndexer(
         inputCols=list(CATEGORICAL), outputCols=[f"{c}_code" for c in CATEGORICAL],
         stringOrderType="alphabetAsc", handleInvalid="keep").fit(rows)
@@ -59,9 +63,12 @@ def _fit(rows: DataFrame, rounds: int, depth: int) -> PipelineModel:
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     # Codes enter as ordered numbers, so the number of categories is not bound by the tree's bins.
     ready = _ranked(indexers.transform(rows))
-    trees = GBTRegressor(
-        lossType="absolute", labelCol=TARGET, maxIter=rounds, maxDepth=depth, stepSize=0.1,
-        subsamplingRate=0.8, minInstancesPerNode=30, seed=7).fit(assembler.transform(ready))
+    learner = GBTRegressor(
+        lossType="absolute", labelCol=TARGET, maxIter=rounds, maxDepth=depth, stepSize=STEP,
+        subsamplingRate=0.8, minInstancesPerNode=30, seed=7)
+    if held:
+        learner = learner.setValidationIndicatorCol(held).setParams(validationTol=TOLERANCE)
+    trees = learner.fit(assembler.transform(ready))
     return PipelineModel([indexers, assembler, trees])
 
 
@@ -75,17 +82,23 @@ def _predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def train(
-    features: DataFrame, horizon: int, rounds: int = 20, depth: int = 5, quantiles: Sequence[float] = (0.1, 0.9)
+    features: DataFrame, horizon: int, rounds: int = ROUNDS, depth: int = 5, quantiles: Sequence[float] = (0.1, 0.9)
 ) -> TreeModel:
-    """Calibrate on the last ``horizon`` months, then fit on everything."""
+    """Calibrate on the last ``horizon`` months, then fit on everything.
+
+    Boosting ends at ``rounds``, or when a round no longer lowers the error of the calibration months by the share
+    ``TOLERANCE``; the final fit takes as many rounds.
+    """
     rows = iteration_input(_inputs(training_rows(features)).withColumn(
         TARGET, F.col(TARGET).cast("double")), "tree-train")
     try:
         early, late = temporal_split(rows, "date", horizon)
         residual = (F.col(TARGET) - F.col("prediction")) / _scale()
-        low, high = _predict(_fit(early, rounds, depth), late).agg(
+        marked = rows.withColumn("held", F.col("date") > scalar(early, F.max("date")))
+        first = _fit(marked, rounds, depth, "held")
+        low, high = _predict(first, late).agg(
             F.percentile_approx(residual, list(quantiles), 10_000)).first()[0]
-        return TreeModel(_fit(rows, rounds, depth), float(low), float(high))
+        return TreeModel(_fit(rows, first.stages[-1].getNumTrees, depth), float(low), float(high))
     finally:
         rows.unpersist()
 

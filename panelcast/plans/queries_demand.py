@@ -189,7 +189,7 @@ def d8_pooled_quantiles(spark: SparkSession, root: str) -> DataFrame:
 def d8_pooled_trees(spark: SparkSession, root: str) -> DataFrame:
     """Boosted-tree forecast of the holdout months with conformal bands."""
     train, _ = metrics.temporal_split(materialise(feature_table(spark, root), "features"), "date", HORIZON)
-    return pooled_trees.recursive_forecast(train, pooled_trees.train(train, HORIZON, rounds=10), HORIZON)
+    return pooled_trees.recursive_forecast(train, pooled_trees.train(train, HORIZON), HORIZON)
 
 
 @query
