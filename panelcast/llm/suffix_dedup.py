@@ -37,6 +37,8 @@ GRAM = 50
 #: Texts that a task remembers having sent.
 SEEN = 500_000
 
+#: Tables of keys are broadcast up to so many bytes; the rows they meet are narrow, so that a shuffle costs little.
+NARROW = 1 << 20
 #: Windows of the runs after the first cut; the second cut leaves single windows.
 SHORT = 10
 
@@ -180,19 +182,19 @@ def _settled(runs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """
     shared = (runs.groupBy("core").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).where("x <> y")
               .select("core"))
-    left = materialise(runs.join(sized(materialise(shared, f"suffix-{name}-cores"), 0), "core"), f"suffix-{name}-runs")
+    left = materialise(runs.join(sized(materialise(shared, f"suffix-{name}-cores"), 0, NARROW), "core"), f"suffix-{name}-runs")
     areas = (left.groupBy("core", "area_a", "area_b")
              .agg(F.min("spot").alias("x"), F.max("spot").alias("y"), F.max("single").alias("single"))
              .select("core", "area_a", "area_b", "x", (F.col("x") != F.col("y")).alias("several"), "single"))
     areas = materialise(areas, f"suffix-{name}-areas")
-    several = sized(materialise(areas.where("several AND single").select("area_a", "area_b"), f"suffix-{name}-several"), 48)
+    several = sized(materialise(areas.where("several AND single").select("area_a", "area_b"), f"suffix-{name}-several"), 48, NARROW)
     spans = left.where("single").join(several, ["area_a", "area_b"]).select("text_key", "low", "high")
     # One copy of each different area of a core is cut if one of them has no equal and waits for a verdict.
     waits = ~F.col("several") & F.col("single")
     open_ = areas.groupBy("core").agg(F.count("*").alias("n"), F.max(waits).alias("any"))
-    open_ = sized(materialise(open_.where("n > 1 AND any").select("core"), f"suffix-{name}-open"), 0)
+    open_ = sized(materialise(open_.where("n > 1 AND any").select("core"), f"suffix-{name}-open"), 0, NARROW)
     speaks = areas.join(open_, "core").select(F.col("x").alias("spot"), waits.alias("waits"))
-    speaks = sized(materialise(speaks, f"suffix-{name}-speaks"), 8)
+    speaks = sized(materialise(speaks, f"suffix-{name}-speaks"), 8, NARROW)
     cut = (left.join(speaks, "spot").groupBy("text_key", "spot")
            .agg(*(F.first(c).alias(c) for c in ("low", "high", "at", "waits"))))
     run = F.struct("low", "high", "at", F.col("waits").alias("single"))
