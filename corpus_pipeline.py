@@ -4,14 +4,15 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 Parquet and read again as the next one's docs. All but the last keep the columns of `documents`.
 
 1. language: rejects texts without language (no letters) and texts that resemble no learned language.
-2. exact: of equal texts the row with the smallest id stays.
+2. exact: of equal texts the row with the smallest id stays, one row whatever the ids.
 3. near: of each group of near duplicates (five-word shingles, Jaccard 0.8) the row with the smallest id stays.
 4. repeats: bytes of passages of 200 bytes and more that occur elsewhere among the rows left go, and a character that
    loses some of its bytes goes as a whole. Rows stay, with the text that is left.
 5. packing: rows are cut into pieces of full sequences.
 
-Null texts are rejected by the first stage; rows without an id pass all stages, copies of them too (their text alone
-cannot name the row to drop). Empty input gives empty output at every stage.
+Stages 2 and 3 choose rows, not ids: rows that repeat with one id are copies of each other, one of them stays, and a row
+goes without the other rows of its id. Rows without an id stay only if no row of their group has one. Null texts are
+rejected by the first stage. Empty input gives empty output at every stage.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from panelcast.sources.storage import materialise
 #: A text nearer than this to no learned profile is rejected. Prose scores above 0.4 even when a line long, noise near 0.
 MIN_SCORE = 0.1
 
+#: The column that tells rows apart where ids do not.
+ROW = "_pipeline_row"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = langid.train(docs)
@@ -34,15 +38,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("p.lang") != langid.UNKNOWN) & (F.col("p.score") >= MIN_SCORE)).select("row.*")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """`docs`, written with a column ROW that differs in every row and orders them by id, nulls last.
+
+    Rows of one id are ordered by their content, so that only rows alike in all columns depend on the numbers given.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                   F.xxhash64(*docs.columns).alias("content"), F.monotonically_increasing_id().alias("number"))
+    return materialise(docs.withColumn(ROW, row), name)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    return without_ids(docs, materialise(gone.select(F.col("doc_id").alias(ROW)), name), ROW).drop(ROW)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = exact_dedup.exact_groups(docs).where("NOT kept").select("doc_id").distinct()
-    return without_ids(docs, materialise(gone, "pipeline-exact"))
+    docs = numbered(docs, "pipeline-exact-rows")
+    return without_rows(docs, exact_dedup.exact_groups(docs, id_col=ROW).where("NOT kept"), "pipeline-exact")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.jaccard_components(docs, k=5, num=8, den=10)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return without_ids(docs, materialise(gone, "pipeline-near"))
+    docs = numbered(docs, "pipeline-near-rows")
+    groups = ngram_join.jaccard_components(docs, k=5, num=8, den=10, id_col=ROW)
+    return without_rows(docs, groups.where("doc_id <> component_id"), "pipeline-near")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

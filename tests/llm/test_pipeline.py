@@ -1,10 +1,12 @@
 """Every stage against a plain version of its own input; and on empty input."""
 
+import random
+
 import public_tokenizers
 
 import corpus_pipeline as cp
 from tests.llm import brute
-from tests.llm.conftest import frame
+from tests.llm.conftest import frame, prose
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGE = dict(cp.STAGES)
@@ -48,6 +50,20 @@ def test_stages(spark, crafted):
     assert max(p.offset + p.length for p in pieces) <= 4096
 
 
+def test_copies_go_by_row(spark):
+    """Repeated rows, copies without an id, and ids with two texts: one row of each text stays, and stays whole."""
+    rng = random.Random(8)
+    a, b, c, d, e, f, g = (prose(rng, 80) for _ in range(7))
+    rows = [(1, a), (1, a), (None, b), (2, b), (None, b), (3, c), (4, c), (4, d), (None, e), (None, e),
+            (5, f), (6, f + " more"), (None, f + " again"), (6, g)]
+    docs = frame(spark, [(i, t, "en", "a") for i, t in rows]).select(*COLUMNS)
+    for name in ("exact", "near", "repeats"):
+        docs = STAGE[name](spark, docs, "")
+        assert docs.columns == COLUMNS
+    left = {(r.doc_id, r.text) for r in docs.collect()}
+    assert docs.count() == 7 and left == {(1, a), (2, b), (3, c), (4, d), (None, e), (5, f), (6, g)}
+
+
 def test_empty(spark):
     docs = frame(spark, []).select(*COLUMNS)
     for _, stage in cp.STAGES:
