@@ -1,6 +1,8 @@
 """Every stage against a plain version of its own input; and on empty input."""
 
+import base64
 import random
+import string
 
 import public_tokenizers
 
@@ -64,6 +66,27 @@ def test_copies_go_by_row(spark):
     assert docs.count() == 7 and left == {(1, a), (2, b), (3, c), (4, d), (None, e), (5, f), (6, g)}
 
 
+def test_noise_goes_and_short_prose_stays(spark, root):
+    rng = random.Random(6)
+    learn = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    noise, prose_ = [], []
+    for n in (80, 100, 200, 1000, 20_000):
+        for _ in range(4):
+            noise += ["".join(rng.choices(string.ascii_lowercase, k=n)), rng.randbytes(n).hex()[:n],
+                      base64.b64encode(rng.randbytes(n)).decode()[:n]]
+    noise += ["".join(rng.choices(string.ascii_lowercase + " " * 5, k=n)) for n in (200, 1000, 20_000)]
+    for lang in ("de", "en", "es", "fr"):
+        for r in [r for r in learn if r.lang == lang and len(r.text) > 400][:10]:
+            prose_ += [r.text[100: 100 + n] for n in (20, 40, 80, 199, 200)]
+    prose_ = [t for t in prose_ if not any(c.isdigit() for c in t)]
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in learn]
+    rows += [(10**6 + i, t, None, "noise") for i, t in enumerate(noise)]
+    rows += [(2 * 10**6 + i, t, None, "prose") for i, t in enumerate(prose_)]
+    kept = set(_rows(STAGE["language"](spark, frame(spark, rows).select(*COLUMNS), "")))
+    assert len(prose_) > 150 and {2 * 10**6 + i for i in range(len(prose_))} <= kept
+    assert not [t[:60] for i, t in enumerate(noise) if 10**6 + i in kept]
+
+
 def test_empty(spark):
     docs = frame(spark, []).select(*COLUMNS)
     for _, stage in cp.STAGES:
