@@ -90,7 +90,7 @@ def _training_drivers() -> dict[str, Column]:
     }
 
 
-def train(features: DataFrame, max_iter: int = 25, tol: float = 2e-4) -> PooledModel:
+def train(features: DataFrame, max_iter: int = 200, tol: float = 2e-4) -> PooledModel:
     known = training_rows(features)
     if "proc_mix_share_lag1" not in features.columns:
         known = known.withColumn("proc_mix_share_lag1", F.col("proc_mix_share"))
@@ -128,7 +128,8 @@ def _fit_quantiles(rows: DataFrame, levels: Sequence[float], max_iter: int, tol:
     """Coefficients per level, all levels advanced by the same pass over the data.
 
     The start is least squares with its intercept (the first input) moved to the quantiles of the
-    residuals, which leaves the passes only the slopes to adjust.
+    residuals, which leaves the passes only the slopes to adjust. Raises ``ArithmeticError`` if the loss has not
+    settled after ``max_iter`` passes.
     """
     centre = _least_squares(rows)
     p = len(centre)
@@ -154,10 +155,10 @@ def _fit_quantiles(rows: DataFrame, levels: Sequence[float], max_iter: int, tol:
         blocks = summed(rows, fold).reshape(len(levels), -1)
         loss = float(blocks[:, -1].sum())
         if previous is not None and abs(previous - loss) <= tol * previous:
-            break
+            return betas
         previous = loss
         betas = [solve_scaled(b[: p * p].reshape(p, p), b[p * p: p * p + p]) for b in blocks]
-    return betas
+    raise ArithmeticError(f"no convergence after {max_iter} passes")
 
 
 def series_state(features: DataFrame) -> DataFrame:

@@ -54,6 +54,14 @@ def test_pooled_model_recovers_quantiles(spark):
         assert np.mean(y <= b[0]) == pytest.approx(q, abs=0.01)
 
 
+def test_unsettled_quantile_fit_raises(spark):
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([([1.0, float(v)], float(v * e), 1.0) for v, e in rng.exponential(size=(500, 2))],
+                                 "x array<double>, y double, weight double")
+    with pytest.raises(ArithmeticError, match="no convergence"):
+        pooled._fit_quantiles(rows, [0.1, 0.9], 2, 1e-9)
+
+
 def test_ar_features_of_short_and_long_histories(spark):
     df = spark.createDataFrame([(1, [5.0]), (2, [float(i) for i in range(1, 15)])], "id int, h array<double>")
     ar = pooled.ar_features(F.col("h"))
