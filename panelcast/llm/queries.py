@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import (
-    bpe, chat, embedding_join, exact_dedup, langid, license_scan, ngram_join, packing, sharding, suffix_dedup,
+    bpe, chat, embedding_join, exact_dedup, langid, license_scan, ngram_join, packing, periodic_runs, secret_scan,
+    sharding, suffix_dedup,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -104,3 +105,47 @@ def op9_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op10_ngram_join(spark: SparkSession, root: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, root), k=3, num=90, den=100)
+
+
+@query
+def op11_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root)
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    found = docs.select("doc_id", secret_scan.scan(F.col("text"), model).alias("f"))
+    n = lambda kind: F.size(F.filter("f.base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+                        F.sha2(secret_scan.shown(F.col("f.base")), 256).alias("base_sha256"),
+                        secret_scan.shown(secret_scan.all_spans(F.col("f"))).alias("spans"))
+
+
+def with_period(doc_id: Column, text: Column) -> Column:
+    """The texts that op13 reads: of ids whose checksum ends in 0, the words from `a` on repeat their first `p`."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, place(i))), " ")
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    bound = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))
+    return F.when(h % 10 == 0, F.coalesce(F.element_at(bound, 1), text)).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root).select("doc_id", with_period(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(docs, carry=["doc_id"])
+    order = F.transform("runs", lambda s: F.struct((-s["length"]).alias("short"), s["start"].alias("start"),
+                                                     s["period"].alias("period")))
+    rows = found.select("row.doc_id", "runs", "collapsed", F.array_min(order).alias("best"))
+    lines = F.transform("runs", lambda s: F.concat(F.concat_ws(",", s["start"], s["length"], s["period"]), F.lit("\n")))
+    length = -F.col("best.short")
+    return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+                       length.alias("length"), F.col("best.period").alias("period"),
+                       F.floor(1000 * length / F.col("best.period")).alias("exponent_milli"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -136,3 +136,63 @@ def jaccard(docs, k, num, den):
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def runs(words):
+    """(start, length, period) of every run, by trying each period."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(6, 4 * q):
+                w = words[i: j + q]
+                if not any(w[p:] == w[:-p] for p in range(1, q)):
+                    out.append((i, len(w), q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words):
+    gone = {i for s, length, q in runs(words) for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+SECRET_BASE = (("assign", re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                                     re.A), 6), ("access", re.compile("(AKIA[A-Z0-9]+)"), 20), ("hex", re.compile("([0-9a-f]+)"), 24))
+
+
+def secrets(text):
+    """Base spans as (kind, start, end) by start, then kind."""
+    found = [(m.start(), k, kind, m.end()) for k, (kind, p, least) in enumerate(SECRET_BASE)
+             for m in p.finditer(text or "") if len(m[1]) >= least]
+    return [(kind, s, e) for s, _, kind, e in sorted(found)]
+
+
+def collocations(rows, least=100, longest=5, top=2000):
+    """rows (text, lang) -> (lang, rank, phrase, a, l, r, n, score)."""
+    f, n = defaultdict(int), defaultdict(int)
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lower(text or "")):
+            w = tuple(re.findall(r"[^\x20\x09]+", piece))
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    f[lang, w[i: i + k]] += 1
+    big = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    inner = defaultdict(int)
+    for (lang, p), a in big.items():
+        for k in range(2, len(p)):
+            for i in range(len(p) - k + 1):
+                inner[lang, p[i: i + k]] = max(inner[lang, p[i: i + k]], a)
+    out = defaultdict(list)
+    for (lang, p), a in big.items():
+        if 100 * inner[lang, p] < 100 * a:
+            score, _, l, r = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]])
+                                 for k in range(1, len(p)))
+            out[lang].append((-score, -a, " ".join(p).encode(), l, r))
+    return [(lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for lang, x in out.items()
+            for i, (s, a, p, l, r) in enumerate(sorted(x)[:top])]
