@@ -152,7 +152,30 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q A
 FROM t LEFT JOIN per USING (row) LEFT JOIN kept USING (row)"""
 
 
+PHRASES = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')),
+               '[^\\x20\\x09]+') AS w FROM documents),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+f AS (SELECT lang, p, count(*)::HUGEINT AS f FROM (SELECT lang, w[i : i + k - 1] AS p FROM (
+          SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) r(k))) GROUP BY ALL
+      HAVING count(*) >= 100),
+big AS (SELECT * FROM f WHERE len(p) > 1),
+held AS (SELECT lang, p[i : i + k - 1] AS p, max(f) AS held FROM (
+             SELECT lang, p, f, k, unnest(range(1, len(p) - k + 2)) AS i FROM big, range(2, 5) r(k) WHERE k < len(p)) GROUP BY ALL),
+cand AS (SELECT b.* FROM big b LEFT JOIN held h ON h.lang = b.lang AND h.p = b.p WHERE h.held IS NULL OR 100 * h.held < 100 * b.f),
+cut AS (SELECT c.lang, c.p, c.f AS a, n, k, x.f AS l, y.f AS r, 1000 * c.f * n // (x.f * y.f) AS score
+        FROM (SELECT *, unnest(range(1, len(p))) AS k FROM cand) c JOIN total USING (lang)
+        JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1 :]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase,
+                  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM best)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_exact_dedup": EXACT, "op3_embedding_join": VECTORS, "op6_chat_format": CHATS,
             "op9_suffix_dedup": REPEATS, "op10_ngram_join": JACCARD,
-            "op11_secret_scan": SECRETS, "op13_periodic_runs": RUNS}
+            "op11_secret_scan": SECRETS, "op12_phrase_mining": PHRASES, "op13_periodic_runs": RUNS}

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import (
-    bpe, chat, embedding_join, exact_dedup, langid, license_scan, ngram_join, packing, periodic_runs, secret_scan,
-    sharding, suffix_dedup,
+    bpe, chat, collocations, embedding_join, exact_dedup, langid, license_scan, ngram_join, packing, periodic_runs,
+    secret_scan, sharding, suffix_dedup,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -118,6 +118,11 @@ def op11_secret_scan(spark: SparkSession, root: str) -> DataFrame:
                         secret_scan.shown(secret_scan.all_spans(F.col("f"))).alias("spans"))
 
 
+@query
+def op12_phrase_mining(spark: SparkSession, root: str) -> DataFrame:
+    return collocations.collocations(documents(spark, root), least=100, longest=5, top=2000, absorb=(100, 100))
+
+
 def with_period(doc_id: Column, text: Column) -> Column:
     """The texts that op13 reads: of ids whose checksum ends in 0, the words from `a` on repeat their first `p`."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
