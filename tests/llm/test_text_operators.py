@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,14 +59,18 @@ def test_bpe_round_trip(docs, crafted, empty):
 
 def test_bpe_any_text():
     rng = random.Random(1)
-    alphabet = "aeinrst 'sSdDłß\n\t0½²日Σςİé́ͅ ​\x00\x1c\x85!?#$<|endoftext|>\U0001f600"
+    alphabet = "aeinrst 'sSdDłßƁȺvelm\n\t0½²日Σςİé́ͅ ​\x00\x1c\x85!?#$<|endoftext|>\U0001f600"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(1500)]
     texts += ["the" * 3000, "zqzqzq" * 2000, "x" * 5000, "<|endoftext|>" * 3, "'s't're" * 5]
     c = bpe.Codec(PATH)
     for text, (ids, back) in zip(texts, brute.bpe(texts, PATH)):
-        got = np.frombuffer(c.encode(text), "<u4")
-        assert got.tolist() == ids, text
-        assert c.decode(got) == back
+        got = c.encode(text)
+        assert got == ids, text
+        assert c.decode(np.array(got, int)) == back
+    together, counts = c.encode_all(pa.array([None, *texts, ""]))
+    want = brute.bpe(texts, PATH)
+    assert counts.tolist() == [0, *(len(i) for i, _ in want), 0]
+    assert together.tolist() == [i for ids, _ in want for i in ids]
 
 
 def test_forced_boundaries_cut():
