@@ -34,7 +34,7 @@ from panelcast.sources.storage import materialise, scratch_path
 UNKNOWN = "und"
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a task's open blocks; they are closed together.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 1_500_000
 #: Bits of a group's identifier: task, block of the task, group of the block.
 TASK_BITS, BLOCK_BITS, CODE_BITS = 22, 14, 27
 #: Bytes of text worked on at once, and rows of a batch of counts.
