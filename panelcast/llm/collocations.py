@@ -7,9 +7,10 @@ two words of a piece is 1, and larger from one piece to the next, so that words
 
 For k = 1, 2, ...: merge-join R(k) with itself by adjacent position (two overlapping phrases of k words make one of k + 1),
 group and count in the block, sum the groups over blocks, keep those that occur often enough, and semi-join the
-occurrences with them, which gives R(k + 1). A block's rows never meet another block's; what Spark shuffles to sum up is one
-narrow row per group and block, so a phrase that is everywhere costs one row per block. Groups have exact identifiers: the
-place of their first row, not a hash. Counts are over all documents.
+occurrences with them, which gives R(k + 1). A block's rows never meet another block's; what Spark shuffles to sum up is the
+groups of each block with their counts, dealt by a hash of the group into parts of bounded size, so a phrase that is
+everywhere costs one entry per block. Groups are known by the numbers of the two groups they are made of, counted from 0
+over all frequent ones, so equality is exact. Counts are over all documents.
 
 Null texts count as empty, a null language is `UNKNOWN`. Rows that repeat all count. Document ids and other columns are not
 read. A text of any length stays in one block, whose row grows with it. An empty table gives an empty result.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelcast.llm.hashing import chunks, text_bytes
+from panelcast.llm.hashing import GOLDEN, chunks, mix, text_bytes
 from panelcast.llm.wordarrays import byte_class, lowered, word_spans, word_strings
 from panelcast.sources.storage import materialise, scratch_path
 
@@ -35,17 +37,19 @@ UNKNOWN = "und"
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a task's open blocks; they are closed together.
 BLOCK_WORDS = 1_500_000
-#: Bits of a group's identifier: task, block of the task, group of the block.
+#: Bits of a word's place: task, block of the task, word of the block.
 TASK_BITS, BLOCK_BITS, CODE_BITS = 22, 14, 27
-#: Bytes of text worked on at once, and rows of a batch of counts.
-TEXT_BYTES, COUNT_ROWS = 1 << 20, 100_000
+#: Bytes of text worked on at once.
+TEXT_BYTES = 1 << 20
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD = byte_class(b" \t" + PIECE_ENDS)
 
 FIRST = "block long, lang string, steps array<int>, codes array<int>, words array<string>, counts array<int>"
 RELATION = "block long, steps array<int>, codes array<int>, ids array<long>"
-GROUPS = "block long, code int, a long, b long, n long"
+#: Entries of one part, about, when groups are summed.
+PART_ENTRIES = 4_000_000
+FREQUENT = "block long, code int, part long, place long, first boolean, a long, b long, f long"
 
 
 def _numbers(column, row: int) -> np.ndarray:
@@ -125,18 +129,49 @@ def _neighbours(steps, codes, n_groups):
     return at[place], number, groups // max(n_groups, 1), groups % max(n_groups, 1), count
 
 
-def _count(batches):
-    """Groups of one word more, counted per block."""
-    for b in batches:
-        for row in range(len(b)):
-            block, ids = b.column(0)[row].as_py(), _numbers(b.column(3), row)
-            _, _, one, two, count = _neighbours(_numbers(b.column(1), row), _numbers(b.column(2), row), len(ids))
-            for k in range(0, len(count), COUNT_ROWS):
-                s = slice(k, k + COUNT_ROWS)
-                n = len(count[s])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.arange(k, k + n, dtype=np.int32)), pa.array(ids[one[s]]),
-                     pa.array(ids[two[s]]), pa.array(count[s].astype(np.int64))], ["block", "code", "a", "b", "n"])
+def _count(parts: int, kind: pa.DataType):
+    """Groups of one word more, counted per block, a row per part."""
+    def run(batches):
+        for b in batches:
+            for row in range(len(b)):
+                block, ids = b.column(0)[row].as_py(), _numbers(b.column(3), row)
+                _, _, one, two, count = _neighbours(_numbers(b.column(1), row), _numbers(b.column(2), row), len(ids))
+                first, second = ids[one], ids[two]
+                part = (mix(first.astype(np.uint64) * GOLDEN + mix(second.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                used, start = np.unique(part[order], return_index=True)
+                ends = pa.array(np.append(start, len(order)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(v[order], k)) for v, k in (
+                    (first, kind), (second, kind), (np.arange(len(count)), pa.int32()), (count, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(np.full(len(used), block)), *lists],
+                                                 ["part", "block", "a", "b", "code", "n"])
+    return run
+
+
+def _sum(least: int):
+    """Groups of one part that occur often enough, a row per block that holds them."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        part = table.column("part")[0].as_py()
+        lists = {c: table.column(c).combine_chunks() for c in ("a", "b", "code", "n")}
+        a, b, code, n = (lists[c].flatten().to_numpy(zero_copy_only=False) for c in ("a", "b", "code", "n"))
+        block = np.repeat(table.column("block").to_numpy(), np.diff(lists["a"].offsets.to_numpy()))
+        order = np.lexsort((block, b, a))
+        a, b = a[order], b[order]
+        fresh = np.ones(len(a), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        start = np.flatnonzero(fresh)
+        total = np.add.reduceat(n[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+        often = total >= least
+        place = np.cumsum(often) - 1  # of the group among those that stay
+        group = np.cumsum(fresh) - 1
+        stays = often[group]
+        group = group[stays]
+        return pa.table({
+            "block": block[order][stays], "code": code[order][stays], "part": np.full(len(group), part, np.int64),
+            "place": place[group].astype(np.int64), "first": fresh[stays], "a": a[stays].astype(np.int64),
+            "b": b[stays].astype(np.int64), "f": total[group]})
+    return run
 
 
 def _kept(position, code, keep, ids, block):
@@ -174,15 +209,33 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """Rows (block, code, *keys, f, id) of groups with f >= `least`; `id` is the smallest place of the group.
+def _numbered(frequent: DataFrame) -> tuple[DataFrame, int]:
+    """`frequent`, a written table, with `id`, groups numbered from 0 through all parts, and the number of groups.
+
+    The driver sees one count per part.
+    """
+    spark = frequent.sparkSession
+    counts = frequent.where("first").groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    starts = list(accumulate((r.n for r in counts), initial=0))
+    before = spark.createDataFrame([(r.part, at) for r, at in zip(counts, starts)], "part long, before long")
+    return frequent.join(before, "part").withColumn("id", F.col("before") + F.col("place")).drop("before"), starts[-1]
+
+
+def _frequent_words(words: DataFrame, least: int) -> DataFrame:
+    """(block, code, lang, phrase, f, part, place, first) of the words that occur often enough.
 
-    A group has one row per block at most, and the window needs no more than its sums.
+    A word has one row per block at most, and the window needs no more than its sums.
     """
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy("lang", "phrase")
     spot = F.col("block").bitwiseOR(F.col("code").cast("long"))
-    rows = counted.withColumn("spot", spot).withColumn("f", F.sum("n").over(group)).withColumn("id", F.min("spot").over(group))
-    return materialise(rows.where(F.col("f") >= least).drop("n"), name)
+    rows = (words.withColumn("spot", spot).withColumn("f", F.sum("n").over(group)).withColumn("at", F.min("spot").over(group))
+            .where(F.col("f") >= least).drop("n"))
+    rows = materialise(rows, "phrases-spots")
+    # A row number that does not change once it is written: the task, and the row of the task.
+    one = materialise(rows.where("at = spot").select("at", F.monotonically_increasing_id().alias("m")), "phrases-numbers")
+    return materialise(rows.join(one, "at").select(
+        "block", "code", "lang", "phrase", "f", F.shiftright("m", 33).alias("part"),
+        F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"), (F.col("at") == F.col("spot")).alias("first")), "phrases-1")
 
 
 def _lists(frequent: DataFrame) -> DataFrame:
@@ -198,18 +251,25 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
         "block", "lang", "code", F.col("w.words").alias("phrase"), F.col("w.counts").cast("long").alias("n"))
     totals = materialise(first.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
                          .groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    frequent = _frequent(words, ["lang", "phrase"], least, "phrases-1")
-    groups = frequent.where("id = spot").select("id", "lang", "phrase", F.col("phrase").alias("last"),
-                                                F.array("phrase").alias("words"), "f")
+    n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_words // PART_ENTRIES)
+    frequent, n_groups = _numbered(_frequent_words(words, least))
+    groups = frequent.where("first").select("id", "lang", "phrase", F.col("phrase").alias("last"),
+                                            F.array("phrase").alias("words"), "f")
     found = [groups]
     source = first.select("block", "steps", "codes", F.array().cast("array<long>").alias("ids"))
     for k in range(1, longest):
         joined = source.join(_lists(frequent), "block")
         relation = _written(joined.mapInArrow(_semi_join(k > 1), RELATION), f"phrases-relation-{k}")
-        frequent = _frequent(relation.mapInArrow(_count, GROUPS), ["a", "b"], least, f"phrases-{k + 1}")
+        kind = "int" if n_groups < 1 << 31 else "bigint"
+        counted = relation.mapInArrow(
+            _count(parts, pa.int32() if kind == "int" else pa.int64()),
+            f"part long, block long, a array<{kind}>, b array<{kind}>, code array<int>, n array<int>")
+        frequent = materialise(counted.groupBy("part").applyInArrow(_sum(least), FREQUENT), f"phrases-{k + 1}")
+        frequent, n_groups = _numbered(frequent)
         before, after = groups.select(F.col("id").alias("a"), "lang", "phrase", "words"), groups.select(
             F.col("id").alias("b"), "last")
-        groups = (frequent.where("id = spot").select("id", "a", "b", "f").join(before, "a").join(after, "b")
+        groups = (frequent.where("first").select("id", "a", "b", "f").join(before, "a").join(after, "b")
                   .select("id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last",
                           F.concat("words", F.array("last")).alias("words"), "f"))
         groups = materialise(groups, f"phrases-groups-{k + 1}")
