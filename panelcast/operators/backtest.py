@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.metrics import evaluate, temporal_split
-from panelcast.operators import pooled, pooled_trees, seasonal, window_ar
+from panelcast.operators import naive, pooled, quantile_trees, seasonal, window_ar
 from panelcast.operators.features_monthly import SERIES, TARGET
 
-ALL_MODELS = ("pooled", "seasonal", "window")
-# "trees" may be added to the list; boosting takes many more passes over the data.
+ALL_MODELS = ("naive", "pooled", "trees", "seasonal", "window")
 
 
 def score(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], model: str, grain: str) -> DataFrame:
@@ -23,15 +22,18 @@ def score(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], model: st
 
 
 def backtest(features: DataFrame, horizon: int, models: Sequence[str] = ALL_MODELS) -> DataFrame:
-    """One row of metrics per model. Pooled and window models are scored at trust x code, the
+    """One row of metrics per model. Naive (the month a year before), pooled, tree and window models are scored at trust x code, the
     seasonal one at national x code, as their forecasts are made there."""
     train, test = temporal_split(features, "date", horizon)
     rows = []
+    if "naive" in models:
+        fc = naive.seasonal_naive_forecast(train.select(*SERIES, "date", TARGET), SERIES, TARGET, horizon)
+        rows.append(score(fc, test, SERIES, "naive", "trust"))
     if "pooled" in models:
         fc = pooled.recursive_forecast(train, pooled.train(train), horizon)
         rows.append(score(fc, test, SERIES, "pooled", "trust"))
     if "trees" in models:
-        fc = pooled_trees.recursive_forecast(train, pooled_trees.train(train, horizon), horizon)
+        fc = quantile_trees.recursive_forecast(train, quantile_trees.train(train), horizon)
         rows.append(score(fc, test, SERIES, "trees", "trust"))
     if "seasonal" in models:
         code = ["procedure_code"]

@@ -622,6 +622,21 @@ def oracle_sql() -> dict[str, str]:
                    wl_pct_18wk, pop_65plus_share
             FROM (SELECT *, row_number() OVER (PARTITION BY trust_code, procedure_code ORDER BY date DESC) AS back FROM feature_table)
             WHERE back = 1""", "proc_mix_share wl_pct_18wk pop_65plus_share"),
+        "d11_given_forest": _sql("""
+            SELECT trust_code, region, procedure_code, CAST(last + to_months(step) AS DATE) AS date, h[len(h)] AS yhat,
+                   b[1] AS yhat_lower, b[3] AS yhat_upper
+            FROM (WITH RECURSIVE walk AS (
+                SELECT trust_code, arg_max(region, date) AS region, procedure_code, date_trunc('month', max(date)) AS last,
+                       list(CAST(n_procedures AS DOUBLE) ORDER BY date) AS h, [0.0::DOUBLE] AS b, 0 AS step
+                FROM procedures GROUP BY trust_code, procedure_code
+                UNION ALL
+                SELECT trust_code, region, procedure_code, last, list_append(h, b[2]), b, step
+                FROM (SELECT * REPLACE (list_sort(list_transform([0.5, 1.0, 1.5], lambda s: greatest(0.0, level * (s
+                                 + CASE WHEN h[len(h)] / level <= 1 THEN -0.125 ELSE 0.125 END
+                                 + CASE WHEN month(last + to_months(step)) <= 6 THEN 0.0625 ELSE -0.0625 END)))) AS b)
+                      FROM (SELECT trust_code, region, procedure_code, last, h, b, step + 1 AS step,
+                                   greatest(list_avg(h[greatest(len(h) - 11, 1) :]), 1.0) AS level FROM walk WHERE step < 12)))
+              SELECT * FROM walk WHERE step > 0)""", BAND, 3),
         "d12_monotone_band": _sql("""
             SELECT date, trust_code, procedure_code, least(a, b, c) AS yhat_lower, a + b + c - least(a, b, c) - greatest(a, b, c) AS yhat,
                    greatest(a, b, c) AS yhat_upper

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions import metrics
 from panelcast.functions.panel import rounded, series_window
 from panelcast.operators import (
-    backtest, demand, features_monthly as fm, hierarchy, naive, pooled, pooled_trees, scenarios,
+    backtest, demand, features_monthly as fm, hierarchy, naive, pooled, pooled_trees, quantile_trees, scenarios,
     seasonal, window_ar,
 )
+from panelcast.operators.boosting import Forest, forest_of
 from panelcast.plans.registry import query
 from panelcast.sources import adapters
 from panelcast.sources.storage import materialise
@@ -192,6 +194,35 @@ def d8_pooled_trees(spark: SparkSession, root: str) -> DataFrame:
     return pooled_trees.recursive_forecast(train, pooled_trees.train(train, HORIZON), HORIZON)
 
 
+@query
+def d8_quantile_trees(spark: SparkSession, root: str) -> DataFrame:
+    """Boosted quantile forests (10, 50, 90 %) fitted before the cutoff, and their forecast of the holdout months."""
+    train, _ = metrics.temporal_split(materialise(feature_table(spark, root), "features"), "date", HORIZON)
+    return quantile_trees.forecast(train, HORIZON)
+
+
+def given_forest() -> Forest:
+    """Two trees for each quantile: last value above the level or not (missing: not), and first or second half-year."""
+    at = {c: i for i, c in enumerate(quantile_trees.INPUTS)}
+    edges = [np.array({"lag1": [1.0], "month": [6.0]}.get(c, [])) for c in quantile_trees.INPUTS]
+    rows = []
+    for q in range(3):
+        for tree, (name, low, high) in enumerate((("lag1", -0.125, 0.125), ("month", 0.0625, -0.0625))):
+            inner = dict(input=at[name], cut=0, missing_left=True, left=1, right=2, value=0.0)
+            leaf = dict(input=-1, cut=0, missing_left=False, left=0, right=0)
+            rows += [dict(quantile=q, tree=tree, node=n, **v) for n, v in enumerate((inner, leaf | {"value": low}, leaf | {"value": high}))]
+    return forest_of(rows, tuple(pooled.QUANTILES.values()), edges, (0.5, 1.0, 1.5), 1.0)
+
+
+@query
+def d11_given_forest(spark: SparkSession, root: str) -> DataFrame:
+    """Recursive forecast of all series by a given forest of two trees."""
+    features = materialise(feature_table(spark, root), "features")
+    none = spark.createDataFrame([], "kind string, name string, code double")
+    model = quantile_trees.TreeForecaster(given_forest(), none, 1990)
+    return rounded(quantile_trees.recursive_forecast(features, model, HORIZON), 3)
+
+
 @query
 def d9_ar_state(spark: SparkSession, root: str) -> DataFrame:
     base = adapters.procedures(spark, root)
