@@ -106,6 +106,71 @@ def test_seasonal_series(spark):
     assert width[-1] > width[0] > 0
 
 
+def _seasonal_process(rng, n, phi=0.5, theta=0.4, big=0.3):
+    """A (1,1,1)(1,1,0,12) path of n months after a run-in."""
+    m = n + 200
+    e = rng.normal(0, 1, m)
+    w = np.zeros(m)
+    for t in range(13, m):
+        w[t] = phi * w[t - 1] + big * (w[t - 12] - phi * w[t - 13]) + e[t] + theta * e[t - 1]
+    w = w[-n:]
+    d = np.zeros(n)
+    for t in range(n):
+        d[t] = w[t] + (d[t - 12] if t >= 12 else rng.normal())
+    return 500 + np.cumsum(d)
+
+
+def test_filter_equals_the_dense_likelihood():
+    """The filter's likelihood is that of the joint normal distribution of a short series."""
+    beta = np.array([[0.5, 0.4, 0.3]])
+    psi = np.zeros(600)
+    ar = seasonal._autoregression(beta)[0]
+    for j in range(600):
+        psi[j] = (j == 0) + 0.4 * (j == 1) + sum(ar[i] * psi[j - i - 1] for i in range(min(j, 13)))
+    n = 30
+    cov = np.array([[psi[: 600 - abs(a - b)] @ psi[abs(a - b):] for a in range(n)] for b in range(n)])
+    w = np.random.default_rng(2).normal(size=n)
+    got, variance, _ = seasonal.kalman(beta, w[None, :])
+    s2 = w @ np.linalg.solve(cov, w) / n
+    assert variance[0] == pytest.approx(s2, rel=1e-6)
+    assert got[0] == pytest.approx(-0.5 * (n * np.log(s2) + np.linalg.slogdet(cov)[1] + n), rel=1e-6)
+
+
+def test_likelihood_fit():
+    """Never below the start, near the truth, and alike for series of other lengths in the batch."""
+    rng = np.random.default_rng(7)
+    series = [_seasonal_process(rng, 240) for _ in range(20)]
+    fits = seasonal.fit_batch([*series, series[0][:100]])
+    for y, f in zip(series, fits):
+        d = np.diff(y)
+        w = d[12:] - d[:-12]
+        assert f["likelihood"] >= seasonal.kalman(seasonal.start_values(w)[0][None, :], w[None, :])[0][0] - 1e-9
+    assert np.mean([f["beta"] for f in fits[:20]], axis=0) == pytest.approx([0.5, 0.4, 0.3], abs=0.12)
+    alone = seasonal.fit_batch([series[0][:100]])[0]
+    assert alone["beta"] == pytest.approx(fits[20]["beta"]) and alone["likelihood"] == pytest.approx(fits[20]["likelihood"])
+
+
+def test_likelihood_bands_cover():
+    rng = np.random.default_rng(11)
+    series = [_seasonal_process(rng, 132) for _ in range(150)]
+    inside = []
+    for y, f in zip(series, seasonal.fit_batch([y[:120] for y in series])):
+        _, low, high = seasonal.extrapolate(y[:120], f["beta"], f["variance"], f["last"], 12, 1.2815515655446004)
+        inside.append(((low <= y[120:]) & (y[120:] <= high)).mean())
+    assert 0.75 <= np.mean(inside) <= 0.85
+
+
+def test_bounded_start_is_flagged(spark):
+    months = pd.date_range("2015-01-01", periods=60, freq="MS")
+    rng = np.random.default_rng(1)
+    rows = [("A", d.date(), float(v)) for d, v in zip(months, _seasonal_process(rng, 60))]
+    rows += [("B", d.date(), float(i % 12)) for i, d in enumerate(months)]  # no noise at all
+    out = seasonal.forecast(spark.createDataFrame(rows, "procedure_code string, date date, n_procedures double"), 3, flags=True)
+    found = {r.procedure_code: r for r in out.collect()}
+    assert found["A"].bounded is False and found["A"].error is None
+    assert found["B"].error is not None or found["B"].yhat is not None
+
+
 def test_windows_and_standardise(spark, panel):
     short = panel.where("date < '2019-06-01'")
     assert window_ar.standardise(short, SERIES, "n_procedures").count() == 0
