@@ -89,6 +89,31 @@ def phrases(text):
             ",".join(sorted({x for _, x in hits})))
 
 
+def notices(text, templates, slack=4, stretch=1.5, cover=0.6):
+    """Labels of the notices of which some bundle of diagonals holds a long enough increasing chain in a bounded span."""
+    words, found = WORD.findall(lower(text or "")), set()
+    for template, label in templates.items():
+        t = WORD.findall(template)
+        pairs = len(t) - 1
+        limit = -(-(pairs + 1) * stretch // 1) + slack
+        hits = [(i, k) for i in range(len(words) - 1) for k in range(pairs) if words[i: i + 2] == t[k: k + 2]]
+        bundles, last = [], None
+        for d in sorted({i - k for i, k in hits}):
+            if last is None or d - last > slack:
+                bundles.append([])
+            bundles[-1] += [h for h in hits if h[0] - h[1] == d]
+            last = d
+        for bundle in bundles:
+            for first in {i for i, _ in bundle}:
+                some = sorted(h for h in bundle if first <= h[0] and h[0] + 2 - first <= limit)
+                best = [1] * len(some)
+                for b, (i, k) in enumerate(some):
+                    best[b] += max((best[a] for a in range(b) if some[a][0] < i and some[a][1] < k), default=0)
+                if max(best) >= cover * pairs:
+                    found.add(label)
+    return found
+
+
 def repeats(texts, length=200):
     """texts: list of str -> per text (n_bytes, n_removed, n_spans, kept sha)."""
     data = [(t or "").encode() for t in texts]

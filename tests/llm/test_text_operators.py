@@ -95,6 +95,43 @@ def test_license_changed_notice(spark):
     assert {(r.start, r.end) for r in spans.collect()} == {(2, 19)}
 
 
+def test_license_spans_are_verified(spark):
+    """Reversed, scattered and repeated pairs are no notice; notices with changes are, as in a plain version."""
+    rng = random.Random(12)
+    notice, label = "permission to use copy modify and or distribute this software for any purpose", "isc"
+    w = notice.split()
+    pairs = [f"{a} {b}" for a, b in zip(w, w[1:])]
+    bad = [" x ".join(pairs[::-1]), " x y ".join(pairs[::-1]), "and or q q " * 500 + " x ".join(pairs[::-1]),
+           (" " + "q " * 40).join(pairs), "and or q q " * 500, " ".join(w[::-1])]
+    good = [notice, "and or q q " * 500 + notice, notice.replace("copy", "really copy"), notice + " z " + notice]
+    rows, _ = license_scan.scan(frame(spark, [(i, t, None, None) for i, t in enumerate(bad + good)]))
+    got = {r.doc_id: r.labels for r in rows.collect()}
+    assert [got[i] for i in range(len(bad))] == [""] * len(bad)
+    assert [got[len(bad) + i] for i in range(len(good))] == [label] * len(good)
+
+    texts = []
+    for _ in range(150):
+        t = rng.choice(list(license_scan.NOTICES)).split()
+        for _ in range(rng.randrange(0, 8)):
+            at = rng.randrange(len(t))
+            change = rng.randrange(4)
+            if change == 0:
+                t.insert(at, rng.choice(["q", "the", "and", "or", "license"]))
+            elif change == 1:
+                t.pop(at)
+            elif change == 2:
+                t[at:at + 3] = t[at:at + 3][::-1]
+            else:
+                t = t + ["q"] * rng.randrange(8) + t[at:at + 5]
+        texts.append(" ".join(t))
+    rows, spans = license_scan.scan(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]), phrases={})
+    got = {r.doc_id: r.labels for r in rows.collect()}
+    want = {i: ",".join(sorted(brute.notices(t, license_scan.NOTICES))) for i, t in enumerate(texts)}
+    assert got == want and 20 < sum(bool(v) for v in want.values()) < 150
+    longest = max(len(t.split()) for t in license_scan.NOTICES)
+    assert spans.where(F.col("end") - F.col("start") > longest * 1.5 + 5).count() == 0
+
+
 @pytest.mark.parametrize("k,num,den", [(3, 90, 100), (5, 8, 10)])
 def test_jaccard(docs, crafted, empty, k, num, den):
     got = {r.doc_id: (r.n_shingles, r.component_id)
