@@ -67,12 +67,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     plain = pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type)
-    texts = pc.fill_null(texts.cast(pa.large_string() if plain else pa.large_binary()), "" if plain else b"")
+    if texts.null_count:
+        texts = pc.fill_null(texts, "" if plain else b"")
     n = len(texts)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[texts.offset: texts.offset + n + 1]
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, offsets, data = texts.buffers()  # the bytes are not copied
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset: texts.offset + n + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 

@@ -35,7 +35,7 @@ LENGTH = 200
 #: Bytes of a gram; a window of 200 bytes holds 151 of them.
 GRAM = 50
 #: Texts that a task remembers having sent.
-SEEN = 500_000
+SEEN = 100_000
 
 #: Tables of keys are broadcast up to so many bytes; the rows they meet are narrow, so that a shuffle costs little.
 NARROW = 1 << 20
