@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.metrics import evaluate, temporal_split
-from panelcast.operators import naive, pooled, quantile_trees, seasonal, window_ar
+from panelcast.operators import naive, pooled, quantile_trees, seasonal, window_ar, window_net
 from panelcast.operators.features_monthly import SERIES, TARGET
 
-ALL_MODELS = ("naive", "pooled", "trees", "seasonal", "window")
+ALL_MODELS = ("naive", "pooled", "trees", "seasonal", "window", "network")
 
 
 def score(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], model: str, grain: str) -> DataFrame:
@@ -22,7 +22,7 @@ def score(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], model: st
 
 
 def backtest(features: DataFrame, horizon: int, models: Sequence[str] = ALL_MODELS) -> DataFrame:
-    """One row of metrics per model. Naive (the month a year before), pooled, tree and window models are scored at trust x code, the
+    """One row of metrics per model. Naive (the month a year before), pooled, tree, window and network models are scored at trust x code, the
     seasonal one at national x code, as their forecasts are made there."""
     train, test = temporal_split(features, "date", horizon)
     rows = []
@@ -42,4 +42,6 @@ def backtest(features: DataFrame, horizon: int, models: Sequence[str] = ALL_MODE
         rows.append(score(fc, national(test), code, "seasonal", "national"))
     if "window" in models:
         rows.append(score(window_ar.forecast(train, horizon, SERIES, TARGET), test, SERIES, "window", "trust"))
+    if "network" in models:
+        rows.append(score(window_net.forecast(train, horizon, SERIES, TARGET), test, SERIES, "network", "trust"))
     return reduce(DataFrame.unionByName, rows)

@@ -7,12 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.fixed_values import Z80_WINDOW
-from panelcast.functions.folds import dot, literals, tail
-
+from panelcast.functions.folds import bind, dot, literals, tail
 
 
 @dataclass(frozen=True)
@@ -20,6 +19,9 @@ class WindowModel:
     intercept: float
     weights: tuple[float, ...]
 
+    def next_value(self, window: Column) -> Column:
+        return dot(window, literals(self.weights)) + self.intercept
+
 
 def standardise(
     df: DataFrame, keys: Sequence[str], target: str, lookback: int = 12, date: str = "date"
@@ -44,17 +46,19 @@ def fit(z: DataFrame, keys: Sequence[str], lookback: int = 12) -> WindowModel:
     return WindowModel(float(model.intercept), tuple(float(w) for w in model.coefficients))
 
 
-def decode(z: DataFrame, model: WindowModel, keys: Sequence[str], horizon: int, lookback: int = 12) -> DataFrame:
-    """Recursive prediction as a fold inside each series' row, back on the original scale."""
+def decode(z: DataFrame, model, keys: Sequence[str], horizon: int, lookback: int = 12) -> DataFrame:
+    """Recursive prediction as a fold inside each series' row, back on the original scale.
+
+    `model` has `next_value`, a column of the next value from the column of a window.
+    """
     newest = Window.partitionBy(*keys).orderBy(F.desc("date"))
     recent = z.withColumn("back", F.row_number().over(newest)).where(F.col("back") <= lookback)
     state = recent.groupBy(*keys).agg(
         F.max("date").alias("last_date"), F.first("mu").alias("mu"), F.first("sd").alias("sd"),
         F.transform(F.array_sort(F.collect_list(F.struct("date", "z"))), lambda s: s["z"]).alias("history"))
-    weights = literals(model.weights)
     walked = F.aggregate(
         F.sequence(F.lit(1), F.lit(horizon)), F.col("history"),
-        lambda acc, _: F.concat(acc, F.array(dot(tail(acc, lookback), weights) + model.intercept)))
+        lambda acc, _: F.concat(acc, F.array(bind(tail(acc, lookback), model.next_value))))
     steps = state.select(*keys, "last_date", "mu", "sd", F.posexplode(tail(walked, horizon)).alias("pos", "p"))
     yhat = F.greatest(F.col("p") * F.col("sd") + F.col("mu"), F.lit(0.0))
     half = F.col("sd") * Z80_WINDOW

@@ -10,7 +10,7 @@ from panelcast.functions import metrics
 from panelcast.functions.panel import rounded, series_window
 from panelcast.operators import (
     backtest, demand, features_monthly as fm, hierarchy, naive, pooled, pooled_trees, quantile_trees, scenarios,
-    seasonal, window_ar,
+    seasonal, window_ar, window_net,
 )
 from panelcast.operators.boosting import Forest, forest_of
 from panelcast.plans.registry import query
@@ -292,6 +292,12 @@ def d17_window_forecast(spark: SparkSession, root: str) -> DataFrame:
     return window_ar.forecast(facts(spark, root), HORIZON)
 
 
+@query
+def d17_network_forecast(spark: SparkSession, root: str) -> DataFrame:
+    """The same by a small network on the windows of all series."""
+    return window_net.forecast(facts(spark, root), HORIZON)
+
+
 @query
 def d18_backtest(spark: SparkSession, root: str) -> DataFrame:
     return backtest.backtest(materialise(feature_table(spark, root), "features"), HORIZON)
