@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from panelcast.fixed_values import CHAPTER_TO_FUNCTION, MONTHLY_LAGS, MONTHLY_WI
 from panelcast.functions.panel import (
     lag_columns, lookup, rolling_columns, scalar, series_window, with_group_total,
 )
+from panelcast.sources.storage import materialise
 
 TARGET = "n_procedures"
 SERIES = ("trust_code", "procedure_code")
@@ -131,14 +133,39 @@ def build_feature_table(
     return out
 
 
-def encode_categories(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Integer code per category in alphabetical order, from 0; unseen or NULL values get the last code."""
-    from pyspark.ml.feature import StringIndexer
+def category_codes(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """(kind, name, code): the distinct values of each column in order, numbered from 0; a written table.
 
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns],
-        stringOrderType="alphabetAsc", handleInvalid="keep")
-    return indexer.fit(df).transform(df)
+    Values are dealt to ordered partitions; a value's number is its place in its partition behind the sizes of the
+    partitions before. The driver sees one size per partition and no value.
+    """
+    spark = df.sparkSession
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("name")) for c in columns]))
+    values = df.select(pairs.alias("p")).select("p.*").where("name IS NOT NULL").distinct()
+    dealt = materialise(values.repartitionByRange("kind", "name").withColumn("part", F.spark_partition_id()), "category-values")
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    starts = accumulate((r.n for r in sizes), initial=0)
+    before = spark.createDataFrame([(r.part, at) for r, at in zip(sizes, starts)], "part int, before long")
+    place = F.row_number().over(Window.partitionBy("part").orderBy("kind", "name")) - 1
+    numbered = dealt.withColumn("place", place).join(before, "part").select(
+        "kind", "name", (F.col("before") + F.col("place")).alias("number"))
+    first = numbered.groupBy("kind").agg(F.min("number").alias("first"))
+    return materialise(numbered.join(first, "kind").select("kind", "name", (F.col("number") - F.col("first")).alias("code")),
+                       "category-codes")
+
+
+def encode_categories(df: DataFrame, columns: Sequence[str] = CATEGORICAL, codes: DataFrame | None = None) -> DataFrame:
+    """Code per category in order, from 0; a NULL value, or one that `codes` does not know, gets the last code.
+
+    `codes` is the result of ``category_codes`` for the data that a model was fitted on (default: `df` itself).
+    """
+    codes = category_codes(df, columns) if codes is None else codes
+    for c in columns:
+        one = codes.where(F.col("kind") == c).select(F.col("name").alias(f"__{c}"), F.col("code").alias("__code"))
+        unknown = scalar(codes, F.count(F.when(F.col("kind") == c, 1)))
+        df = df.join(one, F.col(c).cast("string") == F.col(f"__{c}"), "left").withColumn(
+            f"{c}_idx", F.coalesce("__code", unknown).cast("double")).drop(f"__{c}", "__code")
+    return df
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:

@@ -104,3 +104,18 @@ def test_feature_windows_share_one_sort(spark, panel):
     plan = fm.lags_and_rolls(panel)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(trust_code") == 1
     assert plan.count("Sort [trust_code") == 1
+
+
+def test_category_codes_are_dense_and_ordered(spark):
+    """Numbers run through all partitions; NULL and values of other data get the last code."""
+    names = [f"n{i:04d}" for i in range(500)]
+    rows = [(n, f"g{i % 3}") for i, n in enumerate(names)] * 2 + [(None, "g0")]
+    df = spark.createDataFrame(rows, "name string, grp string").repartition(5)
+    codes = fm.category_codes(df, ["name", "grp"])
+    found = {(r.kind, r.name): r.code for r in codes.collect()}
+    assert [found["name", n] for n in names] == list(range(500)) and [found["grp", f"g{i}"] for i in range(3)] == [0, 1, 2]
+    new = spark.createDataFrame([("n0007", "g2"), ("other", None)], "name string, grp string")
+    got = fm.encode_categories(new, ["name", "grp"], codes).collect()
+    assert {(r.name, r.name_idx, r.grp_idx) for r in got} == {("n0007", 7.0, 2.0), ("other", 500.0, 3.0)}
+    empty = fm.encode_categories(new.limit(0), ["name"])
+    assert empty.columns == ["name", "grp", "name_idx"] and empty.count() == 0
