@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelcast.fixed_values import CHAPTER_TO_FUNCTION, MONTHLY_LAGS, MONTHLY_WINDOWS, OLDER_BANDS
 from panelcast.functions.panel import (
-    lag_columns, lookup, rolling_columns, scalar, series_window, with_group_total,
+    densify_months, lag_columns, lookup, rolling_columns, scalar, series_window, with_group_total,
 )
 from panelcast.sources.storage import materialise
 
@@ -43,9 +43,17 @@ def calendar(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def lags_and_rolls(
-    df: DataFrame, keys: Sequence[str] = SERIES, target: str = TARGET, order: Sequence[str] = ("date",)
+    df: DataFrame, keys: Sequence[str] = SERIES, target: str = TARGET, order: Sequence[str] = ("date",),
+    densify: bool = False,
 ) -> DataFrame:
-    """All lags and trailing statistics over one window spec, hence one shuffle and one sort."""
+    """All lags and trailing statistics over one window spec, hence one shuffle and one sort.
+
+    Lags are positional. With `densify` they are months: every series first gets a row for each month between the overall
+    first and last one, with 0 for the target and NULL for the other columns where there was none.
+    """
+    if densify:
+        grid = densify_months(df, keys, target)
+        df = grid.join(df.drop(target), [*keys, "date"], "left").select(*df.columns)
     w = series_window(keys, order)
     return df.withColumns({
         **lag_columns(target, MONTHLY_LAGS, w), **rolling_columns(target, MONTHLY_WINDOWS, w)})

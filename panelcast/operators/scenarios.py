@@ -28,9 +28,16 @@ def latest_backlog(waiting: DataFrame) -> DataFrame:
 
 
 def backlog_clear(
-    forecast: DataFrame, waiting: DataFrame, clear_months: int = 12, clear_frac: float = 0.3
+    forecast: DataFrame, waiting: DataFrame, clear_months: int = 12, clear_frac: float = 0.3,
+    families: DataFrame | None = None,
 ) -> DataFrame:
-    """Work off a fraction of the newest backlog over the first months, spread by forecast share."""
+    """Work off a fraction of the newest backlog over the first months, spread by forecast share.
+
+    With `families` (procedure_code, treatment_function; one row per code) the backlog of a treatment function is spread over
+    the forecast of its own codes only; codes of no family stay as they are.
+    """
+    if families is not None:
+        return _cleared_by_family(forecast, waiting, clear_months, clear_frac, families)
     backlog = scalar(latest_backlog(waiting), F.coalesce(F.sum("waiting_list_size").cast("double"), F.lit(0.0)))
     extra = backlog * clear_frac / max(clear_months, 1)
     # The first distinct dates come from a top-k, not from a ranking window over all rows.
@@ -44,6 +51,19 @@ def backlog_clear(
         "scenario", F.lit("backlog_clear"))
 
 
+def _cleared_by_family(forecast, waiting, clear_months, clear_frac, families) -> DataFrame:
+    extra = latest_backlog(waiting).groupBy("treatment_function").agg(
+        (F.sum("waiting_list_size").cast("double") * clear_frac / max(clear_months, 1)).alias("extra"))
+    cleared = forecast.select("date").distinct().orderBy("date").limit(clear_months).withColumn("cleared", F.lit(True))
+    family = families.select("procedure_code", "treatment_function").join(extra, "treatment_function", "left")
+    placed = forecast.join(family, "procedure_code", "left").join(cleared, "date", "left")
+    shared = with_group_total(placed, ["date", "treatment_function"], {"family_total": F.sum("yhat")})
+    uplift = F.when(F.coalesce("cleared", F.lit(False)) & F.col("treatment_function").isNotNull(), F.coalesce(
+        F.try_divide(F.col("yhat"), F.nullif("family_total", F.lit(0.0))) * F.col("extra"), F.lit(0.0))).otherwise(0.0)
+    return shared.withColumns({c: F.col(c) + uplift for c in VALUES}).select(*forecast.columns).withColumn(
+        "scenario", F.lit("backlog_clear"))
+
+
 def capacity_cap(forecast: DataFrame, max_growth: float = 0.05) -> DataFrame:
     """Cap every column at the series' first forecast grown by ``max_growth`` a year."""
     keys = [c for c in ("trust_code", "region", "procedure_code") if c in forecast.columns]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.fixed_values import MIN_BILLABLE_SECONDS
+from panelcast.operators.quality import CheckSpec, validate
 
 BUCKET_WIDTH = 1_000_000
 
@@ -93,6 +94,16 @@ def exposure(events: DataFrame) -> DataFrame:
             .select("device_id", "date", (_seconds_between("on_at", "off_at") / 3600.0).alias("exposure_hours")))
 
 
+#: Exposure is negative where a device is first switched off before it is first switched on.
+EXPOSURE_SPEC = CheckSpec(required_cols=("device_id", "date", "exposure_hours"), non_negative=("exposure_hours",),
+                          unique_keys=("device_id", "date"), date_col="date")
+
+
+def check_exposure(exposed: DataFrame) -> DataFrame:
+    """The check results of an exposure table; the feature step's floor would hide negative hours."""
+    return validate("exposure", exposed, EXPOSURE_SPEC)
+
+
 def session_rollup(sessions: DataFrame) -> DataFrame:
     """Per device and start day. Partial sums are formed per operator first, so the distinct
     operator count needs no second copy of the rows."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from panelcast import fixed_values
 from panelcast.operators import backtest as bt
 from panelcast.operators import count_model, pooled, risk, scenarios, sessions
+from panelcast.operators.demand import load_equipment
 from panelcast.operators.features_device import build_features
 from panelcast.operators.features_monthly import build_feature_table
 from panelcast.operators.hierarchy import bottom_up
@@ -36,7 +37,7 @@ def run_demand(
     chapter_table: Mapping[str, str] = fixed_values.CHAPTER_TO_FUNCTION,
     older_bands: Sequence[str] = fixed_values.OLDER_BANDS,
     provenance: Sequence[tuple[str, str, str]] = (), models: Sequence[str] = bt.ALL_MODELS,
-    run_scenarios: bool = True, run_id: str | None = None,
+    run_scenarios: bool = True, run_id: str | None = None, equipment_dim: DataFrame | None = None,
 ) -> DemandResult:
     """Validate, land, load, build features, compare models, forecast, reconcile, map, store, report.
 
@@ -65,7 +66,8 @@ def run_demand(
         partial(storage.materialise, features_lazy, "features"),
         partial(storage.replace_table, dim_date, tables, "dim_date"),
         partial(storage.replace_table, storage.build_dim_trust(stored["fact_procedures"]), tables, "dim_trust"),
-        partial(storage.replace_table, mapping, tables, "dim_proc_equipment_map"))
+        partial(storage.replace_table, mapping, tables, "dim_proc_equipment_map"),
+        partial(storage.replace_table, load_equipment(spark) if equipment_dim is None else equipment_dim, tables, "dim_equipment"))
     if provenance:
         storage.record_provenance(spark, artifacts, run_id, provenance)
 

@@ -12,7 +12,8 @@ from panelcast.plans import flows
 from panelcast.plans.queries_demand import base_forecast, equipment, mapping
 from panelcast.plans.queries_device import _given, given_book
 from panelcast.plans.registry import query
-from panelcast.sources import adapters
+from panelcast.plans.queries_sources import staged_feeds
+from panelcast.sources import adapters, conform
 from panelcast.sources.storage import scratch_path
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -160,11 +161,11 @@ def flow_national_demand(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def flow_monthly_demand(spark: SparkSession, root: str) -> DataFrame:
-    """The whole monthly job, as its stored equipment forecast."""
-    data = adapters.datasets(spark, root)
+    """The whole monthly job from its feeds, as its stored equipment forecast."""
+    data, provenance = conform.load_all(spark, staged_feeds(spark, root))
     return flows.run_demand(
         data, mapping(spark), scratch_path(spark, "flow"), 12, adapters.CHAPTER_TO_FUNCTION,
-        adapters.OLDER_SEGMENTS, [(n, "live", "parquet") for n in data]).equipment.drop("run_id")
+        adapters.OLDER_SEGMENTS, provenance).equipment.drop("run_id")
 
 
 @query

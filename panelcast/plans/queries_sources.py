@@ -9,7 +9,7 @@ from panelcast.functions.panel import rounded, scalar
 from panelcast.operators import demand, quality
 from panelcast.operators.naive import tag
 from panelcast.plans.registry import query
-from panelcast.schemas import DATASET_TABLE, RTT, SUPPLY, TABLES
+from panelcast.schemas import DATASET_TABLE, EQUIPMENT, RTT, SUPPLY, TABLES
 from panelcast.sources import adapters, conform, storage
 
 CHAPTER_COST = {"F0": 1800.0, "F1": 950.0, "F2": 4200.0, "F3": 60.0}
@@ -76,7 +76,7 @@ def a8_raw_lineage(spark: SparkSession, root: str) -> DataFrame:
         F.substring_index("path", "/", -1).alias("file"), "digest", "bytes")
 
 
-def _staged_feeds(spark: SparkSession, root: str) -> dict[str, conform.Feed]:
+def staged_feeds(spark: SparkSession, root: str) -> dict[str, conform.Feed]:
     """Activity staged as a CSV feed, imaging only as a fallback file, the rest with both."""
     base = storage.scratch_path(spark, "feeds")
     data = adapters.datasets(spark, root)
@@ -92,7 +92,7 @@ def _staged_feeds(spark: SparkSession, root: str) -> dict[str, conform.Feed]:
 @query
 def a9_provenance(spark: SparkSession, root: str) -> DataFrame:
     """Where each feed came from, and its rows."""
-    frames, entries = conform.load_all(spark, _staged_feeds(spark, root))
+    frames, entries = conform.load_all(spark, staged_feeds(spark, root))
     base = storage.scratch_path(spark, "provenance")
     storage.record_provenance(spark, base, "run-1", entries)
     sizes = None
@@ -106,7 +106,7 @@ def a9_provenance(spark: SparkSession, root: str) -> DataFrame:
 @query
 def a11_load_feeds(spark: SparkSession, root: str) -> DataFrame:
     """All six datasets, a row for each of theirs."""
-    frames, _ = conform.load_all(spark, _staged_feeds(spark, root))
+    frames, _ = conform.load_all(spark, staged_feeds(spark, root))
     out = None
     for name, df in frames.items():
         value, label = FEED_COLUMNS[name]
@@ -279,7 +279,10 @@ def a26_mapping(spark: SparkSession, root: str) -> DataFrame:
 @query
 def a27_equipment_spend(spark: SparkSession, root: str) -> DataFrame:
     """Units per equipment type and what they cost by the equipment dimension."""
-    dim = spark.createDataFrame(list(adapters.EQUIPMENT_COST.items()), "equipment_type string, unit_cost_gbp double")
+    path = storage.scratch_path(spark, "equipment-csv")
+    rows = [(kind, "device", cost, False) for kind, cost in adapters.EQUIPMENT_COST.items()]
+    spark.createDataFrame(rows, EQUIPMENT).write.option("header", "true").csv(path)
+    dim = demand.load_equipment(spark, path).select("equipment_type", "unit_cost_gbp")
     units = demand.apply_mapping(
         adapters.procedures(spark, root).select("procedure_code", "n_procedures"),
         demand.check_mapping(adapters.mapping_rows(spark)), "n_procedures")

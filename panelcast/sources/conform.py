@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -126,11 +127,26 @@ def quarterly_supply(
 
 @dataclass(frozen=True)
 class Feed:
-    """Where one dataset comes from: a preferred path and a fallback path."""
+    """Where one dataset comes from: a preferred path and a fallback path.
+
+    `build` turns what the preferred path holds into the dataset, as ``waiting_from_sheet`` does.
+    """
     primary: str | None
     fallback: str
     fmt: str = "parquet"
     options: Mapping[str, str] | None = None
+    build: Callable[[DataFrame], DataFrame] | None = None
+
+
+#: Share of the cells of a typed column that may fail to parse.
+UNPARSABLE = 0.1
+
+
+def waiting_from_sheet(sheet: DataFrame, shares: DataFrame, functions: Sequence[str]) -> DataFrame:
+    """The waiting list by trust and function from a national workbook: its series, required, split top-down."""
+    series = require_rows(national_series(sheet), "no dated rows in the national waiting-list series")
+    bounds = series.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+    return allocate_top_down(series, shares, functions, F.lit(bounds.low), F.lit(bounds.high))
 
 
 LABEL_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -150,20 +166,41 @@ def _read(spark: SparkSession, path: str, feed: Feed, schema: StructType) -> Dat
         F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 
+def _checked(spark: SparkSession, path: str, feed: Feed, schema: StructType) -> DataFrame:
+    """A feed with rows whose text cells parse: one pass of counts, so that bad content shows before the feed is chosen."""
+    if feed.fmt == "csv":
+        raw = spark.read.format("csv").options(**dict(feed.options or {})).option("header", "true").load(path)
+        typed = [f for f in schema.fields if f.name in raw.columns]
+        counts = raw.agg(F.count("*").alias("__n"), *[
+            F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in typed]).first()
+        bad = [f.name for f in typed if counts[f.name] > UNPARSABLE * counts["__n"]]
+        if bad:
+            raise ValueError(f"unparsable cells in {', '.join(bad)}")
+        if not typed:
+            raise ValueError("no known column")
+    return require_rows(_read(spark, path, feed, schema), "empty feed")
+
+
 def load_dataset(spark: SparkSession, name: str, feed: Feed) -> tuple[DataFrame, tuple[str, str, str]]:
     """Conformed dataset and its provenance (source, kind, detail).
 
-    The preferred feed is used when its path resolves; otherwise the fallback is read and the
-    reason recorded.
+    The preferred feed is used when its path resolves, it has rows, its cells parse and its `build` step succeeds; otherwise
+    the fallback is read and the reason recorded.
     """
     schema = DATASETS[name]
     step = LABEL_STEPS.get(name, lambda d: d)
     if feed.primary is not None:
         try:
-            live = step(_read(spark, feed.primary, feed, schema))
-            return conform(live, schema), (name, "live", feed.primary)
-        except AnalysisException as exc:
+            if feed.build:
+                raw = spark.read.format(feed.fmt).options(**dict(feed.options or {})).load(feed.primary)
+                live = require_rows(feed.build(require_rows(raw, "empty feed")), "nothing built from the feed")
+            else:
+                live = _checked(spark, feed.primary, feed, schema)
+            return conform(step(live), schema), (name, "live", feed.primary)
+        except PySparkException as exc:
             reason = exc.getCondition() or type(exc).__name__
+        except (Py4JJavaError, ValueError) as exc:
+            reason = str(exc).splitlines()[0] if isinstance(exc, ValueError) else "UNREADABLE"
     else:
         reason = "no preferred feed"
     return conform(_read(spark, feed.fallback, feed, schema), schema), (name, "fallback", reason)
