@@ -50,6 +50,8 @@ RELATION = "block long, steps array<int>, codes array<int>, ids array<long>"
 #: Entries of one part, about, when groups are summed.
 PART_ENTRIES = 4_000_000
 FREQUENT = "block long, code int, part long, place long, first boolean, a long, b long, f long"
+WORDS = "block long, code int, part long, place long, first boolean, lang string, phrase string, f long"
+FREQUENT_FIELDS, WORD_FIELDS = ([f.split()[0] for f in schema.split(", ")] for schema in (FREQUENT, WORDS))
 
 
 def _numbers(column, row: int) -> np.ndarray:
@@ -59,6 +61,15 @@ def _numbers(column, row: int) -> np.ndarray:
         zero_copy_only=False)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers with their bytes of equal weight together: what is seldom used compresses to nothing."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def _list(values, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
@@ -129,8 +140,8 @@ def _neighbours(steps, codes, n_groups):
     return at[place], number, groups // max(n_groups, 1), groups % max(n_groups, 1), count
 
 
-def _count(parts: int, kind: pa.DataType):
-    """Groups of one word more, counted per block, a row per part."""
+def _count(parts: int):
+    """Groups of one word more, counted per block, a row per part. Ordered numbers travel as steps."""
     def run(batches):
         for b in batches:
             for row in range(len(b)):
@@ -140,37 +151,58 @@ def _count(parts: int, kind: pa.DataType):
                 part = (mix(first.astype(np.uint64) * GOLDEN + mix(second.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 used, start = np.unique(part[order], return_index=True)
-                ends = pa.array(np.append(start, len(order)), pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, pa.array(v[order], k)) for v, k in (
-                    (first, kind), (second, kind), (np.arange(len(count)), pa.int32()), (count, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(np.full(len(used), block)), *lists],
-                                                 ["part", "block", "a", "b", "code", "n"])
+                cells = [[] for _ in range(4)]
+                for some in np.split(order, start[1:]) if len(order) else ():
+                    for cell, v in zip(cells, (np.diff(first[some], prepend=0), second[some], np.diff(some, prepend=0), count[some])):
+                        cell.append(_planes(v))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array(np.full(len(used), block)), *(pa.array(c, pa.binary()) for c in cells)],
+                    ["part", "block", "a", "b", "code", "n"])
     return run
 
 
+def _often(keys: tuple[np.ndarray, ...], block, code, n, least: int, part: int):
+    """Rows whose group (equal `keys`) has a sum of at least `least`, ordered by group and block.
+
+    (order of these rows, and columns block, code, part, place, first, f)
+    """
+    order = np.lexsort((block, *keys[::-1]))
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for k in keys:
+        fresh[1:] |= k[order][1:] != k[order][:-1]
+    start = np.flatnonzero(fresh)
+    total = np.add.reduceat(n[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    place = np.cumsum(total >= least) - 1  # of the group among those that stay
+    group = np.cumsum(fresh) - 1
+    stays = (total >= least)[group]
+    group, order = group[stays], order[stays]
+    return order, {"block": block[order], "code": code[order].astype(np.int32), "part": np.full(len(order), part, np.int64),
+                   "place": place[group].astype(np.int64), "first": fresh[stays], "f": total[group]}
+
+
 def _sum(least: int):
     """Groups of one part that occur often enough, a row per block that holds them."""
+    def run(table: pa.Table) -> pa.Table:
+        cells = {c: [_from_planes(v) for v in table.column(c).to_pylist()] for c in ("a", "b", "code", "n")}
+        a, code = (np.concatenate([np.cumsum(v) for v in cells[c]]) for c in ("a", "code"))
+        b, n = (np.concatenate(cells[c]) for c in ("b", "n"))
+        block = np.repeat(table.column("block").to_numpy(), [len(v) for v in cells["a"]])
+        order, out = _often((a, b), block, code, n, least, table.column("part")[0].as_py())
+        return pa.table({**out, "a": a[order], "b": b[order]}).select(FREQUENT_FIELDS)
+    return run
+
+
+def _sum_words(least: int):
+    """The same for the words of one part; their strings stand in the first row of each."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        part = table.column("part")[0].as_py()
-        lists = {c: table.column(c).combine_chunks() for c in ("a", "b", "code", "n")}
-        a, b, code, n = (lists[c].flatten().to_numpy(zero_copy_only=False) for c in ("a", "b", "code", "n"))
-        block = np.repeat(table.column("block").to_numpy(), np.diff(lists["a"].offsets.to_numpy()))
-        order = np.lexsort((block, b, a))
-        a, b = a[order], b[order]
-        fresh = np.ones(len(a), bool)
-        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        start = np.flatnonzero(fresh)
-        total = np.add.reduceat(n[order].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-        often = total >= least
-        place = np.cumsum(often) - 1  # of the group among those that stay
-        group = np.cumsum(fresh) - 1
-        stays = often[group]
-        group = group[stays]
-        return pa.table({
-            "block": block[order][stays], "code": code[order][stays], "part": np.full(len(group), part, np.int64),
-            "place": place[group].astype(np.int64), "first": fresh[stays], "a": a[stays].astype(np.int64),
-            "b": b[stays].astype(np.int64), "f": total[group]})
+        keys = [table.column(c).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) for c in ("lang", "phrase")]
+        block, code, n = (table.column(c).to_numpy() for c in ("block", "code", "n"))
+        order, out = _often(tuple(keys), block, code, n, least, table.column("part")[0].as_py())
+        some = pa.array(np.where(out["first"], order, 0), mask=~out["first"])
+        return pa.table({**out, "lang": table.column("lang").take(some), "phrase": table.column("phrase").take(some)}).select(
+            WORD_FIELDS)
     return run
 
 
@@ -209,33 +241,12 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _numbered(frequent: DataFrame) -> tuple[DataFrame, int]:
-    """`frequent`, a written table, with `id`, groups numbered from 0 through all parts, and the number of groups.
-
-    The driver sees one count per part.
-    """
-    spark = frequent.sparkSession
-    counts = frequent.where("first").groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    starts = list(accumulate((r.n for r in counts), initial=0))
-    before = spark.createDataFrame([(r.part, at) for r, at in zip(counts, starts)], "part long, before long")
-    return frequent.join(before, "part").withColumn("id", F.col("before") + F.col("place")).drop("before"), starts[-1]
-
-
-def _frequent_words(words: DataFrame, least: int) -> DataFrame:
-    """(block, code, lang, phrase, f, part, place, first) of the words that occur often enough.
-
-    A word has one row per block at most, and the window needs no more than its sums.
-    """
-    group = Window.partitionBy("lang", "phrase")
-    spot = F.col("block").bitwiseOR(F.col("code").cast("long"))
-    rows = (words.withColumn("spot", spot).withColumn("f", F.sum("n").over(group)).withColumn("at", F.min("spot").over(group))
-            .where(F.col("f") >= least).drop("n"))
-    rows = materialise(rows, "phrases-spots")
-    # A row number that does not change once it is written: the task, and the row of the task.
-    one = materialise(rows.where("at = spot").select("at", F.monotonically_increasing_id().alias("m")), "phrases-numbers")
-    return materialise(rows.join(one, "at").select(
-        "block", "code", "lang", "phrase", "f", F.shiftright("m", 33).alias("part"),
-        F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"), (F.col("at") == F.col("spot")).alias("first")), "phrases-1")
+def _numbered(frequent: DataFrame) -> DataFrame:
+    """`frequent`, a written table, with `id`: groups numbered from 0 through all parts. The driver sees a count per part."""
+    counts = {r.part: r.n for r in frequent.where("first").groupBy("part").agg(F.count("*").alias("n")).collect()}
+    starts = accumulate((counts.get(p, 0) for p in range(max(counts, default=0) + 1)), initial=0)
+    before = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")  # folded to one literal
+    return frequent.withColumn("id", F.get(before, F.col("part").cast("int")) + F.col("place"))
 
 
 def _lists(frequent: DataFrame) -> DataFrame:
@@ -253,7 +264,8 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
                          .groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_words // PART_ENTRIES)
-    frequent, n_groups = _numbered(_frequent_words(words, least))
+    dealt = words.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts)))
+    frequent = _numbered(materialise(dealt.groupBy("part").applyInArrow(_sum_words(least), WORDS), "phrases-1"))
     groups = frequent.where("first").select("id", "lang", "phrase", F.col("phrase").alias("last"),
                                             F.array("phrase").alias("words"), "f")
     found = [groups]
@@ -261,12 +273,8 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
     for k in range(1, longest):
         joined = source.join(_lists(frequent), "block")
         relation = _written(joined.mapInArrow(_semi_join(k > 1), RELATION), f"phrases-relation-{k}")
-        kind = "int" if n_groups < 1 << 31 else "bigint"
-        counted = relation.mapInArrow(
-            _count(parts, pa.int32() if kind == "int" else pa.int64()),
-            f"part long, block long, a array<{kind}>, b array<{kind}>, code array<int>, n array<int>")
-        frequent = materialise(counted.groupBy("part").applyInArrow(_sum(least), FREQUENT), f"phrases-{k + 1}")
-        frequent, n_groups = _numbered(frequent)
+        counted = relation.mapInArrow(_count(parts), "part long, block long, a binary, b binary, code binary, n binary")
+        frequent = _numbered(materialise(counted.groupBy("part").applyInArrow(_sum(least), FREQUENT), f"phrases-{k + 1}"))
         before, after = groups.select(F.col("id").alias("a"), "lang", "phrase", "words"), groups.select(
             F.col("id").alias("b"), "last")
         groups = (frequent.where("first").select("id", "a", "b", "f").join(before, "a").join(after, "b")
