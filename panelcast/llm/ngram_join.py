@@ -1,4 +1,7 @@
-"""N-gram Jaccard join by vertical partitioning.
+"""N-gram Jaccard join by equal fragments of the n-gram order.
+
+This is not the dealt method (partial overlaps of every fragment, shuffled and summed per pair): the fragments of the global
+order only give candidates, and overlaps are counted inside tasks. The README has the reasons and figures.
 
 A document is the set of its distinct k-word shingles, as 64-bit hashes. The order of hashes is the global order of
 n-grams, and it is cut into fragments twice:
@@ -19,7 +22,8 @@ lost.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. Rows without an id link with
 nothing and are their own component (null). Equal rows repeat. A text with fewer than k words is one shingle. Sets are
-identified by 64 bits: in a corpus of n distinct sets two differ unnoticed with probability n^2 / 2^65.
+identified by 64 bits; a very long text has one row per fragment of its set, and its set is one array of 8 bytes per
+n-gram in one row. Columns other than id and text are ignored, whatever their names. In a corpus of n distinct sets two differ unnoticed with probability n^2 / 2^65.
 """
 
 from __future__ import annotations

@@ -1,10 +1,12 @@
-"""Removal of repeated byte strings by induced suffix groups.
+"""Removal of repeated byte strings by sampled places and recursive runs of windows.
+
+This is not the dealt method: no order of suffixes and no common-prefix values are built. The README has the reason and figures.
 
 A byte goes if a string of `length` bytes that covers it also starts anywhere else, in the same text or another one.
 Strings do not cross texts and are judged on the input.
 
-The windows (suffixes cut to `length` bytes) are not sorted one by one: as in induced sorting, a sparse subset is grouped
-first and the others take their verdict from it. The subset are the places that hold the smallest hash of any `GRAM`
+The windows (suffixes cut to `length` bytes) are not sorted one by one: a sparse subset is grouped first and the others take
+their verdict from it. The subset are the places that hold the smallest hash of any `GRAM`
 bytes in some window (about one byte in 75). Equal windows hold it at the same offset, so a place stands for the run of
 windows that hold it, and equal windows lie in runs of equal places. Runs are settled by recursion:
 
@@ -15,7 +17,8 @@ windows that hold it, and equal windows lie in runs of equal places. Runs are se
 
 Texts that are equal are one text; its copies go as a whole if it has `length` bytes. Verdicts are by 128-bit hash, the
 core's by 64 bits, which can only cause needless work. Null and short texts keep everything; a null id keeps its row
-and takes part. Rows that repeat are copies of each other. An empty table gives an empty result.
+and takes part. Rows that repeat are copies of each other; a very long text is hashed alone, in memory of some 30 bytes per
+byte; other columns pass through, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
