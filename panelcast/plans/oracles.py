@@ -305,7 +305,7 @@ FRAGMENTS: dict[str, str] = {
             SELECT sim, p.*, least(floor(exp_sessions * (((sim * 7919 + number * 104729) * (sim + 31 * number) % 1000003)
                    / 1000003::DOUBLE + 0.5::DOUBLE)), cap_sessions) AS sessions
             FROM (SELECT *, CAST(regexp_extract(device_id, '([0-9]+)', 1) AS BIGINT) AS number FROM positions) p
-            CROSS JOIN range(1, 257) r(sim))""",
+            CROSS JOIN range(1, 4001) r(sim))""",
     "books": "SELECT sim, sum(revenue) AS book_revenue FROM draws GROUP BY sim",
     "losses": "SELECT book_revenue, (SELECT sum(fixed_gbp) FROM positions) - book_revenue AS loss FROM books",
     "tail": """

@@ -16,7 +16,7 @@ from panelcast.sources.storage import materialise
 
 HORIZON = 7
 N_SIMS = 4000
-GIVEN_SIMS = 256
+GIVEN_SIMS = 4000
 GIVEN_ALPHA = 0.1
 # A fixed model for checks that take the coefficients as given.
 GIVEN = count_model.CountModel(
