@@ -36,7 +36,7 @@ def run_demand(
     datasets: Mapping[str, DataFrame], mapping: DataFrame, root: str, horizon: int = 12,
     chapter_table: Mapping[str, str] = fixed_values.CHAPTER_TO_FUNCTION,
     older_bands: Sequence[str] = fixed_values.OLDER_BANDS,
-    provenance: Sequence[tuple[str, str, str]] = (), models: Sequence[str] = bt.ALL_MODELS,
+    provenance: Sequence[tuple[str, str, str]] = (), models: Sequence[str] = bt.FLOW_MODELS,
     run_scenarios: bool = True, run_id: str | None = None, equipment_dim: DataFrame | None = None,
 ) -> DemandResult:
     """Validate, land, load, build features, compare models, forecast, reconcile, map, store, report.
