@@ -70,21 +70,28 @@ def downtime(df: DataFrame, real: bool = False) -> DataFrame:
 def operator_herfindahl(sessions: DataFrame, days: int = 28) -> DataFrame:
     """Sum of squared operator shares over the trailing calendar days, today included.
 
-    Rows exist for days with sessions only. Daily counts are spread forward over the days whose
-    window contains them (a fixed fan-out of ``days`` on pre-aggregated rows), so the work is two
-    combinable aggregates and no range join.
+    Rows exist for days with sessions only; sessions without a start or an operator do not count. A sweep: a daily
+    operator count enters on its day and leaves `days` later, so there are two rows per operator-day whatever `days` is.
+    The sums of counts and of squared counts change by what those rows change; both are running sums of whole numbers. An
+    operator's rows on a device are bounded by its days, and so are a device's, which are summed per day first.
     """
-    daily = sessions.where(F.col("operator_hash").isNotNull()).groupBy(
+    daily = sessions.where(F.col("operator_hash").isNotNull() & F.col("t_start").isNotNull()).groupBy(
         "device_id", F.to_date("t_start").alias("day"), "operator_hash").agg(F.count("*").alias("n"))
-    spread = daily.withColumn("ahead", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
-    per_operator = spread.groupBy(
-        "device_id", F.date_add("day", F.col("ahead")).alias("date"), "operator_hash").agg(
-            F.sum("n").alias("n"), F.max(F.col("ahead") == 0).alias("today"))
-    share = per_operator.groupBy("device_id", "date").agg(
-        F.sum("n").cast("double").alias("total"),
-        F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"), F.max("today").alias("today"))
-    return share.where("today").select(
-        "device_id", "date", (F.col("squares") / (F.col("total") * F.col("total"))).alias("op_herfindahl"))
+    moves = daily.select("device_id", "operator_hash", F.explode(F.array(
+        F.struct(F.col("day").alias("date"), F.col("n").alias("change"), F.lit(True).alias("today")),
+        F.struct(F.date_add("day", days).alias("date"), (-F.col("n")).alias("change"), F.lit(False).alias("today")),
+    )).alias("m")).select("device_id", "operator_hash", "m.*")
+    # Where an entry meets an exit on one day, the two changes of the square add up to the right one in either order.
+    line = Window.partitionBy("device_id", "operator_hash").orderBy("date", "today").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    moves = moves.withColumn("held", F.sum("change").over(line))
+    by_day = moves.groupBy("device_id", "date").agg(
+        F.sum("change").alias("change"), F.max("today").alias("today"),
+        F.sum(F.col("change") * (2 * F.col("held") - F.col("change"))).alias("square"))  # held^2 - (held - change)^2
+    so_far = Window.partitionBy("device_id").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total, squares = (F.sum(c).over(so_far).cast("double") for c in ("change", "square"))
+    return by_day.select("device_id", "date", "today", total.alias("total"), squares.alias("squares")).where(
+        "today").select("device_id", "date", (F.col("squares") / (F.col("total") * F.col("total"))).alias("op_herfindahl"))
 
 
 def concentration(df: DataFrame, sessions: DataFrame) -> DataFrame:

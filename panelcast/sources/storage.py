@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 from typing import TypeVar
+from weakref import WeakKeyDictionary
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -31,11 +32,30 @@ def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing the frame to the shared folder and reading it back."""
+#: The folder behind each frame that `materialise` returned and that is still in use.
+_STAGES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def materialise(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Cut lineage by writing the frame to the shared folder and reading it back; at most `file_rows` rows a file, if set."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGES[written] = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete the folders of frames that `materialise` returned, once nothing that is still to be computed reads them.
+
+    What was written from them meanwhile stands on its own, so a lost executor needs no deleted stage. Other frames are
+    left alone.
+    """
+    for df in written:
+        if path := _STAGES.pop(df, None):
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def iteration_input(df: DataFrame, name: str) -> DataFrame:
