@@ -31,12 +31,14 @@ from pyspark.sql.window import Window
 
 from panelcast.llm.hashing import GOLDEN, chunks, mix, text_bytes
 from panelcast.llm.wordarrays import byte_class, lowered, word_spans, word_strings
-from panelcast.sources.storage import materialise, scratch_path
+from panelcast.sources.storage import discard, materialise
 
 UNKNOWN = "und"
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a task's open blocks; they are closed together.
 BLOCK_WORDS = 1_500_000
+#: Blocks of a file: a reader holds what a file has at once.
+FILE_BLOCKS = 4
 #: Bits of a word's place: task, block of the task, word of the block.
 TASK_BITS, BLOCK_BITS, CODE_BITS = 22, 14, 27
 #: Bytes of text worked on at once.
@@ -234,13 +236,6 @@ def _semi_join(extend: bool):
     return run
 
 
-def _written(rows: DataFrame, name: str) -> DataFrame:
-    """As `materialise`, a few blocks per file: a reader holds what a file has at once."""
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.option("maxRecordsPerFile", 4).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _numbered(frequent: DataFrame) -> DataFrame:
     """`frequent`, a written table, with `id`: groups numbered from 0 through all parts. The driver sees a count per part."""
     counts = {r.part: r.n for r in frequent.where("first").groupBy("part").agg(F.count("*").alias("n")).collect()}
@@ -257,7 +252,7 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
                      lang_col: str = "lang", block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of 1 to `longest` words that occur `least` times, and (lang, n) of words."""
     named = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
-    first = _written(named.mapInArrow(_first_relation(block_words), FIRST), "phrases-words")
+    first = materialise(named.mapInArrow(_first_relation(block_words), FIRST), "phrases-words", FILE_BLOCKS)
     words = first.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select(
         "block", "lang", "code", F.col("w.words").alias("phrase"), F.col("w.counts").cast("long").alias("n"))
     totals = materialise(first.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
@@ -272,7 +267,8 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
     source = first.select("block", "steps", "codes", F.array().cast("array<long>").alias("ids"))
     for k in range(1, longest):
         joined = source.join(_lists(frequent), "block")
-        relation = _written(joined.mapInArrow(_semi_join(k > 1), RELATION), f"phrases-relation-{k}")
+        relation = materialise(joined.mapInArrow(_semi_join(k > 1), RELATION), f"phrases-relation-{k}", FILE_BLOCKS)
+        discard(first if k == 1 else source)  # the relation before this one
         counted = relation.mapInArrow(_count(parts), "part long, block long, a binary, b binary, code binary, n binary")
         frequent = _numbered(materialise(counted.groupBy("part").applyInArrow(_sum(least), FREQUENT), f"phrases-{k + 1}"))
         before, after = groups.select(F.col("id").alias("a"), "lang", "phrase", "words"), groups.select(
@@ -283,6 +279,7 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONG
         groups = materialise(groups, f"phrases-groups-{k + 1}")
         found.append(groups)
         source = relation
+    discard(source)
     every = reduce(DataFrame.unionByName, [g.select("lang", "phrase", "words", "f") for g in found])
     return every, totals
 
