@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import bpe, exact_dedup, langid, ngram_join, packing, suffix_dedup
 from panelcast.llm.queries import END_ID, documents, tokenizer_path
-from panelcast.llm.shared import without_ids
+from panelcast.llm.shared import small_batches, without_ids
 from panelcast.sources.storage import materialise
 
 #: A text of n characters stays with a confidence (score x letters among letters and digits) of n ** -SHORT at least, but
@@ -97,7 +97,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.pack(docs, bpe.encode(F.col("text"), tokenizer_path()), end_id=END_ID)
-    return pieces.withColumn("ids_crc32", packing.ids_crc32(F.col("ids"))).drop("ids")
+    with small_batches(spark):
+        return materialise(pieces.withColumn("ids_crc32", packing.ids_crc32(F.col("ids"))).drop("ids"), "pipeline-pieces")
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("repeats", repeats), ("packing", pack)]
