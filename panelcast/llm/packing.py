@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelcast.llm.shared import sized
+from panelcast.llm.shared import sized, small_batches
 from panelcast.sources.storage import materialise
 
 LENGTH = 4096
@@ -95,7 +95,8 @@ def pack(docs: DataFrame, ids: Column, *, end_id: int, length: int = LENGTH, id_
     with_end = F.concat(F.coalesce(ids, F.array().cast("array<int>")), F.array(F.lit(end_id)))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        with_end.alias("ids"))
-    rows = materialise(rows.withColumn("n", F.size("ids").cast("long")), "pack-tokens")
+    with small_batches(spark):
+        rows = materialise(rows.withColumn("n", F.size("ids").cast("long")), "pack-tokens")
     totals = materialise(rows.groupBy("source").agg(F.sum("n").alias("tokens")), "pack-sources")
     n_sources, n_tokens = totals.agg(F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     window = max(WINDOW_SEQUENCES * length, WINDOW_TOKENS_A_SOURCE * n_sources)
