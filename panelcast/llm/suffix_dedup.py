@@ -31,7 +31,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from panelcast.llm.hashing import GOLDEN, Substrings, chunks, mix, text_bytes
-from panelcast.llm.shared import BROADCAST_BYTES, sized
+from panelcast.llm.shared import BATCH_BYTES, BROADCAST_BYTES, sized, small_batches
 from panelcast.sources.storage import materialise
 
 LENGTH = 200
@@ -215,8 +215,15 @@ def key_of(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(9))
 
 
-def _cut(batches):
+def _parts(batches):
+    """Batches cut so that the texts of one, and what is made of them, are bounded."""
     for b in batches:
+        for i, j in chunks(text_bytes(b.column(1))[1], BATCH_BYTES):
+            yield b.slice(i, j - i)
+
+
+def _cut(batches):
+    for b in _parts(batches):
         data, offsets = text_bytes(b.column(1))
         removed, kept = [], []
         spans = b.column(2).to_pylist()
@@ -237,7 +244,8 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
                     carry: list[str] | None = None) -> DataFrame:
     """Every row of `docs`, its columns (or those in `carry`) in the struct `row`, with n_bytes, n_removed, n_spans and
     the bytes left, `kept`."""
-    found = materialise(repeated_spans(docs, length=length, gram=gram, text_col=text_col), "suffix-spans")
+    with small_batches(docs.sparkSession):
+        found = materialise(repeated_spans(docs, length=length, gram=gram, text_col=text_col), "suffix-spans")
     found = _sized_lists(found, "spans", 16)
     rows = docs.select(F.struct(*(carry or docs.columns)).alias("row"), key_of(F.col(text_col)).alias("text_key"),
                        F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("bytes"))
