@@ -49,6 +49,22 @@ def test_many_draws_of_one_law(mean, r):
     assert (ds.count_cdf(found - 1, mean, r) <= u + 1e-11).all()
 
 
+@pytest.mark.parametrize("mean", [1e9, 1e15, 1e17, 2e21, 1e300])
+def test_large_means_keep_the_shape_of_the_law(mean):
+    """Relative to the mean the law tends to the gamma law, whose quantiles are 5.42540570, 9.66871461 and 15.70521642 tenths."""
+    u = np.array([0.05, 0.5, 0.95])
+    found = ds.count_quantiles(u, mean, 10.0)
+    assert found / mean == pytest.approx([0.542540570, 0.966871461, 1.570521642], rel=2e-8)
+    assert ds.law_quantiles(u, mean, 10.0) == pytest.approx(found, rel=1e-12)
+
+
+def test_quantiles_of_infinite_and_undefined_means():
+    with np.errstate(all="ignore"):
+        assert np.isinf(ds.count_quantiles([0.05, 0.95], math.inf, 10.0)).all()
+        assert np.isnan(ds.count_quantiles([0.05, 0.95], math.nan, 10.0)).all()
+        assert np.isnan(ds.law_quantiles(np.array([0.05, 0.95]), math.nan, math.nan)).all()
+
+
 def test_normal_distribution_function():
     z = np.concatenate((np.linspace(-9, 9, 2001), [-37.0, 0.0, 40.0]))
     assert ds.normal_cdf(z) == pytest.approx([0.5 * math.erfc(-x / math.sqrt(2)) for x in z], rel=1e-7, abs=1e-15)
