@@ -259,12 +259,13 @@ def simulate(positions: DataFrame, loadings: DataFrame, n_sims: int = 4000, seed
     """Draws, one row of arrays per device: copula normals -> count quantile -> cap, floor.
 
     Tasks own devices. Common draws are regenerated from their keys in each task, so nothing is
-    broadcast and a retried task repeats the same numbers.
+    broadcast and a retried task repeats the same numbers. A device whose mean passes the largest number reaches its cap
+    in every draw.
     """
     tasks = positions.sparkSession.sparkContext.defaultParallelism
     # A row costs n_sims quantiles, so rows are spread by count instead of by their small size.
     joined = nb_parameters(positions).join(loadings, "device_id", "left").repartition(tasks, "device_id").select(
-        "device_id", F.xxhash64("device_id").alias("stream"), "nb_r", "nb_p", "cap_sessions",
+        "device_id", F.xxhash64("device_id").alias("stream"), "exp_sessions", "nb_r", "nb_p", "cap_sessions",
         "price_per_session_gbp", "floor_gbp",
         F.coalesce("loadings", F.array().cast("array<double>")).alias("loadings"),
         F.coalesce("idio", F.lit(1.0)).alias("idio"))
@@ -283,7 +284,9 @@ def simulate(positions: DataFrame, loadings: DataFrame, n_sims: int = 4000, seed
                 own = np.stack([_normals(seed + 1, int(k), n_sims) for k in part["stream"]])
                 u = normal_cdf(part["idio"].to_numpy()[:, None] * own + weights @ common)
                 r, p = part["nb_r"].to_numpy(), part["nb_p"].to_numpy()
-                sessions = np.stack([law_quantiles(x, m, k) for x, m, k in zip(u, r * (1 - p) / p, r)])
+                endless = np.isposinf(part["exp_sessions"].to_numpy(float))  # its moments have no parameters
+                mean, r = np.where(endless, np.inf, r * (1 - p) / p), np.where(endless, 1.0, r)
+                sessions = np.stack([law_quantiles(x, m, k) for x, m, k in zip(u, mean, r)])
                 sessions = np.minimum(sessions, part["cap_sessions"].to_numpy()[:, None])
                 revenue = np.maximum(sessions * part["price_per_session_gbp"].to_numpy()[:, None],
                                      part["floor_gbp"].to_numpy()[:, None])

@@ -120,6 +120,16 @@ def test_simulated_moments_and_correlation(spark):
     assert wide[["dev0", "dev1"]].corr(method="spearman").iloc[0, 1] == pytest.approx(6 / math.pi * math.asin(0.45), abs=0.03)
 
 
+def test_devices_without_a_finite_mean_reach_their_cap(spark, vectors):
+    df, _ = vectors
+    many = F.when(F.col("device_id") == "dev1", math.inf)
+    positions = book_of(spark).withColumns({c: F.coalesce(many, F.col(c)) for c in ("exp_sessions", "var_sessions")})
+    usual = {r.device_id: r.sessions for r in risk.simulate(book_of(spark), risk.panel_loadings(df, risk.shrinkage(df)), 60).collect()}
+    rows = {r.device_id: r.sessions for r in risk.simulate(positions, risk.panel_loadings(df, risk.shrinkage(df)), 60).collect()}
+    cap = positions.where("device_id = 'dev1'").first().cap_sessions
+    assert rows.pop("dev1") == [cap] * 60 and usual.pop("dev1") and rows == usual
+
+
 def test_cap_and_floor(spark):
     positions = book_of(spark, 1).withColumn("cap_sessions", F.lit(20.0))
     draws = spark.createDataFrame([("dev0", [50.0, 2.0])], "device_id string, sessions array<double>")
