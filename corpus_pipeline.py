@@ -31,6 +31,8 @@ LEAST, SHORT, MOST = 0.24, 1 / 3, 0.45
 
 #: The column that tells rows apart where ids do not.
 ROW = "_pipeline_row"
+#: The column that tells empty texts from none.
+NO_TEXT = "_pipeline_no_text"
 
 
 def confident(text: Column, score: Column) -> Column:
@@ -85,11 +87,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.without_repeats(docs)
-    text = suffix_dedup.whole_characters(F.col("kept"))
-    new = {"text": F.when(F.col("row.text").isNotNull(), F.when(F.col("n_removed") > 0, text)
-                          .otherwise(F.col("row.text")))}
-    return (cut.select("row", new["text"].alias("_left"))
+    # The text passes once, as bytes; whether there was one goes with the row.
+    rows = docs.withColumn(NO_TEXT, F.col("text").isNull())
+    cut = suffix_dedup.without_repeats(rows, carry=[c for c in rows.columns if c != "text"], whole=True)
+    left = F.when(~F.col(f"row.{NO_TEXT}"), F.col("kept").cast("string"))
+    return (cut.select("row", left.alias("_left"))
             .select(*[F.col("_left").alias(c) if c == "text" else
                       F.length("_left").cast("long").alias(c) if c == "n_chars" else F.col(f"row.{c}")
                       for c in docs.columns]))

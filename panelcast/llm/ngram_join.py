@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelcast.llm.hashing import GOLDEN, chunks, mix, shingle_sets, text_bytes
-from panelcast.llm.shared import components, sized, with_roots
+from panelcast.llm.shared import components, sized, small_batches, with_roots
 from panelcast.sources.storage import materialise
 
 #: Fragments of verification.
@@ -237,7 +237,8 @@ def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_c
     box = Window.partitionBy("sig")
     shared = (rows.withColumn("low", F.min("node").over(box)).withColumn("high", F.max("node").over(box))
               .where("low <> high").select("sig", "node", "low"))
-    shared = materialise(shared, "ngram-postings")
+    with small_batches(docs.sparkSession):
+        shared = materialise(shared, "ngram-postings")
     members = (shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")))  # at most a set's own fragments
     clusters = with_roots(components(shared.select(F.col("node").alias("a"), F.col("low").alias("b")), "ngram-clusters"))
     clusters = materialise(clusters, "ngram-clusters")
@@ -259,15 +260,18 @@ def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_c
                            F.greatest("own", "partner").alias("j"))
     found = (placed.join(members, "node").join(sets, "node").groupBy("large", "bin", "i", "j")
              .applyInArrow(lambda t: forest(t, num, den), "a long, b long"))
-    return with_roots(components(materialise(found, "ngram-links"), "ngram-components"))
+    with small_batches(docs.sparkSession):
+        found = materialise(found, "ngram-links")
+    return with_roots(components(found, "ngram-components"))
 
 
 def jaccard_components(docs: DataFrame, *, k: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; documents link at Jaccard similarity >= num / den."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    narrow = materialise(docs.mapInArrow(_narrow(k), f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long"),
-                         "ngram-sets")
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long"
+    with small_batches(docs.sparkSession):
+        narrow = materialise(docs.mapInArrow(_narrow(k), schema), "ngram-sets")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     sets = narrow.where(linkable).groupBy("set_id").agg(F.min("doc_id").alias("low"))
     labels = links(docs, narrow, k, num, den, "text")

@@ -222,28 +222,31 @@ def _parts(batches):
             yield b.slice(i, j - i)
 
 
-def _cut(batches):
-    for b in _parts(batches):
-        data, offsets = text_bytes(b.column(1))
-        removed, kept = [], []
-        spans = b.column(2).to_pylist()
-        for i, found in enumerate(spans):
-            text = data[offsets[i]: offsets[i + 1]]
-            keep = np.ones(len(text), bool)
-            for s in found or ():
-                keep[s["low"]: s["high"]] = False
-            removed.append(int(len(text) - keep.sum()))
-            kept.append(text[keep].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()),
-             pa.array([len(s or ()) for s in spans], pa.int64()), pa.array(kept, pa.binary())],
-            ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+def _cut(whole: bool):
+    def run(batches):
+        for b in _parts(batches):
+            data, offsets = text_bytes(b.column(1))
+            removed, kept = [], []
+            spans = b.column(2).to_pylist()
+            for i, found in enumerate(spans):
+                text = data[offsets[i]: offsets[i + 1]]
+                keep = np.ones(len(text), bool)
+                for s in found or ():
+                    keep[s["low"]: s["high"]] = False
+                removed.append(int(len(text) - keep.sum()))
+                left = text[keep].tobytes()
+                kept.append(left.decode("utf-8", "ignore").encode() if whole and removed[-1] else left)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()),
+                 pa.array([len(s or ()) for s in spans], pa.int64()), pa.array(kept, pa.binary())],
+                ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+    return run
 
 
 def without_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, text_col: str = "text",
-                    carry: list[str] | None = None) -> DataFrame:
+                    carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """Every row of `docs`, its columns (or those in `carry`) in the struct `row`, with n_bytes, n_removed, n_spans and
-    the bytes left, `kept`."""
+    the bytes left, `kept`. With `whole`, a character that lost some of its bytes goes from `kept`."""
     with small_batches(docs.sparkSession):
         found = materialise(repeated_spans(docs, length=length, gram=gram, text_col=text_col), "suffix-spans")
     found = _sized_lists(found, "spans", 16)
@@ -252,14 +255,4 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     joined = rows.join(found, "text_key", "left").select("row", "bytes", "spans")
     schema = StructType([joined.schema["row"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
                          StructField("kept", BinaryType())])
-    return joined.mapInArrow(_cut, schema)
-
-
-def whole_characters(kept: Column) -> Column:
-    """Bytes as text; a character that lost some of its bytes goes."""
-
-    @F.arrow_udf("string")
-    def decode(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else v.decode("utf-8", "ignore") for v in values.to_pylist()], pa.string())
-
-    return decode(kept)
+    return joined.mapInArrow(_cut(whole), schema)
