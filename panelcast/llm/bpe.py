@@ -2,7 +2,8 @@
 
 A merge joins two neighbouring tokens into a longer token of the vocabulary, so a pair of symbols that occurs inside no
 token can never be merged across: a word may be cut there for certain. Words are cut at all such pairs, the distinct fragments
-are encoded independently and their ids are put together again by index. Nothing is remembered between slices of a batch.
+are encoded independently and their ids are put together again by index. A worker remembers the ids of a bounded number of
+fragments, so that a common word is not encoded again in every slice of a batch; results do not depend on it.
 
 Texts of common characters are cut into words on their bytes, many at once. A text with other characters, or with a
 control string, takes the library's normaliser and splitter.
@@ -29,7 +30,9 @@ from tokenizers import Tokenizer, models
 from panelcast.llm.hashing import chunks, text_bytes
 
 #: Texts handled at once in a batch when decoding, and bytes of texts when encoding.
-SLICE, SLICE_BYTES = 256, 4 << 20
+SLICE, SLICE_BYTES = 256, 2 << 20
+#: Fragments remembered of each kind, and their ids. When either is passed, those that came again since the last time stay.
+KNOWN, KNOWN_IDS = 1 << 17, 1 << 20
 #: Below this code point (the last with a two-byte lead under 0xC6) characters are composed already, and letters, digits and
 #: lower case are the same in all Unicode versions.
 STABLE = 0x180
@@ -46,6 +49,9 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(hidden)) for b in range(256)]
 
 
+_NOTHING = (pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool))
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file (byte-level BPE with an end-of-word suffix)."""
 
@@ -70,6 +76,10 @@ class Codec:
         self.spelled = np.frombuffer(b"".join(s.ljust(2, b"\0") for s in spelled), np.uint8).reshape(256, 2)
         self.spelled_size = np.array([len(s) for s in spelled])
         self.joined = self._pairs(model["vocab"], suffix)
+        # Characters that a token spells inside a word, and at its end.
+        self.token_size = [np.array([len(t.removesuffix(s) if s else t) for t in self.tokens], np.int64) for s in ("", suffix)]
+        # Of each kind: fragments, their ids end to end, where each one's begin (and the end), and which came again.
+        self.known = [_NOTHING, _NOTHING]
 
         self.classes = np.full(STABLE, ELSE, np.uint8)
         self.lower = np.arange(STABLE, dtype=np.uint16)
@@ -120,8 +130,37 @@ class Codec:
         if not len(fragments):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         found = self.models[final].encode(fragments.to_pylist(), is_pretokenized=True, add_special_tokens=False)
-        of = np.fromiter((w for w in found.word_ids), np.int64, len(found))
-        return np.array(found.ids, np.int32), np.bincount(of, minlength=len(fragments))
+        ids = np.array(found.ids, np.int32)
+        # Tokens spell the fragments end to end, so each of a fragment's last characters ends a token.
+        ends = np.cumsum(pc.utf8_length(fragments).to_numpy(zero_copy_only=False))
+        spelled = np.cumsum(self.token_size[int(final)][ids])
+        if len(ids) and spelled[-1] == ends[-1]:
+            return ids, np.diff(np.searchsorted(spelled, ends, side="right"), prepend=0)
+        of = np.fromiter((w for w in found.word_ids), np.int64, len(found))  # a vocabulary without some bytes
+        return ids, np.bincount(of, minlength=len(fragments))
+
+    def _remembered_ids(self, fragments: pa.Array, final: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct fragments in the byte alphabet, where each one's begin, and how many each has."""
+        known, ids, begin, used = self.known[final]
+        at = pc.fill_null(pc.index_in(fragments, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = np.flatnonzero(at < 0)
+        new = fragments.take(pa.array(fresh))
+        new_ids, n = self._model_ids(new, final)
+        ids, begin = np.concatenate((ids, new_ids)), np.concatenate((begin, begin[-1] + np.cumsum(n)))
+        used = np.concatenate((used, np.zeros(len(new), bool)))
+        used[at[at >= 0]] = True
+        at[fresh] = len(known) + np.arange(len(new))
+        known = pa.concat_arrays([known, new])
+        if len(known) <= KNOWN and len(ids) <= KNOWN_IDS:
+            self.known[final] = known, ids, begin, used
+        else:
+            keep = np.flatnonzero(used)
+            size = np.cumsum(begin[keep + 1] - begin[keep])
+            keep = keep[(np.arange(len(keep)) < KNOWN // 2) & (size <= KNOWN_IDS // 2)]
+            size = begin[keep + 1] - begin[keep]
+            self.known[final] = (known.take(pa.array(keep)), _gather(ids, begin[keep], size),
+                                 np.concatenate(([0], np.cumsum(size))), np.zeros(len(keep), bool))
+        return ids, begin[at], begin[at + 1] - begin[at]
 
     def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of not empty words, end to end, and how many each has. Distinct words, then distinct fragments, are encoded once."""
@@ -141,10 +180,10 @@ class Codec:
         for kind in (False, True):
             some = np.flatnonzero(final == kind)
             different = fragments.take(pa.array(some)).dictionary_encode()
-            ids, n = self._model_ids(different.dictionary, kind)
+            ids, begin, n = self._remembered_ids(different.dictionary, kind)
             index = different.indices.to_numpy(zero_copy_only=False)
             counts[some] = n[index]
-            base[some] = (at + np.cumsum(n) - n)[index]
+            base[some] = (at + begin)[index]
             parts.append(ids)
             at += len(ids)
         of_word, per_word = _gather(np.concatenate(parts), base, counts), np.add.reduceat(counts, first[:-1]) if len(counts) else counts

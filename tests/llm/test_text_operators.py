@@ -279,3 +279,27 @@ def test_shards(spark, crafted, docs, empty):
 @pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4096, 70_001])
 def test_permutation(n):
     assert sorted(sharding.permute(np.arange(n), n, 3)) == list(range(n))
+
+
+def test_whole_characters_are_cut(spark):
+    """A repeat that begins inside a character; with `whole` the rest of it goes, and a text without repeats stays."""
+    same = "b" * 250
+    docs = frame(spark, [(1, "x\u00e9" + same, "en", "s"), (2, "y\u00a9" + same, "en", "s"), (3, "\u00e9", "en", "s"),
+                         (4, None, "en", "s")])
+    kept = lambda whole: {r.doc_id: bytes(r.kept) for r in suffix_dedup.without_repeats(
+        docs, carry=["doc_id"], whole=whole).select("row.doc_id", "kept").collect()}
+    assert kept(False) == {1: b"x\xc3", 2: b"y\xc2", 3: "\u00e9".encode(), 4: b""}
+    assert kept(True) == {1: b"x", 2: b"y", 3: "\u00e9".encode(), 4: b""}
+
+
+def test_remembered_fragments_do_not_change_ids(monkeypatch):
+    """Few fragments are remembered: some are forgotten between slices, some stay, ids are those of a fresh encoder."""
+    path, words = PATH, ["the", "theatre", "unbelievable", "zxqj", "Kolmogorov", "\u00e9t\u00e9", "12", "..."]
+    texts = [" ".join(words[i % 8] + words[(i * j) % 8] for j in range(1, 9)) for i in range(40)] + ["", None, "<|"]
+    fresh = [bpe.Codec(path).encode_all(pa.array([t], pa.string()))[0].tolist() for t in texts[:4]]
+    whole, counts = bpe.Codec(path).encode_all(pa.array(texts, pa.string()))
+    monkeypatch.setattr(bpe, "KNOWN", 6)
+    codec = bpe.Codec(path)
+    again = [codec.encode_all(pa.array([t], pa.string()))[0].tolist() for t in texts]
+    assert again[:4] == fresh and sum(again, []) == whole.tolist() and [len(x) for x in again] == counts.tolist()
+    assert all(len(known[0]) <= 6 for known in codec.known)
