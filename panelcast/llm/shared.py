@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from panelcast.sources.storage import discard, materialise
 
-#: A side of a join is broadcast only if it was written, counted, and has at most so many bytes of plain values.
-BROADCAST_BYTES = 32 << 20
+#: A side of a join is broadcast only if it was written, counted, and has at most so many bytes of plain values. The driver
+#: holds it some times over (rows, hash table, blocks), and earlier ones until they are collected.
+BROADCAST_BYTES = 8 << 20
 ROW_OVERHEAD = 48
 
 #: Bytes of an Arrow batch between Spark and Python where texts or token lists pass. Task and worker each hold it some times over.
