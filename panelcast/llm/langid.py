@@ -12,17 +12,22 @@ no training rows every text is `und`. Letters are Unicode letters; case is folde
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.hashing import CHUNK
+from panelcast.llm.shared import small_batches
 
 #: Ranks of a language profile and n-grams of a text that are compared.
 RANKS = 400
 #: Characters counted at once.
 PIECE = CHUNK
+#: Entries (n-gram, count) of texts that a task adds up at once.
+HELD = 1 << 18
 UNKNOWN = "und"
 SPACE = 1  # marks the ends of words
 
@@ -93,19 +98,37 @@ def ranked(codes: np.ndarray, counts: np.ndarray, top: int = RANKS) -> np.ndarra
     return codes[np.argsort(-counts, kind="stable")[:top]]
 
 
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, where = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    return codes, np.bincount(where, np.concatenate([f[1] for f in found]), minlength=len(codes)).astype(np.int64)
+
+
+def tallies(texts: Iterable[tuple[str, str]], held: int = HELD) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(language, n-gram codes, counts) of (language, text) pairs; a language may come more than once.
+
+    About `held` entries, and those of one text, are in memory at a time.
+    """
+    found: dict[str, list] = {}
+    size = 0
+    for lang, text in texts:
+        found.setdefault(lang, []).append(grams(text))
+        size += len(found[lang][-1][0])
+        if size > held:
+            found = {lang: [_merged(parts)] for lang, parts in found.items()}
+            size = sum(len(parts[0][0]) for parts in found.values())
+            if size > held // 2:  # little in common
+                yield from ((lang, *parts[0]) for lang, parts in found.items())
+                found, size = {}, 0
+    yield from ((lang, *_merged(parts)) for lang, parts in found.items())
+
+
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ranks: int = RANKS) -> dict[str, list[int]]:
     """Profiles: language -> ranked n-gram codes, counted over all rows with a label and a text."""
 
     def count(batches):
-        for b in batches:
-            sums: dict[str, list] = {}
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sums.setdefault(lang, []).append(grams(text))
-            for lang, found in sums.items():
-                codes, where = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([f[1] for f in found]), minlength=len(codes)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()),
-                                                  pa.array(codes.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+        for lang, codes, n in tallies((lang.as_py(), text.as_py()) for b in batches for lang, text in zip(b.column(0), b.column(1))):
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(codes)), pa.array(codes.astype(np.int64)),
+                                              pa.array(n)], ["lang", "gram", "n"])
 
     totals = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(lang_col, text_col)
               .mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -113,7 +136,8 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ra
     bucket = F.pmod(F.xxhash64("gram"), F.lit(64)).alias("bucket")
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "gram"))), 1, ranks)
     top = totals.groupBy("lang", bucket).agg(best.alias("g")).select("lang", F.explode("g").alias("g"))
-    profiles = top.groupBy("lang").agg(F.transform(best_of("g", ranks), lambda s: s["gram"]).alias("grams")).collect()
+    with small_batches(docs.sparkSession):
+        profiles = top.groupBy("lang").agg(F.transform(best_of("g", ranks), lambda s: s["gram"]).alias("grams")).collect()
     return {r.lang: list(r.grams) for r in sorted(profiles, key=lambda r: r.lang)}
 
 
@@ -133,8 +157,8 @@ def predict(text: Column, profiles: dict[str, list[int]], ranks: int = RANKS) ->
     @F.arrow_udf("struct<lang string, score double>")
     def nearest(texts: pa.Array) -> pa.Array:
         names, scores = [], []
-        for t in texts.to_pylist():
-            codes, counts = grams(t or "")
+        for t in texts:  # one at a time
+            codes, counts = grams(t.as_py() or "")
             if not len(codes) or not len(langs):
                 names.append(UNKNOWN)
                 scores.append(0.0)
