@@ -31,8 +31,8 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from panelcast.llm.hashing import GOLDEN, Substrings, chunks, mix, text_bytes
-from panelcast.llm.shared import BATCH_BYTES, BROADCAST_BYTES, sized, small_batches
-from panelcast.sources.storage import materialise
+from panelcast.llm.shared import BATCH_BYTES, sized, small_batches
+from panelcast.sources.storage import discard, materialise
 
 LENGTH = 200
 #: Bytes of a gram; a window of 200 bytes holds 151 of them.
@@ -121,24 +121,55 @@ def _places(length: int, gram: int):
     return run
 
 
+def _pieces(length: int):
+    """The bytes that each text's runs cover, end to end, and where these pieces stand: (text_key, text, pieces, runs)."""
+    def run(batches):
+        for b in _parts(_first_copies(batches)):
+            data, offsets = text_bytes(b.column(1))
+            items = b.column(2).flatten()
+            text = np.repeat(np.arange(len(b)), np.diff(b.column(2).offsets.to_numpy()))
+            low, high = (offsets[text] + items.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high"))
+            order = np.argsort(low, kind="stable")  # also by text
+            text, low, end = text[order], low[order], high[order] + length
+            far = np.maximum.accumulate(end)
+            fresh = np.concatenate(([True], (text[1:] != text[:-1]) | (low[1:] > far[:-1])))[: len(low)]
+            start, stop = low[fresh], far[np.concatenate((fresh[1:], [True]))[: len(low)]]
+            count = np.bincount(text[fresh], minlength=len(b))
+            begin = np.concatenate(([0], np.cumsum(stop - start)))
+            edges = np.concatenate(([0], np.cumsum(count)))
+            inside = np.zeros(len(data) + 1, np.int8)
+            inside[start] += 1
+            inside[stop] -= 1  # where the next text's piece may start
+            kept = data[np.cumsum(inside, dtype=np.int8)[:-1].view(bool)]
+            pieces = pa.StructArray.from_arrays([pa.array(start - offsets[text[fresh]]), pa.array(stop - start)], ["start", "size"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.Array.from_buffers(pa.binary(), len(b), [None, pa.py_buffer(begin[edges].astype(np.int32)), pa.py_buffer(kept)]),
+                 pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pieces), b.column(2)],
+                ["text_key", "text", "pieces", "runs"])
+    return run
+
+
 def _cut_runs(length: int, step: int):
-    """Runs of each text cut into runs of `step` windows, at multiples of `step` from the place."""
+    """Runs of each text, given by its pieces, cut into runs of `step` windows, at multiples of `step` from the place."""
     def run(batches):
-        for b in _first_copies(batches):
+        for b in batches:
             keys = b.column(0).to_numpy()
             data, offsets = text_bytes(b.column(1))
-            first_run, items = b.column(2).offsets.to_numpy(), b.column(2).flatten()
+            first_piece, pieces = b.column(2).offsets.to_numpy(), b.column(2).flatten()
+            start, size = (pieces.field(c).to_numpy(zero_copy_only=False) for c in ("start", "size"))
+            first_run, items = b.column(3).offsets.to_numpy(), b.column(3).flatten()
             columns = [items.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high", "at", "single")]
             for i, j in chunks(offsets):
-                part, own = data[offsets[i]: offsets[j]], offsets[i:j] - offsets[i]
+                part = data[offsets[i]: offsets[j]]
                 area = Substrings(part, 0), Substrings(part, 1)
                 text = np.repeat(np.arange(j - i), np.diff(first_run[i: j + 1]))
                 low, high, at, single = (c[first_run[i]: first_run[j]] for c in columns)
+                base = _origins(i, j, text, low, first_piece, start, size)
                 near, far = (at - high) // step, (at - low) // step
                 n = far - near + 1
                 row = np.repeat(np.arange(len(n)), n)
                 block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[row]
-                base, at = own[text[row]], at[row]
+                base, at = base[row], at[row]
                 last, first = at - block * step, at - block * step - step + 1
                 # The bytes that the block's windows share, whether or not all of them belong to the run.
                 core = area[1].hash(base + last, base + first + length)
@@ -151,6 +182,19 @@ def _cut_runs(length: int, step: int):
     return run
 
 
+def _origins(i: int, j: int, text, low, first_piece, start, size) -> np.ndarray:
+    """Where the text of each run would start in the bytes of texts i to j, going by the piece that holds the run."""
+    start, size = (c[first_piece[i]: first_piece[j]] for c in (start, size))
+    of = np.repeat(np.arange(j - i), np.diff(first_piece[i: j + 1]))
+    # Pieces and runs by text, then position; a run's piece is the last that does not start after it.
+    both = np.lexsort((np.repeat((0, 1), (len(of), len(text))), np.concatenate((start, low)), np.concatenate((of, text))))
+    piece = np.maximum.accumulate(np.where(both < len(of), both, 0))
+    runs = both >= len(of)
+    at = np.zeros(len(text), np.int64)
+    at[both[runs] - len(of)] = piece[runs]
+    return (np.cumsum(size) - size - start)[at]
+
+
 def merged(intervals: DataFrame) -> DataFrame:
     """(text_key, spans): the maximal runs covered by (text_key, low, high), high excluded, sorted."""
     line = Window.partitionBy("text_key").orderBy("low", "high")
@@ -169,10 +213,15 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, t
                          .where("copies > 1"), "suffix-copies")
     spans, runs = _settled(texts.mapInArrow(_places(length, gram), RUN), "places")
     parts = [spans]
+    # The texts move once, to meet their runs; what is cut after that are the pieces that runs cover.
+    schema = f"text_key long, text binary, pieces array<struct<start long, size long>>, runs {runs.schema['runs'].dataType.simpleString()}"
+    covered = pieces = materialise(texts.join(runs, "text_key").select("text_key", "text", "runs").mapInArrow(_pieces(length), schema),
+                                   "suffix-pieces")
     for step, name in ((SHORT, "short"), (1, "single")):
-        sources = texts.join(_sized_lists(runs, "runs", 40), "text_key").select("text_key", "text", "runs")
-        spans, runs = _settled(sources.mapInArrow(_cut_runs(length, step), RUN), name)
+        spans, runs = _settled(covered.mapInArrow(_cut_runs(length, step), RUN), name)
         parts.append(spans)
+        covered = pieces.drop("runs").join(runs, "text_key")
+    discard(pieces)
     all_spans = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("high", F.col("high") + length)
     known = copies.select("text_key", F.lit(0).cast("long").alias("low"), F.col("size").alias("high"))
     return merged(all_spans.unionByName(known))
@@ -204,12 +253,6 @@ def _settled(runs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return spans, materialise(cut.groupBy("text_key").agg(F.collect_list(run).alias("runs")), f"suffix-{name}-cut")
 
 
-def _sized_lists(written: DataFrame, col: str, item_bytes: int) -> DataFrame:
-    """A written table for broadcast if its lists are small in sum; else left to a shuffle."""
-    n, items = written.agg(F.count("*"), F.coalesce(F.sum(F.size(col)), F.lit(0))).first()
-    return F.broadcast(written) if items * item_bytes + n * 40 <= BROADCAST_BYTES else written
-
-
 def key_of(text: Column) -> Column:
     """A number that stands for a text."""
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(9))
@@ -249,7 +292,6 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     the bytes left, `kept`. With `whole`, a character that lost some of its bytes goes from `kept`."""
     with small_batches(docs.sparkSession):
         found = materialise(repeated_spans(docs, length=length, gram=gram, text_col=text_col), "suffix-spans")
-    found = _sized_lists(found, "spans", 16)
     rows = docs.select(F.struct(*(carry or docs.columns)).alias("row"), key_of(F.col(text_col)).alias("text_key"),
                        F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("bytes"))
     joined = rows.join(found, "text_key", "left").select("row", "bytes", "spans")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 from typing import TypeVar
 from weakref import WeakKeyDictionary
@@ -36,10 +37,31 @@ def new_run_id() -> str:
 _STAGES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
+#: Spark removes an execution's shuffle files at its end, not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go with them. A caller's own setting holds; frames computed later are left alone."""
+    if spark.conf.get(SHUFFLES_GO, None) is not None:  # also by another thread: then these files may stay a while
+        yield
+        return
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO)
+
+
 def materialise(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
-    """Cut lineage by writing the frame to the shared folder and reading it back; at most `file_rows` rows a file, if set."""
+    """Cut lineage by writing the frame to the shared folder and reading it back; at most `file_rows` rows a file, if set.
+
+    What was shuffled for it is not read again once it is written, and is removed.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     _STAGES[written] = path
     return written

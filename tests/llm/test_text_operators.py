@@ -1,6 +1,7 @@
 """Each text operator against its plain version on crafted rows, with nulls, ties, repeats, empty tables, clashes."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -57,6 +58,27 @@ def test_bpe_round_trip(docs, crafted, empty):
     assert empty.select(bpe.encode(F.col("text"), PATH)).count() == 0
 
 
+def test_language_training_adds_up_in_bounded_memory():
+    """A task's n-grams are added up as they come; 3,000 texts at once took 16 bytes for each of their n-grams, some times over."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    pairs = [("ab"[i % 2], " ".join(rng.choices(words, k=120))) for i in range(3000)]
+    want = {lang: langid._merged([langid.grams(t) for x, t in pairs if x == lang]) for lang in "ab"}
+    for held in (langid.HELD, 700):  # the last is less than one language has
+        tracemalloc.start()
+        got = {}
+        for lang, codes, n in langid.tallies(iter(pairs), held):
+            got.setdefault(lang, []).append((codes, n))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        if held == langid.HELD:
+            assert [len(v) for v in got.values()] == [1, 1] and peak < 20 << 20
+        for lang, (codes, n) in want.items():
+            total = langid._merged(got[lang])
+            assert (total[0] == codes).all() and (total[1] == n).all()
+    assert list(langid.tallies(iter([]))) == []
+
+
 def test_bpe_any_text():
     rng = random.Random(1)
     alphabet = "aeinrst 'sSdDłßƁȺvelm\n\t0½²日Σςİé́ͅ ​\x00\x1c\x85!?#$<|endoftext|>\U0001f600"
@@ -184,6 +206,27 @@ def test_repeats(docs, crafted, empty):
     assert "text_key" in suffix_dedup.without_repeats(docs).select("row.*").columns
 
 
+def test_repeats_move_pieces():
+    """A text meets its runs once; what goes on to be cut are the bytes that the runs cover, and each run's bytes are in them."""
+    texts, runs = [bytes(range(60)), bytes(range(60, 160))], [[(40, 44), (3, 5), (6, 9)], [(0, 0), (30, 90)]]
+    cells = [[{"low": low, "high": high, "at": low, "single": True} for low, high in r] for r in runs]
+    lists = pa.array(cells, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("at", pa.int64()), ("single", pa.bool_())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(texts, pa.binary()), lists], ["text_key", "text", "runs"])
+    (got,) = suffix_dedup._pieces(10)([batch])
+    assert got.column(0).to_pylist() == [7, 8] and got.column(3).to_pylist() == cells
+    spans = [[(p["start"], p["size"]) for p in x] for x in got.column(2).to_pylist()]
+    assert spans == [[(3, 16), (40, 14)], [(0, 10), (30, 70)]]
+    assert got.column(1).to_pylist() == [b"".join(t[a:a + n] for a, n in x) for t, x in zip(texts, spans)]
+    (cut,) = suffix_dedup._cut_runs(10, 5)([got])
+    key, low, high, at, area = (cut.column(c).to_numpy() for c in ("text_key", "low", "high", "at", "area_a"))
+    for k, text, own in zip((7, 8), texts, runs):
+        some = key == k
+        assert {w for a, b in zip(low[some], high[some]) for w in range(a, b + 1)} == {w for a, b in own for w in range(a, b + 1)}
+        shape = (at - low).astype(np.uint64) * suffix_dedup.GOLDEN + (high - low).astype(np.uint64)
+        whole = suffix_dedup.Substrings(np.frombuffer(text, np.uint8)).hash(low[some], high[some] + 10)
+        assert (suffix_dedup.mix(whole + shape[some]).view(np.int64) == area[some]).all()
+
+
 def test_repeats_random_overlaps(spark):
     rng = random.Random(11)
     pieces = ["".join(rng.choice("ab ") for _ in range(rng.randrange(30, 260))) for _ in range(12)]

@@ -154,3 +154,22 @@ def test_checks_on_an_empty_frame(spark):
 def test_warnings_do_not_abort(spark):
     df = spark.createDataFrame([("a", "b", "1", "2020-01-01")] * 3, "k string, j string, v string, d string")
     quality.assert_no_errors(quality.validate("t", df, quality.CheckSpec((), ("v",), ("k", "j"), "d", 1)))
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What a written frame shuffled is removed; the setting is put back, a caller's own holds, and frames stay good."""
+    key, seen = storage.SHUFFLES_GO, []
+    frame = spark.range(100).repartition(3).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    with storage.shuffles_removed(spark):
+        seen.append(spark.conf.get(key, None))
+        with storage.shuffles_removed(spark):
+            pass
+        seen.append(spark.conf.get(key, None))
+    assert seen == ["true", "true"] and spark.conf.get(key, None) is None
+    spark.conf.set(key, "false")
+    with storage.shuffles_removed(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key) == "false"
+    spark.conf.unset(key)
+    first, second = storage.materialise(frame, "once"), storage.materialise(frame, "twice")
+    assert frame.count() == first.join(second, ["k", "n"]).count() == 7
