@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import bpe, exact_dedup, langid, ngram_join, packing, suffix_dedup
 from panelcast.llm.queries import END_ID, documents, tokenizer_path
-from panelcast.llm.shared import small_batches, without_ids
+from panelcast.llm.shared import sized, small_batches, without_ids
 from panelcast.sources.storage import materialise
 
 #: A text of n characters stays with a confidence (score x letters among letters and digits) of n ** -SHORT at least, but
 #: never less than LEAST or more than MOST: one cut that falls with the length, without a step. See `confident`.
 LEAST, SHORT, MOST = 0.24, 1 / 3, 0.45
 
-#: The column that tells rows apart where ids do not.
+#: The column that tells rows apart where ids do not, unless they are alike in all columns.
 ROW = "_pipeline_row"
 #: The column that tells empty texts from none.
 NO_TEXT = "_pipeline_no_text"
@@ -61,27 +61,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("p.lang") != langid.UNKNOWN) & confident(F.col("row.text"), F.col("p.score"))).select("row.*")
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """`docs`, written with a column ROW that differs in every row and orders them by id, nulls last.
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a column ROW that orders the rows by id, nulls last, and is equal only in rows alike in all columns.
 
-    Rows of one id are ordered by their content, so that only rows alike in all columns depend on the numbers given.
+    It follows from the row's content (two 64-bit hashes, the second also of which columns are null), so nothing is written.
     """
+    nulls = F.concat(*(F.col(c).isNull().cast("string") for c in docs.columns))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
-                   F.xxhash64(*docs.columns).alias("content"), F.monotonically_increasing_id().alias("number"))
-    return materialise(docs.withColumn(ROW, row), name)
+                   F.xxhash64(*docs.columns).alias("content"), F.xxhash64(nulls, *docs.columns).alias("again"))
+    return docs.withColumn(ROW, row)
 
 
 def without_rows(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    return without_ids(docs, materialise(gone.select(F.col("doc_id").alias(ROW)), name), ROW).drop(ROW)
+    """`numbered` rows but those in `gone`; of rows alike in all columns one."""
+    left = without_ids(docs, materialise(gone.select(F.col("doc_id").alias(ROW)), name), ROW)
+    twins = materialise(docs.groupBy(ROW).agg(F.count("*").alias("n")).where("n > 1").select(ROW), f"{name}-twins")
+    if not twins.isEmpty():
+        once = left.join(sized(twins, 40), ROW, "left_semi").dropDuplicates([ROW])
+        left = without_ids(left, twins, ROW).unionByName(once)
+    return left.drop(ROW)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = numbered(docs, "pipeline-exact-rows")
+    docs = numbered(docs)
     return without_rows(docs, exact_dedup.exact_groups(docs, id_col=ROW).where("NOT kept"), "pipeline-exact")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = numbered(docs, "pipeline-near-rows")
+    docs = numbered(docs)
     groups = ngram_join.jaccard_components(docs, k=5, num=8, den=10, id_col=ROW)
     return without_rows(docs, groups.where("doc_id <> component_id"), "pipeline-near")
 

@@ -66,6 +66,21 @@ def test_copies_go_by_row(spark):
     assert docs.count() == 7 and left == {(1, a), (2, b), (3, c), (4, d), (None, e), (5, f), (6, g)}
 
 
+def test_rows_that_differ_in_nulls_and_no_copy_of_the_corpus(spark, monkeypatch):
+    """Rows of one id and text that differ in which column is null are two rows, one goes; no stage writes the texts again."""
+    rng = random.Random(9)
+    a, b = prose(rng, 80), prose(rng, 80)
+    rows = [(1, a, "x", None), (1, a, None, "x"), (2, b, "x", None), (2, b, "x", None), (2, b, "x", None)]
+    docs = frame(spark, rows).select(*COLUMNS)
+    written, write = [], cp.materialise
+    monkeypatch.setattr(cp, "materialise", lambda df, name, *more: written.append(df.columns) or write(df, name, *more))
+    for name in ("exact", "near"):
+        left = STAGE[name](spark, docs, "").collect()
+        assert sorted((r.doc_id, r.text) for r in left) == [(1, a), (2, b)]
+    assert written and not any("text" in columns for columns in written)
+    assert cp.numbered(docs).select(cp.ROW).distinct().count() == 3
+
+
 def test_noise_goes_and_short_prose_stays(spark, root):
     rng = random.Random(6)
     learn = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
