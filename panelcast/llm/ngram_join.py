@@ -12,7 +12,10 @@ n-grams, and it is cut into fragments twice:
    set's size band; a set also takes part in the band below if a partner may lie there. Cuts are spare, so that fragments
    of less than two n-grams (which many documents share by chance) need not be shipped: they are, for exactly those
    documents that have too many of them for the argument to hold.
-2. Verification. Sets connected by candidates are brought together. The partial overlaps of a pair are counted fragment
+2. Filter. A fragment that many texts share by chance would connect most of a corpus. Each set has parities of its n-grams over a
+   fixed number of bits; two sets differ in at least as many n-grams as bits. Candidates with too many different bits cannot
+   link and connect nothing, which is exact; only for sets much larger than the bits it rules out little.
+3. Verification. Sets connected by candidates are brought together. The partial overlaps of a pair are counted fragment
    by fragment and summed per pair, and a pair is given up as soon as the fragments left cannot lift it to the threshold.
 
 Equal sets are one node. Pairs never leave the task that counts them: it returns a spanning forest of the links it
@@ -45,7 +48,11 @@ BAND = 1.5
 #: Sets that a task remembers having shipped.
 SEEN = 500_000
 #: Sets of a block, and of all small clusters in a task.
-BLOCK = 1024
+BLOCK = 512
+#: Bits of a set that bound the differences of two sets from below.
+BITS = 1024
+#: Members of signatures, about, that a task compares by their bits.
+BIN = 50_000
 
 
 def bands(top: int) -> list[int]:
@@ -69,6 +76,17 @@ def set_ids(tokens: np.ndarray, where: np.ndarray) -> np.ndarray:
     return mix(sums[where[1:]] - sums[where[:-1]] + GOLDEN * np.diff(where).astype(np.uint64)).view(np.int64)
 
 
+def parities(tokens: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """`BITS` bits per set: whether an odd number of its n-grams fall on each. One n-gram more or less changes one bit."""
+    out = np.zeros((len(where) - 1, BITS // 8), np.uint8)
+    for i in range(0, len(out), 512):
+        n = np.diff(where[i: i + 513])
+        cell = np.repeat(np.arange(len(n)) * BITS, n) + (tokens[where[i]: where[i + len(n)]] % np.uint64(BITS)).astype(np.int64)
+        odd = np.bincount(cell, minlength=len(n) * BITS) & 1
+        out[i: i + len(n)] = np.packbits(odd.astype(bool).reshape(len(n), BITS), axis=1)
+    return out
+
+
 def signatures(tokens: np.ndarray, where: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(index of the set, signature) of every fragment that must be shipped."""
     sizes = np.diff(where)
@@ -122,13 +140,17 @@ def _per_chunk(texts: pa.Array, k: int):
 def _narrow(k: int):
     def run(batches):
         for b in batches:
-            n, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            n, ids, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, BITS // 8), np.uint8)]
             for _, _, tokens, where in _per_chunk(b.column(1), k):
                 n.append(np.diff(where))
                 ids.append(set_ids(tokens, where))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(n), pa.int64()),
-                                              pa.array(np.concatenate(ids), pa.int64())],
-                                             ["doc_id", "n_shingles", "set_id"])
+                bits.append(parities(tokens, where))
+            bits = np.concatenate(bits)
+            ends = pa.array(np.arange(len(bits) + 1) * (BITS // 8), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(ids), pa.int64()),
+                 pa.Array.from_buffers(pa.binary(), len(bits), [None, ends.buffers()[1], pa.py_buffer(bits)])],
+                ["doc_id", "n_shingles", "set_id", "bits"])
     return run
 
 
@@ -165,7 +187,8 @@ class Block:
         self.num, self.den = num, den
         at, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
         flat, at = flat[at[0]: at[-1]], at - at[0]
-        known, self.tokens = np.unique(flat, return_inverse=True)
+        known = np.unique(flat)
+        self.tokens = np.searchsorted(known, flat).astype(np.int32)  # less memory than an inverse of the sort
         self.size = np.diff(at)
         # Where each fragment of each set begins; the last column is the end.
         edges = np.linspace(0, len(known), FRAGMENTS + 1).astype(np.int64)
@@ -230,18 +253,82 @@ def forest(table: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Pairs (a, b) that connect all sets of one signature whose bits differ no more than those of a link may.
+
+    Members of two blocks are compared across only.
+    """
+    table = table.combine_chunks()
+    across = bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
+    sig, node, own = (table.column(c).to_numpy() for c in ("sig", "node", "own"))
+    nodes, first, at = np.unique(node, return_index=True, return_inverse=True)
+    size = table.column("size").to_numpy()[first]
+    bits = text_bytes(table.column("bits").take(pa.array(first)))[0].view(np.uint64).reshape(len(nodes), -1)
+    order = np.lexsort((node, sig))
+    sig, own, at = sig[order], own[order], at[order]
+    label = np.arange(len(nodes))
+    a, b = [], []
+    rows, shift = np.arange(len(sig)), 0
+    while len(rows):
+        shift += 1
+        rows = rows[rows + shift < len(sig)]
+        rows = rows[sig[rows + shift] == sig[rows]]
+        fresh = label[at[rows]] != label[at[rows + shift]]
+        if across:
+            fresh &= own[rows] != own[rows + shift]
+        x, y = at[rows[fresh]], at[rows[fresh] + shift]
+        for k in range(0, len(x), 1 << 14):
+            p, q = x[k: k + (1 << 14)], y[k: k + (1 << 14)]
+            differ = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
+            for u, v in zip(*(c[differ * (num + den) <= (size[p] + size[q]) * (den - num)].tolist() for c in (p, q))):
+                r, t = u, v
+                while label[r] != r:
+                    r = label[r]
+                while label[t] != t:
+                    t = label[t]
+                if r != t:
+                    label[max(r, t)] = min(r, t)
+                    a.append(nodes[u])
+                    b.append(nodes[v])
+        while (label != label[label]).any():
+            label = label[label]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def candidates(shared: DataFrame, narrow: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) that connect all pairs of `shared` (sig, node), a written table, that may link.
+
+    Small signatures share a task; of a large one, each pair of blocks is a task.
+    """
+    marks = (narrow.where("doc_id IS NOT NULL").select(F.col("set_id").alias("node"), F.col("n_shingles").alias("size"), "bits")
+             .dropDuplicates(["node"]))
+    hot = (shared.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+           .select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    hot = sized(materialise(hot, "ngram-hot"), 12)
+    bins = max(1, -(-shared.count() // BIN))
+    placed = shared.join(hot, "sig", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("large", F.col("blocks") > 1).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "bin", F.when(F.col("large"), F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(bins)))).withColumn(
+        "partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("sig", "node", "large", "bin", "own", F.least("own", "partner").alias("i"),
+                           F.greatest("own", "partner").alias("j"))
+    return (placed.join(marks, "node").groupBy("large", "bin", "i", "j")
+            .applyInArrow(lambda t: near_bits(t, num, den), "a long, b long"))
+
+
 def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_col: str) -> DataFrame | None:
     """(node, root): components of sets under links, for sets that link at all."""
     docs = docs.where("doc_id IS NOT NULL")
     rows = docs.select(text_col).mapInArrow(_postings(k, num, den), "sig long, node long")
     box = Window.partitionBy("sig")
     shared = (rows.withColumn("low", F.min("node").over(box)).withColumn("high", F.max("node").over(box))
-              .where("low <> high").select("sig", "node", "low"))
+              .where("low <> high").select("sig", "node"))
     with small_batches(docs.sparkSession):
         shared = materialise(shared, "ngram-postings")
+        pairs = materialise(candidates(shared, narrow, num, den), "ngram-candidates")
     members = (shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")))  # at most a set's own fragments
-    clusters = with_roots(components(shared.select(F.col("node").alias("a"), F.col("low").alias("b")), "ngram-clusters"))
-    clusters = materialise(clusters, "ngram-clusters")
+    clusters = materialise(with_roots(components(pairs, "ngram-clusters")), "ngram-clusters")
     if clusters.isEmpty():
         return None
     # One document speaks for each candidate set; its text is read again for the set itself.
@@ -269,7 +356,7 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, num: int = 8, den: int =
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; documents link at Jaccard similarity >= num / den."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long"
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long, bits binary"
     with small_batches(docs.sparkSession):
         narrow = materialise(docs.mapInArrow(_narrow(k), schema), "ngram-sets")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()

@@ -198,6 +198,34 @@ def test_similar_sets_share_a_signature():
             assert set(sig[row == 0]) & set(sig[row == 1])
 
 
+def test_chance_fragments_connect_no_candidates(spark, monkeypatch):
+    """Texts that share a fragment by chance were one cluster, sent to each of its blocks; now only possible links connect."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(60):
+        text = prose(rng, 60)
+        rows += [(2 * i, text), (2 * i + 1, text.rsplit(" ", 1)[0] + " odd")]
+    narrow = frame(spark, [(d, t, None, None) for d, t in rows]).select("doc_id", "text").mapInArrow(
+        ngram_join._narrow(3), "doc_id long, n_shingles long, set_id long, bits binary").persist()
+    sets = {r.doc_id: r.set_id for r in narrow.collect()}
+    # One signature that all share, and one of each pair.
+    shared = [(0, s) for s in sets.values()] + [(1 + d // 2, s) for d, s in sets.items()]
+    for block in (1024, 16):  # whole, and in pairs of blocks
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        got = ngram_join.candidates(spark.createDataFrame(shared, "sig long, node long"), narrow, 8, 10).collect()
+        assert {frozenset((r.a, r.b)) for r in got} == {frozenset((sets[2 * i], sets[2 * i + 1])) for i in range(60)}
+    narrow.unpersist()
+
+
+def test_bits_never_exceed_the_differences():
+    rng = np.random.default_rng(3)
+    whole = rng.integers(0, 1 << 63, 5000, np.uint64)
+    for size, change in ((1, 0), (1, 1), (30, 4), (400, 60), (4000, 900)):
+        x, y = np.sort(whole[:size]), np.sort(whole[change:size + change // 2])
+        bits = ngram_join.parities(np.concatenate((x, y)), np.array([0, len(x), len(x) + len(y)]))
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(x, y))
+
+
 def test_repeats(docs, crafted, empty):
     out = suffix_dedup.without_repeats(docs, carry=["doc_id"]).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in out.collect()}
