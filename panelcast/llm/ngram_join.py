@@ -13,8 +13,8 @@ n-grams, and it is cut into fragments twice:
    of less than two n-grams (which many documents share by chance) need not be shipped: they are, for exactly those
    documents that have too many of them for the argument to hold.
 2. Filter. A fragment that many texts share by chance would connect most of a corpus. Each set has parities of its n-grams over a
-   fixed number of bits; two sets differ in at least as many n-grams as bits. Candidates with too many different bits cannot
-   link and connect nothing, which is exact; only for sets much larger than the bits it rules out little.
+   number of bits that grows with it; two sets differ in at least as many n-grams as bits. Candidates with too many different
+   bits cannot link and connect nothing, which is exact.
 3. Verification. Sets connected by candidates are brought together. The partial overlaps of a pair are counted fragment
    by fragment and summed per pair, and a pair is given up as soon as the fragments left cannot lift it to the threshold.
 
@@ -49,7 +49,7 @@ BAND = 1.5
 SEEN = 500_000
 #: Sets of a block, and of all small clusters in a task.
 BLOCK = 512
-#: Bits of a set that bound the differences of two sets from below.
+#: Least bits of a set; they bound the differences of two sets from below.
 BITS = 1024
 #: Members of signatures, about, that a task compares by their bits.
 BIN = 50_000
@@ -76,17 +76,48 @@ def set_ids(tokens: np.ndarray, where: np.ndarray) -> np.ndarray:
     return mix(sums[where[1:]] - sums[where[:-1]] + GOLDEN * np.diff(where).astype(np.uint64)).view(np.int64)
 
 
-def parities(tokens: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """`BITS` bits per set: whether an odd number of its n-grams fall on each. One n-gram more or less changes one bit."""
-    out = np.zeros((len(where) - 1, BITS // 8), np.uint8)
-    for i in range(0, len(out), 512):
-        n = np.diff(where[i: i + 513])
-        cell = np.repeat(np.arange(len(n)) * BITS, n) + (tokens[where[i]: where[i + len(n)]] % np.uint64(BITS)).astype(np.int64)
-        odd = np.bincount(cell, minlength=len(n) * BITS) & 1
-        out[i: i + len(n)] = np.packbits(odd.astype(bool).reshape(len(n), BITS), axis=1)
+def parities(tokens: np.ndarray, where: np.ndarray) -> list[bytes]:
+    """Bits of each set, `BITS` or more, a power of two not below its size: whether an odd number of its n-grams fall on each.
+
+    One n-gram more or less changes one bit. Of twice the bits, the halves' difference are the bits.
+    """
+    out = []
+    for i, j in zip(where[:-1], where[1:]):
+        width = max(BITS, 1 << int(j - i - 1).bit_length()) if j > i else BITS
+        odd = np.bincount((tokens[i:j] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+        out.append(np.packbits(odd.astype(bool)).tobytes())
     return out
 
 
+def different_bits(bits: pa.Array):
+    """Function of two lists of rows of `bits`: in how many bits they differ, at the lesser width."""
+    data, offsets = text_bytes(bits)
+    words, offsets = data.view(np.uint64), offsets // 8
+    width = np.diff(offsets)
+    levels = np.unique(width)
+    tables, place = {}, {}
+    for w in levels:
+        rows = np.flatnonzero(width >= w)
+        place[w] = np.zeros(len(width), np.int64)
+        place[w][rows] = np.arange(len(rows))
+        tables[w] = np.empty((len(rows), w), np.uint64)
+        for own in levels[levels >= w]:
+            some = np.flatnonzero(width == own)
+            flat = words[offsets[some][:, None] + np.arange(own)].reshape(len(some), own // w, w)
+            tables[w][place[w][some]] = np.bitwise_xor.reduce(flat, axis=1)
+
+    def differ(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        out, least = np.zeros(len(p), np.int64), np.minimum(width[p], width[q])
+        for w in np.unique(least):
+            some, step = np.flatnonzero(least == w), max(1, (1 << 18) // int(w))
+            for k in range(0, len(some), step):
+                at = some[k: k + step]
+                pair = tables[w][place[w][p[at]]] ^ tables[w][place[w][q[at]]]
+                out[at] = np.bitwise_count(pair).sum(axis=1, dtype=np.int64)
+        return out
+    return differ
+
+
 def signatures(tokens: np.ndarray, where: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(index of the set, signature) of every fragment that must be shipped."""
     sizes = np.diff(where)
@@ -140,16 +171,14 @@ def _per_chunk(texts: pa.Array, k: int):
 def _narrow(k: int):
     def run(batches):
         for b in batches:
-            n, ids, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, BITS // 8), np.uint8)]
+            n, ids, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
             for _, _, tokens, where in _per_chunk(b.column(1), k):
                 n.append(np.diff(where))
                 ids.append(set_ids(tokens, where))
-                bits.append(parities(tokens, where))
-            bits = np.concatenate(bits)
-            ends = pa.array(np.arange(len(bits) + 1) * (BITS // 8), pa.int32())
+                bits += parities(tokens, where)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(ids), pa.int64()),
-                 pa.Array.from_buffers(pa.binary(), len(bits), [None, ends.buffers()[1], pa.py_buffer(bits)])],
+                 pa.array(bits, pa.binary())],
                 ["doc_id", "n_shingles", "set_id", "bits"])
     return run
 
@@ -263,7 +292,7 @@ def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
     sig, node, own = (table.column(c).to_numpy() for c in ("sig", "node", "own"))
     nodes, first, at = np.unique(node, return_index=True, return_inverse=True)
     size = table.column("size").to_numpy()[first]
-    bits = text_bytes(table.column("bits").take(pa.array(first)))[0].view(np.uint64).reshape(len(nodes), -1)
+    differ = different_bits(table.column("bits").take(pa.array(first)))
     order = np.lexsort((node, sig))
     sig, own, at = sig[order], own[order], at[order]
     label = np.arange(len(nodes))
@@ -279,8 +308,11 @@ def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
         x, y = at[rows[fresh]], at[rows[fresh] + shift]
         for k in range(0, len(x), 1 << 14):
             p, q = x[k: k + (1 << 14)], y[k: k + (1 << 14)]
-            differ = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
-            for u, v in zip(*(c[differ * (num + den) <= (size[p] + size[q]) * (den - num)].tolist() for c in (p, q))):
+            most = (size[p] + size[q]) * (den - num) // (num + den)
+            close = np.abs(size[p] - size[q]) <= most
+            p, q, most = p[close], q[close], most[close]
+            close = differ(p, q) <= most
+            for u, v in zip(p[close].tolist(), q[close].tolist()):
                 r, t = u, v
                 while label[r] != r:
                     r = label[r]
