@@ -52,7 +52,7 @@ BLOCK = 512
 #: Least bits of a set; they bound the differences of two sets from below.
 BITS = 1024
 #: Members of signatures, about, that a task compares by their bits.
-BIN = 50_000
+BIN = 20_000
 
 
 def bands(top: int) -> list[int]:
