@@ -19,9 +19,12 @@ n-grams, and it is cut into fragments twice:
    by fragment and summed per pair, and a pair is given up as soon as the fragments left cannot lift it to the threshold.
 
 Equal sets are one node. Pairs never leave the task that counts them: it returns a spanning forest of the links it
-found, and a pair that is connected already is not counted. Many small clusters share a task; a large one is cut into
-blocks, and each pair of blocks is a task of its own, so that a task's memory is bounded. No link between components is
-lost.
+found, and a pair that is connected already is not counted. Many small groups (signatures, clusters) share a task; a large
+one is cut into blocks, so that a task's memory is bounded, and is compared in rounds (`connected`): first each block in
+itself and with a few members of the first, then blocks up to 3, 15, 63 ... apart. After each round, what is connected is
+found, and only members outside a group's connected majority travel on to other blocks. So a group that is alike costs rows
+in proportion to its members, not a forest for each pair of its blocks; one without links inside is compared whole, by its
+nature, in bounded tasks. No link between components is lost.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. Rows without an id link with
 nothing and are their own component (null). Equal rows repeat. A text with fewer than k words is one shingle. Sets are
@@ -47,8 +50,12 @@ FRAGMENTS = 4
 BAND = 1.5
 #: Sets that a task remembers having shipped.
 SEEN = 500_000
-#: Sets of a block, and of all small clusters in a task.
+#: Sets of a block, of all small clusters in a task, and of those that visit a block in one.
 BLOCK = 512
+#: One in so many members of a large group's first block visits all its blocks in the first round.
+VISITORS = 64
+#: How many times farther the blocks of a round may lie apart than those of the round before.
+REACH = 4
 #: Least bits of a set; they bound the differences of two sets from below.
 BITS = 1024
 #: Members of signatures, about, that a task compares by their bits.
@@ -249,29 +256,39 @@ class Block:
         return others[both >= least]
 
 
-def forest(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Links (a, b) that connect the sets of one task; sets of two blocks are compared across only."""
-    nodes, own = table.column("node").to_numpy(), table.column("own").to_numpy()
-    across = bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
+def _classes(label: np.ndarray) -> np.ndarray:
+    """Labels numbered from 0."""
+    return np.unique(label, return_inverse=True)[1]
+
+
+def forest(table: pa.Table, num: int, den: int, within: bool) -> pa.Table:
+    """Links (a, b) that connect sets of one task not connected yet: all of a block, or those that visit with the block's.
+
+    Those with `seek` 2 meet members of the majority only.
+    """
+    nodes, seek, rest = (table.column(c).to_numpy() for c in ("node", "seek", "rest"))
+    here = seek == 0
     block = Block(table.column("tokens").combine_chunks(), num, den)
     sigs = table.column("sigs").combine_chunks()
     row = np.repeat(np.arange(len(nodes)), np.diff(sigs.offsets.to_numpy()))
     sig = sigs.flatten().to_numpy()
-    order = np.lexsort((row, sig))
+    order = np.lexsort((row, here[row], sig))  # those that visit first
     row, sig = row[order], sig[order]
     group = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
     end = np.repeat(np.append(group[1:], len(sig)), np.diff(np.append(group, len(sig))))
     by_row = np.argsort(row, kind="stable")
     first = np.searchsorted(row[by_row], np.arange(len(nodes) + 1))
-    label = np.arange(len(nodes))
+    label = _classes(table.column("label").to_numpy())
     a, b = [], []
-    for x in range(len(nodes)):
+    for x in range(len(nodes)) if within else np.flatnonzero(~here):
         spots = by_row[first[x]: first[x + 1]]
         parts = [row[s + 1: end[s]] for s in spots if s + 1 < end[s]]
         if not parts:
             continue
         others = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
-        others = others[(label[others] != label[x]) & (not across or own[others] != own[x])]
+        others = others[label[others] != label[x]]
+        if not within:
+            others = others[here[others] & ~((seek[x] == 2) & rest[others])]
         if not len(others):
             continue
         for y in block.linked(x, others):
@@ -282,30 +299,46 @@ def forest(table: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Pairs (a, b) that connect all sets of one signature whose bits differ no more than those of a link may.
+def _inside(grp: np.ndarray):
+    """All pairs of rows of one group, in arrays; rows are sorted by group."""
+    rows, shift = np.arange(len(grp)), 0
+    while len(rows):
+        shift += 1
+        rows = rows[rows + shift < len(grp)]
+        rows = rows[grp[rows + shift] == grp[rows]]
+        yield rows, rows + shift
+
+
+def _visits(seek: np.ndarray, rest: np.ndarray):
+    """Pairs of a row that visits and one of the block, in arrays."""
+    here, seekers = np.flatnonzero(seek == 0), np.flatnonzero(seek)
+    step = max(1, (1 << 14) // max(1, len(here)))
+    for k in range(0, len(seekers), step):
+        x, y = np.repeat(seekers[k: k + step], len(here)), np.tile(here, len(seekers[k: k + step]))
+        meet = (seek[x] == 1) | ~rest[y]
+        yield x[meet], y[meet]
+
 
-    Members of two blocks are compared across only.
+def near_bits(table: pa.Table, num: int, den: int, within: bool) -> pa.Table:
+    """Pairs (a, b) that connect the sets of one signature whose bits differ no more than those of a link may.
+
+    Sets not connected yet: all of a block, or those that visit with the block's, as in `forest`.
     """
     table = table.combine_chunks()
-    across = bool(table.column("i")[0].as_py() != table.column("j")[0].as_py())
-    sig, node, own = (table.column(c).to_numpy() for c in ("sig", "node", "own"))
+    grp, node, seek, rest = (table.column(c).to_numpy() for c in ("grp", "node", "seek", "rest"))
+    order = np.lexsort((node, grp))
+    grp, seek, rest = grp[order], seek[order], rest[order]
     nodes, first, at = np.unique(node, return_index=True, return_inverse=True)
+    at = at[order]
     size = table.column("size").to_numpy()[first]
     differ = different_bits(table.column("bits").take(pa.array(first)))
-    order = np.lexsort((node, sig))
-    sig, own, at = sig[order], own[order], at[order]
-    label = np.arange(len(nodes))
+    own = _classes(table.column("label").to_numpy()[first])
+    label = np.arange(own.max() + 1)
     a, b = [], []
-    rows, shift = np.arange(len(sig)), 0
-    while len(rows):
-        shift += 1
-        rows = rows[rows + shift < len(sig)]
-        rows = rows[sig[rows + shift] == sig[rows]]
-        fresh = label[at[rows]] != label[at[rows + shift]]
-        if across:
-            fresh &= own[rows] != own[rows + shift]
-        x, y = at[rows[fresh]], at[rows[fresh] + shift]
+    for x, y in _inside(grp) if within else _visits(seek, rest):
+        x, y = at[x], at[y]
+        fresh = label[own[x]] != label[own[y]]
+        x, y = x[fresh], y[fresh]
         for k in range(0, len(x), 1 << 14):
             p, q = x[k: k + (1 << 14)], y[k: k + (1 << 14)]
             most = (size[p] + size[q]) * (den - num) // (num + den)
@@ -313,7 +346,7 @@ def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
             p, q, most = p[close], q[close], most[close]
             close = differ(p, q) <= most
             for u, v in zip(p[close].tolist(), q[close].tolist()):
-                r, t = u, v
+                r, t = own[u], own[v]
                 while label[r] != r:
                     r = label[r]
                 while label[t] != t:
@@ -327,26 +360,91 @@ def near_bits(table: pa.Table, num: int, den: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`members` with `label`: what a node is connected to in `labels` (node, root), or itself."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+
+
+def _merged(labels: DataFrame | None, pairs: DataFrame, name: str) -> DataFrame:
+    """(node, root), written, of all nodes that `labels` (of the same form) or written `pairs` (a, b) connect."""
+    if labels is not None:
+        if pairs.isEmpty():
+            return labels
+        pairs = pairs.unionByName(labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return materialise(with_roots(components(pairs, f"{name}-stars")), f"{name}-labels")
+
+
+def connected(members: DataFrame, content, compare, bin_rows: int, name: str, labels: DataFrame | None = None) -> DataFrame:
+    """(node, root), written: components of what `compare` finds close in one group of `members` (grp, node), written.
+
+    content(nodes) has a row per node with what `compare` needs; `labels` (node, root) is what is connected already, and
+    stays so. Small groups share a task, about `bin_rows` rows; a large one is compared in rounds, by the distance of its blocks.
+    """
+    hot = materialise(members.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+                      .select("grp", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), f"{name}-hot")
+    bins = max(1, -(-members.count() // bin_rows))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    large = F.col("blocks") > 1
+    visitor = large & (F.col("own") == 0) & (F.pmod(F.xxhash64("node", F.lit(1)), F.lit(VISITORS)) == 0)
+    placed = (_labelled(members, labels).join(sized(hot, 12), "grp", "left")
+              .withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", own)
+              .select("grp", "node", "label", F.lit(0).alias("seek"), F.lit(False).alias("rest"), large.alias("large"),
+                      F.when(large, F.col("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("bin"),
+                      F.explode(F.when(visitor, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))).alias("own")))
+    found = (placed.join(content(members.select("node")), "node").groupBy("large", "bin", "own")
+             .applyInArrow(lambda t: compare(t, True), "a long, b long"))
+    labels = _merged(labels, materialise(found, f"{name}-pairs"), name)
+    if hot.isEmpty():
+        return labels
+    inside, low = materialise(members.join(sized(hot, 12), "grp").withColumn("own", own), f"{name}-large"), 1
+    while True:
+        # Blocks lie on a ring, up to half of it apart.
+        state = materialise(_labelled(inside.where(F.col("blocks") >= 2 * low), labels), f"{name}-state")
+        most = state.groupBy("grp", "label").agg(F.count("*").alias("n"), F.first("blocks").alias("blocks")).groupBy("grp").agg(
+            F.max_by("label", "n").alias("label"), F.max("n").alias("most"), F.sum("n").alias("n"), F.first("blocks").alias("of"))
+        major = 2 * F.col("most") > F.col("n")  # else all travel, one way round
+        far = F.least(F.lit(low * REACH - 1), F.floor(F.col("of") / 2)).cast("int")
+        visits = F.when(major, 2 * (F.col("n") - F.col("most"))).otherwise(F.col("n")) * (far - low + 1) / F.col("of")
+        open_ = materialise(most.where("most < n").select(
+            "grp", F.when(major, F.col("label")).alias("major"), far.alias("far"),
+            F.greatest(F.lit(1), F.ceil(visits / BLOCK)).cast("int").alias("splits")), f"{name}-open")
+        if open_.isEmpty():
+            return labels
+        state = state.join(sized(open_, 24), "grp").withColumn(
+            "rest", F.col("major").isNull() | (F.col("label") != F.col("major")))
+        here = state.select("grp", "node", "label", F.lit(0).alias("seek"), "rest", "own",
+                            F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split"))
+        ways = F.when(F.col("major").isNull() | (2 * F.col("d") == F.col("blocks")), F.array(F.lit(1))).otherwise(
+            F.array(F.lit(1), F.lit(2)))
+        go = (state.where("rest").withColumn("d", F.explode(F.sequence(F.lit(low), F.col("far")))).withColumn("seek", F.explode(ways))
+              .withColumn("own", F.pmod(F.col("own") + F.when(F.col("seek") == 1, F.col("d")).otherwise(-F.col("d")), F.col("blocks")))
+              .select("grp", "node", "label", "seek", "rest", "own",
+                      F.pmod(F.xxhash64("node", "own"), F.col("splits")).cast("int").alias("split")))
+        found = (here.unionByName(go).join(content(state.select("node").distinct()), "node").groupBy("grp", "own", "split")
+                 .applyInArrow(lambda t: compare(t, False), "a long, b long"))
+        labels = _merged(labels, materialise(found, f"{name}-pairs"), name)
+        low *= REACH
+
+
 def candidates(shared: DataFrame, narrow: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) that connect all pairs of `shared` (sig, node), a written table, that may link.
+    """(a, b): each node that is connected by pairs of `shared` (sig, node), a written table, that may link, and the smallest such.
 
-    Small signatures share a task; of a large one, each pair of blocks is a task.
+    Each set is compared in the signature that most others have first, then in those that hold unconnected sets still.
     """
     marks = (narrow.where("doc_id IS NOT NULL").select(F.col("set_id").alias("node"), F.col("n_shingles").alias("size"), "bits")
              .dropDuplicates(["node"]))
-    hot = (shared.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-           .select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    hot = sized(materialise(hot, "ngram-hot"), 12)
-    bins = max(1, -(-shared.count() // BIN))
-    placed = shared.join(hot, "sig", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.withColumn("large", F.col("blocks") > 1).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
-        "bin", F.when(F.col("large"), F.col("sig")).otherwise(F.pmod(F.xxhash64("sig"), F.lit(bins)))).withColumn(
-        "partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("sig", "node", "large", "bin", "own", F.least("own", "partner").alias("i"),
-                           F.greatest("own", "partner").alias("j"))
-    return (placed.join(marks, "node").groupBy("large", "bin", "i", "j")
-            .applyInArrow(lambda t: near_bits(t, num, den), "a long, b long"))
+    compare = lambda t, within: near_bits(t, num, den, within)
+    often = shared.groupBy("sig").agg(F.count("*").alias("n"))
+    first = materialise(shared.join(often, "sig").groupBy("node").agg(F.max(F.struct("n", "sig")).alias("m"))
+                        .select(F.col("m.sig").alias("grp"), "node"), "ngram-first")
+    labels = connected(first, lambda nodes: marks, compare, BIN, "ngram-first")
+    box = Window.partitionBy("sig")
+    left = materialise(_labelled(shared, labels).withColumn("low", F.min("label").over(box)).withColumn(
+        "high", F.max("label").over(box)).where("low <> high").select(F.col("sig").alias("grp"), "node").distinct(), "ngram-left")
+    labels = connected(left, lambda nodes: marks, compare, BIN, "ngram-left", labels)
+    return labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_col: str) -> DataFrame | None:
@@ -358,30 +456,23 @@ def links(docs: DataFrame, narrow: DataFrame, k: int, num: int, den: int, text_c
               .where("low <> high").select("sig", "node"))
     with small_batches(docs.sparkSession):
         shared = materialise(shared, "ngram-postings")
-        pairs = materialise(candidates(shared, narrow, num, den), "ngram-candidates")
-    members = (shared.groupBy("node").agg(F.collect_set("sig").alias("sigs")))  # at most a set's own fragments
-    clusters = materialise(with_roots(components(pairs, "ngram-clusters")), "ngram-clusters")
+        pairs = candidates(shared, narrow, num, den)
+    clusters = materialise(with_roots(pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))), "ngram-clusters")
     if clusters.isEmpty():
         return None
-    # One document speaks for each candidate set; its text is read again for the set itself.
-    speak = materialise(narrow.where("doc_id IS NOT NULL").join(clusters, narrow.set_id == clusters.node)
-                        .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ngram-speakers")
-    sets = docs.join(sized(speak, 0), "doc_id", "left_semi").select(text_col).mapInArrow(
-        _sets(k), "node long, tokens array<bigint>").dropDuplicates(["node"])
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
-    bins = -(-clusters.count() // BLOCK)
-    placed = clusters.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    placed = placed.withColumn("large", F.col("blocks") > 1).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
-        "bin", F.when(F.col("large"), F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bins)))).withColumn(
-        "partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("node", "large", "bin", "own", F.least("own", "partner").alias("i"),
-                           F.greatest("own", "partner").alias("j"))
-    found = (placed.join(members, "node").join(sets, "node").groupBy("large", "bin", "i", "j")
-             .applyInArrow(lambda t: forest(t, num, den), "a long, b long"))
+
+    def content(nodes: DataFrame) -> DataFrame:
+        """(node, sigs, tokens). One document speaks for each set; its text is read again for the set itself."""
+        speak = materialise(narrow.where("doc_id IS NOT NULL").join(nodes, narrow.set_id == nodes.node)
+                            .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "ngram-speakers")
+        sets = docs.join(sized(speak, 0), "doc_id", "left_semi").select(text_col).mapInArrow(
+            _sets(k), "node long, tokens array<bigint>").dropDuplicates(["node"])
+        members = shared.groupBy("node").agg(F.collect_set("sig").alias("sigs"))  # at most a set's own fragments
+        return members.join(sets, "node")
+
+    members = clusters.select(F.col("root").alias("grp"), "node")
     with small_batches(docs.sparkSession):
-        found = materialise(found, "ngram-links")
-    return with_roots(components(found, "ngram-components"))
+        return connected(members, content, lambda t, within: forest(t, num, den, within), BLOCK, "ngram-links")
 
 
 def jaccard_components(docs: DataFrame, *, k: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id",

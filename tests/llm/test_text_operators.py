@@ -217,6 +217,61 @@ def test_chance_fragments_connect_no_candidates(spark, monkeypatch):
     narrow.unpersist()
 
 
+def _connected_groups(pairs):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {x: find(x) for x in root}
+
+
+def test_large_groups_make_rows_in_proportion(spark, monkeypatch):
+    """Each pair of blocks of one signature made a forest of its own: rows with the square of a group of near copies.
+
+    Versions that drift apart, and texts like no other, share the signature too; all that may link is connected as before.
+    """
+    rng = random.Random(31)
+    base, texts = prose(rng, 150).split(" "), []
+    for i in range(100):
+        w = list(base)
+        w[rng.randrange(len(w))] = f"e{i}"
+        texts.append(" ".join(w))
+    texts += [prose(rng, 150) for _ in range(30)]
+    w = prose(rng, 80).split(" ")
+    for i in range(60):  # each like the ones next to it only
+        w[(7 * i) % 80] = f"v{i}"
+        texts.append(" ".join(w))
+    narrow = frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]).select("doc_id", "text").mapInArrow(
+        ngram_join._narrow(3), "doc_id long, n_shingles long, set_id long, bits binary").persist()
+    rows = narrow.toPandas()
+    differ = ngram_join.different_bits(pa.array(rows.bits.tolist(), pa.binary()))
+    x, y = np.triu_indices(len(rows), 1)
+    size, ids = rows.n_shingles.to_numpy(), rows.set_id.to_numpy()
+    close = differ(x, y) <= (size[x] + size[y]) * 2 // 18
+    want = _connected_groups(zip(ids[x[close]].tolist(), ids[y[close]].tolist()))
+    assert 150 < len(want) < 165 and 2 <= len(set(want.values())) < 40
+    shared = spark.createDataFrame([(0, s) for s in ids.tolist()], "sig long, node long")
+    for reach, block, visitors in ((4, 8, 2), (2, 4, 1000)):
+        monkeypatch.setattr(ngram_join, "REACH", reach, raising=False)
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "VISITORS", visitors, raising=False)
+        made, write = [], ngram_join.materialise
+        with monkeypatch.context() as m:
+            def count(df, name, *more):
+                made.extend([df.count()] * (df.columns == ["a", "b"]))
+                return write(df, name, *more)
+            m.setattr(ngram_join, "materialise", count)
+            got = ngram_join.candidates(shared, narrow, 8, 10).collect()
+        assert _connected_groups((r.a, r.b) for r in got) == want
+        assert len(got) < len(ids) and sum(made) < 3 * len(ids)
+    narrow.unpersist()
+
+
 def test_bits_never_exceed_the_differences():
     rng = np.random.default_rng(3)
     whole = rng.integers(0, 1 << 63, 5000, np.uint64)
