@@ -31,6 +31,8 @@ LEAST, SHORT, MOST = 0.24, 1 / 3, 0.45
 
 #: The column that tells rows apart where ids do not, unless they are alike in all columns.
 ROW = "_pipeline_row"
+#: The column that stands for a text.
+TEXT = "_pipeline_text"
 #: The column that tells empty texts from none.
 NO_TEXT = "_pipeline_no_text"
 
@@ -56,9 +58,15 @@ def confident(text: Column, score: Column) -> Column:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # What goes is written as keys of texts, so that texts pass to Python in small batches here, whoever writes the result.
     profiles = langid.train(docs)
-    found = docs.select(F.struct("*").alias("row"), langid.predict(F.col("text"), profiles).alias("p"))
-    return found.where((F.col("p.lang") != langid.UNKNOWN) & confident(F.col("row.text"), F.col("p.score"))).select("row.*")
+    key = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(TEXT), "text").alias("b"))
+    docs = docs.where(F.col("text").isNotNull()).withColumn(TEXT, key)  # null texts have no language
+    found = docs.select(TEXT, "text", langid.predict(F.col("text"), profiles).alias("p"))
+    stays = (F.col("p.lang") != langid.UNKNOWN) & confident(F.col("text"), F.col("p.score"))
+    with small_batches(spark):
+        gone = materialise(found.where(~F.coalesce(stays, F.lit(False))).select(TEXT).distinct(), "pipeline-no-language")
+    return without_ids(docs, gone, TEXT).drop(TEXT)
 
 
 def numbered(docs: DataFrame) -> DataFrame:

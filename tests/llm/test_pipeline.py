@@ -5,6 +5,8 @@ import random
 import string
 
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tests.llm import brute
@@ -81,6 +83,26 @@ def test_rows_that_differ_in_nulls_and_no_copy_of_the_corpus(spark, monkeypatch)
     assert cp.numbered(docs).select(cp.ROW).distinct().count() == 3
 
 
+def test_language_passes_texts_in_small_batches(spark, monkeypatch):
+    """A partition of 40 MB never reaches Python in one batch, and no stage writes the texts again."""
+    @F.arrow_udf("struct<lang string, score double>")
+    def nearest(texts: pa.Array) -> pa.Array:
+        assert texts.nbytes < 20 << 20, texts.nbytes
+        found = pa.array([None if t.as_py().startswith("7 ") else 1.0 for t in texts], pa.float64())
+        return pa.StructArray.from_arrays([pa.repeat(pa.scalar("en"), len(texts)), found], ["lang", "score"])
+
+    written, write = [], cp.materialise
+    monkeypatch.setattr(cp, "materialise", lambda df, name, *more: written.append(df.columns) or write(df, name, *more))
+    monkeypatch.setattr(cp.langid, "train", lambda docs: {})
+    monkeypatch.setattr(cp.langid, "predict", lambda text, profiles: nearest(text))
+    text = F.concat(F.col("id").cast("string"), F.lit(" "), F.repeat(F.lit("prose "), 40_000))
+    docs = spark.range(0, 160, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"),
+                                            F.lit("a").alias("source"), F.length(text).cast("long").alias("n_chars"))
+    kept = STAGE["language"](spark, docs, "")
+    assert kept.columns == COLUMNS and {r.doc_id for r in kept.select("doc_id").collect()} == set(range(160)) - {7}
+    assert written == [[cp.TEXT]]
+
+
 def test_noise_goes_and_short_prose_stays(spark, root):
     rng = random.Random(6)
     learn = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
