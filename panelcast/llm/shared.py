@@ -2,36 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.sources.storage import discard, materialise
+from panelcast.sources.storage import BATCH_BYTES, BATCH_SETTING, discard, materialise, small_batches  # noqa: F401
 
 #: A side of a join is broadcast only if it was written, counted, and has at most so many bytes of plain values. The driver
 #: holds it some times over (rows, hash table, blocks), and earlier ones until they are collected.
 BROADCAST_BYTES = 8 << 20
 ROW_OVERHEAD = 48
 
-#: Bytes of an Arrow batch between Spark and Python where texts or token lists pass. Task and worker each hold it some times over.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
-
-
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Writes inside hand at most about `BATCH_BYTES` to Python at once; the session's setting is put back after.
-
-    Results do not depend on it. It does not reach frames that are computed later.
-    """
-    before = spark.conf.get(BATCH_SETTING, None)
-    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
-
 
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """`df`, a written table, marked for broadcast if its counted rows stay within `limit`; else left to a shuffle.

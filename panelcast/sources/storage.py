@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, datetime, timezone
+from functools import reduce
 from typing import TypeVar
 from weakref import WeakKeyDictionary
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelcast.schemas import RUN_TABLES, TABLES, schema_of
+from panelcast.sources import digests
 
 T = TypeVar("T")
 POINTER = "_latest"
@@ -54,6 +56,25 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(SHUFFLES_GO)
 
 
+#: Bytes of an Arrow batch between Spark and Python where texts, token lists or raw bytes pass. Task and worker each hold it
+#: some times over.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Writes inside hand at most about `BATCH_BYTES` to Python at once; the session's setting is put back after.
+
+    Results do not depend on it. It does not reach frames that are computed later.
+    """
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
 def materialise(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     """Cut lineage by writing the frame to the shared folder and reading it back; at most `file_rows` rows a file, if set.
 
@@ -247,11 +268,38 @@ def query_tables(spark: SparkSession, root: str, sql: str, tables: Sequence[str]
 # ---------------------------------------------------------------- lineage, provenance, artifacts
 
 def raw_lineage(spark: SparkSession, source: str, path: str) -> DataFrame:
-    """Content hash (12 hex digits of SHA-256), size and landing stamp of raw files."""
+    """Content hash (12 hex digits of SHA-256), size and landing stamp of raw files.
+
+    Files above `digests.WHOLE_BYTES` are hashed piece by piece, whatever their size; of those only the ones that the
+    text reader would unpack, or that have no mark for long, are held whole.
+    """
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    return spark.read.format("binaryFile").load(path).select(
-        F.lit(source).alias("source"), "path", F.substring(F.sha2("content", 256), 1, 12).alias("digest"),
-        F.col("length").alias("bytes"), F.lit(stamp).alias("landed_at"))
+    raw = spark.read.format("binaryFile").load(path)
+    digest = F.sha2("content", 256).alias("digest")
+    if parts := _digests_in_pieces(spark, raw, path):
+        pieces = reduce(DataFrame.unionByName, parts)
+        done = digests.file_of().isin([r.file for r in pieces.select("file").collect()])
+        found = raw.where(done).select(digests.file_of().alias("file"), "path", "length").join(pieces, "file")
+        rows = raw.where(~done).select("path", "length", digest).unionByName(found.drop("file"))
+    else:
+        rows = raw.select("path", "length", digest)
+    return rows.select(F.lit(source).alias("source"), "path", F.substring("digest", 1, 12).alias("digest"),
+                       F.col("length").alias("bytes"), F.lit(stamp).alias("landed_at"))
+
+
+def _digests_in_pieces(spark: SparkSession, raw: DataFrame, path: str) -> list[DataFrame]:
+    """Written (file, digest) of the large files, by each way that was needed."""
+    large = raw.where(F.col("_metadata.file_size") > digests.WHOLE_BYTES).select(
+        digests.file_of().alias("file"), digests.ending_of().alias("ending")).collect()
+    packed = digests.unpacked_by_reader(spark, {r.ending for r in large})
+    left, parts = {r.file for r in large if r.ending not in packed}, []
+    for mark, head in digests.WAYS:
+        if left:
+            with small_batches(spark):
+                parts.append(materialise(
+                    digests.digests(spark, path, digests.file_of().isin(sorted(left)), mark, head), "digests"))
+            left -= {r.file for r in parts[-1].select("file").collect()}
+    return parts
 
 
 def record_provenance(

@@ -1,11 +1,14 @@
 import datetime
+import gzip
+import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators import quality
 from panelcast.schemas import ACTIVITY, IMAGING, PROCEDURES, TABLES
-from panelcast.sources import conform, storage
+from panelcast.sources import conform, digests, storage
 
 D = datetime.date
 
@@ -121,6 +124,68 @@ def test_provenance_and_lineage(spark, tmp_path):
     assert row.digest == "ba7816bf8f01" and row.bytes == 3
 
 
+RAW = random.Random(4).randbytes(700_000)
+STRETCH = 200_000
+MARKED = digests.BOM + b"a,b\r\n1,2\n"
+FILES = {
+    "noise.parquet": RAW, "no-ending": RAW[:500_000], "ends\n": RAW[:99] + b"\n", "mark": b"\n", "marks": b"\n\n\n", "one": b"x",
+    "bom.csv": MARKED, "bom only": digests.BOM, "bom and mark": digests.BOM + b"\n", "two boms": digests.BOM * 2 + b"\n\0",
+    "zeros": bytes(400_000), "long zeros": b"a\n" + bytes(400_000) + b"\n", "bom zeros": digests.BOM + bytes(400_000),
+    "neither": b"a\n\0" + b"z" * 400_000, "cut by 3": b"ab\n" * 33 + b"z" * (STRETCH + 3) + b"\n" + RAW,
+    "cut by 1": b"ab\n" * 33 + b"z" * (STRETCH + 1) + b"\n" + RAW,
+    "x.gz": gzip.compress(MARKED * 9), "plain.GZ": MARKED, "plain.bz2": b"q\n", "x.zst": RAW[:70]}
+
+
+def test_digests_of_files_in_pieces(spark, tmp_path, monkeypatch):
+    """Whatever the bytes, the endings and the splits, as hashlib has it; only files without a mark for long are read whole."""
+    for name, data in FILES.items():
+        (tmp_path / name).write_bytes(data)
+    monkeypatch.setattr(digests, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(digests, "STRETCH_BYTES", STRETCH)
+    monkeypatch.setattr(digests, "PIECE_BYTES", 50_000)
+    parts, write = [], storage.materialise
+    monkeypatch.setattr(storage, "materialise", lambda *a: parts.append(write(*a)) or parts[-1])
+    small = {"spark.sql.files.maxPartitionBytes": "150k", "spark.sql.files.openCostInBytes": "64k"}
+    wanted = {name: (hashlib.sha256(data).hexdigest()[:12], len(data)) for name, data in FILES.items()}
+    whole = {"x.gz", "plain.GZ", "plain.bz2", "x.zst", "neither", "bom only", "cut by 3", "cut by 1"}
+    for settings in ({}, small):
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            rows = storage.raw_lineage(spark, "s", str(tmp_path)).collect()
+        finally:
+            for k in settings:
+                spark.conf.unset(k)
+        streamed = [r.name for p in parts for r in p.select(F.url_decode(F.substring_index("file", "/", -1)).alias("name")).collect()]
+        assert sorted(streamed) == sorted(FILES.keys() - whole) and len(rows) == len(FILES)
+        parts.clear()
+        assert {r.path.rsplit("/", 1)[1]: (r.digest, r.bytes) for r in rows} == wanted
+
+
+def test_no_row_holds_a_file(spark, tmp_path, monkeypatch):
+    """A file of 42 MB is never a row, and no batch of it that reaches Python is large."""
+    (tmp_path / "raw.parquet").write_bytes(RAW * 60)
+    chains = digests._chains
+
+    def watched(mark, head):
+        def run(batches):
+            def seen():
+                for b in batches:
+                    assert b.nbytes < 20 << 20 and max(map(len, b.column(4).to_pylist())) <= 1 << 20
+                    yield b
+            yield from chains(mark, head)(seen())
+        return run
+
+    monkeypatch.setattr(digests, "_chains", watched)
+    (tmp_path / "small.parquet").write_bytes(b"abc")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000000")  # the binary reader fails on larger files
+    try:
+        rows = {r.digest: r.bytes for r in storage.raw_lineage(spark, "s", str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert rows == {hashlib.sha256(RAW * 60).hexdigest()[:12]: 60 * len(RAW), "ba7816bf8f01": 3}
+
+
 def test_scratch_path_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = storage.scratch_path(spark, "x")
